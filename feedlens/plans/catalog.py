@@ -170,3 +170,209 @@ def q_relabel_by_size(spark, sf):
           "count(*) FILTER (WHERE topic = -1)::BIGINT AS n_noise FROM raw")
 def q_run_stats(spark, sf):
     return TP.run_stats(_raw_labels(spark, sf))
+
+
+# ---------------------------------------------------------------- summaries and triage
+from ..operators import report as R  # noqa: E402
+from ..operators import summarize as S  # noqa: E402
+
+
+def _topic_parts(spark, sf):
+    docs = FX.prepared_with_topics(spark, sf)
+    tc = TP.term_counts(docs)
+    scores = TP.ctfidf(tc)
+    words = TP.top_words(scores, 10)
+    info = TP.topic_info(docs.select("doc_id", "topic"), words)
+    rep = TP.representative_docs(docs, tc, 5)
+    return docs, tc, scores, words, info, rep
+
+
+def _canned(words):
+    kw = TP.ordered_words(words, 5, ", ", "kw")
+    return kw.filter(F.col("topic") != TP.NOISE).select("topic", FX.canned_reply("topic", "kw").alias("response"))
+
+
+_TPL, _FMT = O.template_sql()
+PROMPTS_SQL = (
+    REP_DOCS_SQL.rstrip("\n") + ",\n"
+    f"kw10 AS ({O.words_joined('tw', 10, ', ', 'kw')}),\n"
+    "dd AS (SELECT topic, string_agg(clean, chr(10) ORDER BY rank) AS docs FROM rk JOIN pre USING (doc_id) WHERE rank <= 5 GROUP BY topic),\n"
+    f"pr AS (SELECT topic, replace(replace({_TPL}, '[DOCUMENTS]', coalesce(docs, '')), '[KEYWORDS]', kw) || {_FMT} AS prompt "
+    "FROM kw10 LEFT JOIN dd USING (topic) WHERE topic <> -1),\n"
+    "prompts AS (SELECT topic, prompt, md5(prompt) AS prompt_hash FROM pr),\n"
+    "cnt AS (SELECT topic, count(*)::BIGINT AS count FROM pt0 GROUP BY topic),\n"
+    f"kw5 AS ({O.words_joined('tw', 5, ', ', 'kw')}),\n"
+    f"canned AS (SELECT topic, {O.CANNED_REPLY} AS response FROM kw5 WHERE topic <> -1),\n"
+    f"kwp AS ({O.words_joined('tw', 5, ' | ', 'keywords')}),\n"
+)
+_SENT, _SUMM = O.parse_sql("response")
+SUMMARY_SQL = (
+    PROMPTS_SQL +
+    f"parsed AS (SELECT topic, {_SENT} AS sentiment, {_SUMM} AS summary FROM canned),\n"
+    "mean AS (SELECT coalesce(avg(count), 0.0) AS m FROM cnt WHERE topic <> -1),\n"
+    "summ AS (SELECT topic::INTEGER AS topic, coalesce(keywords, '') AS keywords, summary, sentiment, "
+    "CASE WHEN sentiment = 'Tiêu cực' AND count >= m THEN 'Cao' WHEN sentiment = 'Tiêu cực' THEN 'Trung bình' ELSE 'Thấp' END AS priority, "
+    "count FROM cnt JOIN parsed USING (topic) LEFT JOIN kwp USING (topic), mean WHERE topic <> -1)\n"
+)
+
+
+@register("build_prompts", PROMPTS_SQL.rstrip(",\n") + "\nSELECT topic::INTEGER AS topic, prompt, prompt_hash FROM prompts")
+def q_build_prompts(spark, sf):
+    _, _, _, words, _, rep = _topic_parts(spark, sf)
+    return S.build_prompts(words, rep).select("topic", "prompt", "prompt_hash")
+
+
+@register("prompt_cache_split",
+          PROMPTS_SQL.rstrip(",\n") + ",\nbig AS (SELECT topic FROM cnt WHERE topic <> -1 AND count >= (SELECT avg(count) FROM cnt WHERE topic <> -1))\n"
+          "SELECT topic::INTEGER AS topic, prompt_hash, CASE WHEN topic IN (SELECT topic FROM big) THEN 'hit' ELSE 'miss' END AS status FROM prompts")
+def q_prompt_cache_split(spark, sf):
+    """Cache = responses stored earlier for the topics at or above the mean size."""
+    docs, _, _, words, info, rep = _topic_parts(spark, sf)
+    prompts = S.build_prompts(words, rep)
+    big = S.add_priority(info.filter("topic <> -1").withColumn("sentiment", F.lit("Tiêu cực"))).filter("priority = 'Cao'")
+    cache = (prompts.join(big.select("topic"), "topic", "left_semi")
+                    .select("prompt_hash", "prompt", F.lit("cached").alias("response"), F.lit(None).cast("string").alias("backend_id")))
+    hits, misses = S.cache_split(prompts, cache)
+    return (hits.select("topic", "prompt_hash", F.lit("hit").alias("status"))
+                .unionByName(misses.select("topic", "prompt_hash", F.lit("miss").alias("status"))))
+
+
+_RAW = ("(CASE doc_id % 8 WHEN 0 THEN 'CẢM XÚC: tích cực' || chr(10) || 'TÓM TẮT: ' || text "
+        "WHEN 1 THEN 'cảm xúc: tích cực | tiêu cực' || chr(10) || text "
+        "WHEN 2 THEN 'Sentiment: positive' || chr(10) || 'Sentiment: neutral' || chr(10) || 'Summary: ' || text "
+        "WHEN 3 THEN 'TÓM TẮT:' || chr(10) || chr(10) || text "
+        "WHEN 4 THEN 'cam xuc tieu cuc' || chr(10) || text "
+        "WHEN 5 THEN 'CAM XUC: Negative' "
+        "WHEN 6 THEN chr(13) || chr(10) || ' tom tat : ' || text || chr(8232) || 'sentiment:' "
+        "ELSE text END)")
+_PSENT, _PSUMM = O.parse_sql("raw")
+
+
+@register("parse_response",
+          f"WITH r AS (SELECT doc_id::BIGINT AS doc_id, {_RAW} AS raw FROM documents) "
+          f"SELECT doc_id, {_PSENT} AS sentiment, {_PSUMM} AS summary FROM r")
+def q_parse_response(spark, sf):
+    """Replies wrapping each whole document in one of eight reply shapes."""
+    d = FX.documents(spark, sf)
+    k = F.col("doc_id") % 8
+    t = F.col("text")
+    nl = F.lit("\n")
+    raw = (F.when(k == 0, F.concat(F.lit("CẢM XÚC: tích cực\nTÓM TẮT: "), t))
+            .when(k == 1, F.concat(F.lit("cảm xúc: tích cực | tiêu cực"), nl, t))
+            .when(k == 2, F.concat(F.lit("Sentiment: positive\nSentiment: neutral\nSummary: "), t))
+            .when(k == 3, F.concat(F.lit("TÓM TẮT:\n\n"), t))
+            .when(k == 4, F.concat(F.lit("cam xuc tieu cuc\n"), t))
+            .when(k == 5, F.lit("CAM XUC: Negative"))
+            .when(k == 6, F.concat(F.lit("\r\n tom tat : "), t, F.lit("\u2028sentiment:")))
+            .otherwise(t))
+    p = S.parse_replies(d.select("doc_id", raw.alias("response")))
+    return p.select("doc_id", "sentiment", "summary")
+
+
+@register("priority_label", SUMMARY_SQL + "SELECT topic, count, sentiment, priority FROM summ")
+def q_priority_label(spark, sf):
+    _, _, _, words, info, _ = _topic_parts(spark, sf)
+    parsed = S.parse_replies(_canned(words))
+    base = info.filter("topic <> -1").select("topic", "count").join(parsed.select("topic", "sentiment"), "topic")
+    return S.add_priority(base).select("topic", "count", "sentiment", "priority")
+
+
+@register("summarize_topics", SUMMARY_SQL + "SELECT topic, keywords, summary, sentiment, priority FROM summ")
+def q_summarize_topics(spark, sf):
+    _, _, _, words, info, _ = _topic_parts(spark, sf)
+    return S.summarize_topics(info, words, _canned(words))
+
+
+@register("topics_only",
+          f"WITH {O.CTFIDF}, cnt AS (SELECT topic, count(*)::BIGINT AS count FROM pt0 GROUP BY topic), "
+          f"nm AS ({O.words_joined('tw', 4, '_', 'w')}) "
+          "SELECT topic, concat_ws('_', topic::VARCHAR, w) AS keywords FROM cnt LEFT JOIN nm USING (topic) WHERE topic <> -1")
+def q_topics_only(spark, sf):
+    _, _, _, _, info, _ = _topic_parts(spark, sf)
+    return S.topics_only(info)
+
+
+@register("topic_representations",
+          PROMPTS_SQL.rstrip(",\n") + f"\nSELECT topic::INTEGER AS topic, coalesce(keywords, '') AS original_keywords, "
+          f"{O.strip('response')} AS text_representation FROM canned LEFT JOIN kwp USING (topic)")
+def q_topic_representations(spark, sf):
+    _, _, _, words, _, _ = _topic_parts(spark, sf)
+    return S.topic_representations(words, _canned(words))
+
+
+EXTRACT_SQL = (
+    PROMPTS_SQL +
+    "top1 AS (SELECT topic, clean FROM rk JOIN pre USING (doc_id) WHERE rank = 1),\n"
+    f"sl AS (SELECT topic, list_filter(list_transform(regexp_extract_all(clean, '[^.!?\\n]+[.!?]*'), lambda s: {O.strip('s')}), lambda s: s <> '') AS ss FROM top1),\n"
+    "sn AS (SELECT topic, unnest(ss) AS sentence, generate_subscripts(ss, 1) AS pos FROM sl),\n"
+    f"tk AS (SELECT topic, pos, unnest({O.tokens('sentence')}) AS word FROM sn),\n"
+    "ts AS (SELECT tk.topic, tk.pos, avg(coalesce(sc.score, 0.0)) AS w FROM tk LEFT JOIN sc ON tk.topic = sc.topic AND tk.word = sc.word GROUP BY ALL),\n"
+    "sw AS (SELECT sn.topic, sn.pos, sn.sentence, coalesce(ts.w, 0.0) AS w FROM sn LEFT JOIN ts ON sn.topic = ts.topic AND sn.pos = ts.pos),\n"
+    "best AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY round(w, 12) DESC, pos) AS r FROM sw)\n"
+)
+
+
+@register("extractive_summary",
+          EXTRACT_SQL + "SELECT topic::INTEGER AS topic, 'CẢM XÚC: trung lập' || chr(10) || 'TÓM TẮT: ' || sentence AS response "
+          "FROM best WHERE r = 1 AND topic IN (SELECT topic FROM prompts)")
+def q_extractive_summary(spark, sf):
+    _, _, scores, words, _, rep = _topic_parts(spark, sf)
+    prompts = S.build_prompts(words, rep)
+    backend = S.extractive_backend(rep, scores)
+    return backend(prompts).select(F.col("topic").cast("int").alias("topic"), "response")
+
+
+def _flaky_backend(prompt: str) -> str:
+    """Deterministic stand-in for a remote model: fails on prompts of odd length."""
+    if len(prompt) % 2:
+        raise RuntimeError("backend unavailable")
+    return "CẢM XÚC: trung lập\nTÓM TẮT: " + prompt.split("\n", 2)[1][:0] + "ok"
+
+
+@register("generate_with_errors")
+def q_generate_with_errors(spark, sf):
+    """Python backend on executors with retries; failures become [ERROR: ...] rows."""
+    _, _, _, words, _, rep = _topic_parts(spark, sf)
+    prompts = S.build_prompts(words, rep)
+    out = S.generate(prompts, _flaky_backend, batch_size=2, max_retries=2, pause=0.0)
+    return out.select("topic", "response", "ok")
+
+
+REPORT_SQL = (
+    SUMMARY_SQL.rstrip("\n") + ",\n"
+    f"kw6 AS ({O.words_joined('tw', 6, ' · ', 'keywords')}),\n"
+    "dd5 AS (SELECT topic, string_agg(clean, chr(10) ORDER BY rank) AS docs FROM rk JOIN pre USING (doc_id) WHERE rank <= 5 GROUP BY topic),\n"
+    "big AS (SELECT topic FROM cnt, mean WHERE topic <> -1 AND count >= m),\n"
+    "rep AS (SELECT c.topic::INTEGER AS topic, c.count, coalesce(k.keywords, '') AS keywords, "
+    "coalesce(s.summary, '') AS summary, coalesce(s.sentiment, '') AS sentiment, coalesce(s.priority, '') AS priority, "
+    "coalesce(d.docs, '') AS docs FROM cnt c LEFT JOIN kw6 k USING (topic) LEFT JOIN dd5 d USING (topic) "
+    "LEFT JOIN (SELECT * FROM summ WHERE topic IN (SELECT topic FROM big)) s USING (topic) WHERE c.topic <> -1)\n"
+)
+
+
+def _report(spark, sf):
+    """Report where only topics at or above the mean size have a summary."""
+    _, _, _, words, info, rep = _topic_parts(spark, sf)
+    summ = S.summarize_topics(info, words, _canned(words))
+    big = S.add_priority(info.filter("topic <> -1").withColumn("sentiment", F.lit("Tiêu cực"))).filter("priority = 'Cao'")
+    return R.topic_report(info, words, rep, summ.join(big.select("topic"), "topic", "left_semi"))
+
+
+@register("topic_report", REPORT_SQL + "SELECT * FROM rep")
+def q_topic_report(spark, sf):
+    return _report(spark, sf).withColumn("docs", F.array_join("docs", "\n"))
+
+
+@register("topic_sizes",
+          REPORT_SQL + "SELECT topic, count, keywords, '#' || topic::VARCHAR || '  ' || split_part(keywords, ' · ', 1) AS label FROM rep")
+def q_topic_sizes(spark, sf):
+    return R.topic_sizes(_report(spark, sf))
+
+
+@register("localize_report",
+          REPORT_SQL + "SELECT topic AS \"Topic\", count AS \"Feedback count\", "
+          "CASE priority WHEN 'Cao' THEN 'High' WHEN 'Trung bình' THEN 'Medium' WHEN 'Thấp' THEN 'Low' ELSE '' END AS \"Priority\", "
+          "CASE sentiment WHEN 'Tích cực' THEN 'Positive' WHEN 'Tiêu cực' THEN 'Negative' WHEN 'Trung lập' THEN 'Neutral' ELSE '' END AS \"Sentiment\", "
+          "keywords AS \"Keywords\", summary AS \"Summary\" FROM rep")
+def q_localize_report(spark, sf):
+    return R.localize(_report(spark, sf), "en")

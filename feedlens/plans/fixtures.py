@@ -39,3 +39,15 @@ def fixture_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prepared_with_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepared(spark, sf_dir).join(fixture_topics(spark, sf_dir), "doc_id")
+
+
+def canned_reply(topic_col, kw_col):
+    """A reply per topic made from its keywords; the four variants cover the
+    parsing branches (negative, last-line-wins, positive with blank lines and a
+    bare summary prefix, unformatted text)."""
+    t = F.col(topic_col) % 4
+    kw = F.col(kw_col)
+    return (F.when(t == 0, F.concat(F.lit("CẢM XÚC: tiêu cực\nTÓM TẮT: Khách hàng nói về "), kw))
+             .when(t == 1, F.concat(F.lit("Sentiment: positive\nSentiment: negative\nSummary: "), kw, F.lit(": chi tiết")))
+             .when(t == 2, F.concat(F.lit("cam xuc: tich cuc\n\n  "), kw, F.lit("  \nTÓM TẮT:")))
+             .otherwise(kw))

@@ -73,3 +73,47 @@ CTFIDF = (
 def words_joined(src: str, n: int, sep: str, name: str) -> str:
     return (f"SELECT topic, string_agg(word, {q(sep)} ORDER BY rank) AS {name} FROM {src} "
             f"WHERE rank <= {n} GROUP BY topic")
+
+
+CANNED_REPLY = (
+    "(CASE topic % 4 WHEN 0 THEN 'CẢM XÚC: tiêu cực' || chr(10) || 'TÓM TẮT: Khách hàng nói về ' || kw "
+    "WHEN 1 THEN 'Sentiment: positive' || chr(10) || 'Sentiment: negative' || chr(10) || 'Summary: ' || kw || ': chi tiết' "
+    "WHEN 2 THEN 'cam xuc: tich cuc' || chr(10) || chr(10) || '  ' || kw || '  ' || chr(10) || 'TÓM TẮT:' "
+    "ELSE kw END)"
+)
+
+
+def _starts_any(x: str, prefixes) -> str:
+    return "(" + " OR ".join(f"starts_with(lower({x}), {q(p)})" for p in prefixes) + ")"
+
+
+def _contains_any(x: str, words) -> str:
+    return "(" + " OR ".join(f"contains({x}, {q(w)})" for w in words) + ")"
+
+
+def _after_colon(x: str) -> str:
+    return f"(CASE WHEN instr({x}, ':') > 0 THEN substr({x}, instr({x}, ':') + 1) ELSE NULL END)"
+
+
+def parse_sql(raw: str) -> tuple[str, str]:
+    """(sentiment_expr, summary_expr) over a reply expression ``raw``."""
+    from ..functions.parse import (NEGATIVE, NEGATIVE_WORDS, NEUTRAL, POSITIVE, POSITIVE_WORDS,
+                                   SENTIMENT_PREFIXES, SUMMARY_PREFIXES)
+    r = f"coalesce({raw}, '')"
+    lines = f"list_filter(list_transform(string_split_regex({r}, '{LINES}'), lambda l: {strip('l')}), lambda l: l <> '')"
+    sent_lines = f"list_filter({lines}, lambda l: {_starts_any('l', SENTIMENT_PREFIXES)})"
+    last = f"({sent_lines})[-1]"
+    val = f"coalesce(lower({_after_colon(last)}), '')"
+    sentiment = (f"(CASE WHEN {last} IS NULL THEN {q(NEUTRAL)} WHEN {_contains_any(val, NEGATIVE_WORDS)} THEN {q(NEGATIVE)} "
+                 f"WHEN {_contains_any(val, POSITIVE_WORDS)} THEN {q(POSITIVE)} ELSE {q(NEUTRAL)} END)")
+    kept = (f"list_filter(list_transform({lines}, lambda l: CASE WHEN {_starts_any('l', SENTIMENT_PREFIXES)} THEN NULL "
+            f"WHEN {_starts_any('l', SUMMARY_PREFIXES)} THEN nullif({strip(_after_colon('l'))}, '') ELSE l END), "
+            "lambda l: l IS NOT NULL)")
+    joined = strip(f"array_to_string({kept}, ' ')")
+    summary = f"(CASE WHEN {joined} = '' THEN {strip(r)} ELSE {joined} END)"
+    return sentiment, summary
+
+
+def template_sql() -> str:
+    from ..operators.summarize import ANSWER_FORMAT, DEFAULT_TEMPLATE
+    return q(DEFAULT_TEMPLATE), q(ANSWER_FORMAT)
