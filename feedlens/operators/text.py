@@ -30,17 +30,25 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def remove_stopwords_col(c, stopwords: Iterable[str] = DEFAULT_STOPWORDS) -> Column:
-    """Whitespace tokens not in ``stopwords``, re-joined by one space."""
+def remove_stopwords_col(c, stopwords: Iterable[str] = DEFAULT_STOPWORDS, assume_clean: bool = False) -> Column:
+    """Whitespace tokens not in ``stopwords``, re-joined by one space.
+
+    ``assume_clean``: the input is already collapsed to single spaces (output of
+    ``clean_text``), so a literal split on " " gives the same tokens faster.
+    """
     stop = F.array(*[F.lit(w) for w in dict.fromkeys(stopwords)]) if stopwords else None
-    toks = ws_tokens(c)
+    if assume_clean:
+        toks = F.filter(F.split(_col(c), " "), lambda t: t != F.lit(""))
+    else:
+        toks = ws_tokens(c)
     if stop is not None:
         toks = F.filter(toks, lambda t: ~F.array_contains(stop, t))
     return F.array_join(toks, " ")
 
 
 def remove_stopwords(df: DataFrame, stopwords: Iterable[str] | DataFrame = DEFAULT_STOPWORDS,
-                     col: str = "clean", out: str | None = None, id_col: str = "doc_id") -> DataFrame:
+                     col: str = "clean", out: str | None = None, id_col: str = "doc_id",
+                     assume_clean: bool = False) -> DataFrame:
     """Exact-token stopword removal on an already segmented column.
 
     ``stopwords`` may be a list (inlined as an array literal) or a one-column
@@ -51,7 +59,7 @@ def remove_stopwords(df: DataFrame, stopwords: Iterable[str] | DataFrame = DEFAU
     if not isinstance(stopwords, DataFrame):
         stopwords = list(stopwords)
         if len(stopwords) <= _INLINE_STOPWORDS_MAX:
-            return df.withColumn(out, remove_stopwords_col(col, stopwords))
+            return df.withColumn(out, remove_stopwords_col(col, stopwords, assume_clean))
         stopwords = df.sparkSession.createDataFrame([(w,) for w in dict.fromkeys(stopwords)], "word string")
     toks = df.select(id_col, F.posexplode(ws_tokens(col)).alias("pos", "word"))
     kept = toks.join(F.broadcast(stopwords.select("word").distinct()), "word", "left_anti")
@@ -72,13 +80,32 @@ def remove_stopwords_words(df: DataFrame, stopwords: Iterable[str] = DEFAULT_STO
 
 
 def min_chars_predicate(c, min_chars: int) -> Column:
+    """Not blank, and at least ``min_chars`` characters once ``_`` reads as a space.
+
+    Swapping ``_`` for a space keeps the character count, so the length is
+    taken directly; "not blank" is a search for one non-whitespace character
+    (stops at the first hit instead of rewriting the text).
+    """
     x = _col(c)
-    return (strip_ws(x) != F.lit("")) & (F.length(F.replace(x, F.lit("_"), F.lit(" "))) >= F.lit(min_chars))
+    return F.regexp_like(x, F.lit("[^" + WS_CLASS[1:])) & (F.length(x) >= F.lit(min_chars))
+
+
+def keep_rows(df: DataFrame, predicate) -> DataFrame:
+    """``df.filter(predicate(row))`` evaluated on already computed columns.
+
+    A plain ``filter`` on a computed column is pushed below its projection
+    with the column's expression inlined, so an expensive expression (regex
+    cleaning of whole texts) would run once per reference.  Filtering inside
+    a one-element array and re-inlining it (a Generate, which predicates are
+    not pushed through) evaluates the projection exactly once.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(F.inline(F.filter(F.array(row), predicate)))
 
 
 def filter_min_chars(df: DataFrame, min_chars: int = 3, col: str = "clean") -> DataFrame:
     """Drop blank rows and rows shorter than ``min_chars`` (underscore counted as a space)."""
-    return df.filter(min_chars_predicate(col, min_chars))
+    return keep_rows(df, lambda r: min_chars_predicate(r[col], min_chars))
 
 
 def dedup_first(df: DataFrame, key: str = "clean", order: str = "doc_id") -> DataFrame:
@@ -105,7 +132,7 @@ def preprocess(df: DataFrame, *, lowercase: bool = True, min_chars: int = 3, ded
         from .segment import segment_words
         out = segment_words(out, lexicon, col="clean", id_col=id_col)
     if stopwords:
-        out = remove_stopwords(out, stopwords, col="clean", id_col=id_col)
+        out = remove_stopwords(out, stopwords, col="clean", id_col=id_col, assume_clean=lexicon is None)
     out = filter_min_chars(out, min_chars, "clean")
     if dedup:
         out = dedup_first(out, "clean", id_col)

@@ -22,34 +22,45 @@ def attach_topics(docs: DataFrame, topics: DataFrame, id_col: str = "doc_id") ->
     return docs.join(topics.select(id_col, F.col("topic").cast("int").alias("topic")), id_col)
 
 
+def doc_terms(docs: DataFrame, col: str = "clean", pattern: str = WORD_TOKEN, id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, topic, word, tf): word tokens per document (one shuffle, map-side combined)."""
+    return (docs.select(id_col, "topic", F.explode(word_tokens(col, pattern)).alias("word"))
+                .groupBy(id_col, "topic", "word").agg(F.count(F.lit(1)).alias("tf")))
+
+
 def term_counts(docs: DataFrame, col: str = "clean", pattern: str = WORD_TOKEN) -> DataFrame:
     """(topic, word, n): word tokens per topic, noise topic included."""
     return (docs.select("topic", F.explode(word_tokens(col, pattern)).alias("word"))
                 .groupBy("topic", "word").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _idf_inputs(tc: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def term_counts_from(dt: DataFrame) -> DataFrame:
+    """(topic, word, n) from a doc-term table (re-aggregates, no re-tokenising)."""
+    return dt.groupBy("topic", "word").agg(F.sum("tf").alias("n"))
+
+
+def idf_table(tc: DataFrame) -> DataFrame:
+    """(word, idf) with idf = ``ln(1 + A / f_word)``, ``A`` = int(mean words per topic),
+    ``f_word`` the word's count over all topics.
+
+    ``A`` is a one-row aggregate of the topic totals joined by a constant key
+    (broadcast: size bound one row).
+    """
     per_topic = tc.groupBy("topic").agg(F.sum("n").alias("topic_total"))
     per_word = tc.groupBy("word").agg(F.sum("n").alias("word_total"))
     avg_words = (per_topic.agg(F.floor(F.sum("topic_total") / F.count(F.lit(1))).cast("bigint").alias("avg_words"))
                  .withColumn("__k", F.lit(1)))
-    return per_topic, per_word, avg_words
-
-
-def word_idf(tc: DataFrame) -> DataFrame:
-    """(word, idf) with idf = ln(1 + A / f_word), A = int(mean words per topic)."""
-    _, per_word, avg_words = _idf_inputs(tc)
     return (per_word.withColumn("__k", F.lit(1)).join(F.broadcast(avg_words), "__k")
                     .select("word", F.log(1.0 + F.col("avg_words") / F.col("word_total")).alias("idf")))
 
 
-def ctfidf(tc: DataFrame) -> DataFrame:
-    """(topic, word, n, score): ``n / sum_topic(n) * ln(1 + A / f_word)``."""
-    per_topic, _, _ = _idf_inputs(tc)
-    idf = word_idf(tc)
+def ctfidf(tc: DataFrame, idf: DataFrame | None = None) -> DataFrame:
+    """(topic, word, n, score): class-based tf-idf ``n / sum_topic(n) * idf(word)``."""
+    if idf is None:
+        idf = idf_table(tc)
+    per_topic = tc.groupBy("topic").agg(F.sum("n").alias("topic_total"))
     return (tc.join(per_topic, "topic").join(idf, "word")
-              .select("topic", "word", "n",
-                      (F.col("n") / F.col("topic_total") * F.col("idf")).alias("score")))
+              .select("topic", "word", "n", (F.col("n") / F.col("topic_total") * F.col("idf")).alias("score")))
 
 
 def top_words(scores: DataFrame, n: int = 10, score_col: str = "score") -> DataFrame:
@@ -81,18 +92,18 @@ def topic_info(topics: DataFrame, words: DataFrame) -> DataFrame:
                       F.concat_ws("_", F.col("topic").cast("string"), F.col("__w")).alias("name")))
 
 
-def representative_docs(docs: DataFrame, tc: DataFrame, n: int = 5, col: str = "clean",
-                        id_col: str = "doc_id", pattern: str = WORD_TOKEN) -> DataFrame:
+def representative_docs(docs: DataFrame, scores: DataFrame, idf: DataFrame, n: int = 5, col: str = "clean",
+                        id_col: str = "doc_id", dt: DataFrame | None = None) -> DataFrame:
     """(topic, rank, doc_id, clean, similarity): a topic's documents ranked by
     cosine(doc c-TF-IDF, topic c-TF-IDF); ties by id.
 
-    The doc and topic vectors are sparse long tables joined on (topic, word),
-    so the cost is linear in tokens; nothing is collected per topic.
+    ``scores``/``idf`` are the outputs of :func:`ctfidf`/:func:`idf_table`.  Doc and
+    topic vectors are sparse long tables joined on (topic, word), so the cost
+    is linear in tokens and nothing is collected per topic; the top-n window
+    gets a partial group limit before its shuffle.
     """
-    scores = ctfidf(tc)
-    idf = word_idf(tc)
-    dt = (docs.select(id_col, "topic", F.explode(word_tokens(col, pattern)).alias("word"))
-              .groupBy(id_col, "topic", "word").agg(F.count(F.lit(1)).alias("tf")))
+    if dt is None:
+        dt = doc_terms(docs, col, id_col=id_col)
     doc_len = dt.groupBy(id_col).agg(F.sum("tf").alias("len"))
     dw = (dt.join(doc_len, id_col).join(idf, "word")
             .select(id_col, "topic", "word", (F.col("tf") / F.col("len") * F.col("idf")).alias("wd")))

@@ -81,6 +81,18 @@ def q_preprocess(spark, sf):
 
 
 # ---------------------------------------------------------------- topic words
+def _parts(spark, sf):
+    """Shared subplans: the same DataFrame objects feed every consumer, so the
+    tokenising scan and its shuffles appear once and are reused."""
+    docs = FX.prepared_with_topics(spark, sf)
+    dt = TP.doc_terms(docs)
+    tc = TP.term_counts_from(dt)
+    idf = TP.idf_table(tc)
+    scores = TP.ctfidf(tc, idf)
+    words = TP.top_words(scores, 10)
+    return docs, dt, tc, scores, idf, words
+
+
 @register("term_counts", f"WITH {O.CTFIDF} SELECT topic, word, n FROM tc")
 def q_term_counts(spark, sf):
     return TP.term_counts(FX.prepared_with_topics(spark, sf))
@@ -125,9 +137,8 @@ REP_DOCS_SQL = (
 @register("representative_docs",
           REP_DOCS_SQL + "SELECT topic, rank::INTEGER AS rank, doc_id, round(similarity, 6) AS similarity FROM rk WHERE rank <= 5")
 def q_representative_docs(spark, sf):
-    docs = FX.prepared_with_topics(spark, sf)
-    tc = TP.term_counts(docs)
-    return (TP.representative_docs(docs, tc, 5)
+    docs, _, _, scores, idf, _ = _parts(spark, sf)
+    return (TP.representative_docs(docs, scores, idf, 5)
               .select("topic", "rank", "doc_id", r6("similarity").alias("similarity")))
 
 
@@ -178,12 +189,9 @@ from ..operators import summarize as S  # noqa: E402
 
 
 def _topic_parts(spark, sf):
-    docs = FX.prepared_with_topics(spark, sf)
-    tc = TP.term_counts(docs)
-    scores = TP.ctfidf(tc)
-    words = TP.top_words(scores, 10)
+    docs, dt, tc, scores, idf, words = _parts(spark, sf)
     info = TP.topic_info(docs.select("doc_id", "topic"), words)
-    rep = TP.representative_docs(docs, tc, 5)
+    rep = TP.representative_docs(docs, scores, idf, 5, dt=dt)
     return docs, tc, scores, words, info, rep
 
 

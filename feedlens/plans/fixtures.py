@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.text import preprocess
-from ..session import table
+from ..session import spread, table
 from ..sources.feedback import to_feedback
 
 LANG_TOPIC = {"en": 0, "fr": 1, "de": 2, "es": 3}
@@ -22,7 +22,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_feedback(documents(spark, sf_dir), "text", id_column="doc_id")
+    return spread(to_feedback(documents(spark, sf_dir), "text", id_column="doc_id"))
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
