@@ -384,3 +384,122 @@ def q_topic_sizes(spark, sf):
           "keywords AS \"Keywords\", summary AS \"Summary\" FROM rep")
 def q_localize_report(spark, sf):
     return R.localize(_report(spark, sf), "en")
+
+
+# ---------------------------------------------------------------- vectors, neighbours, clusters
+from ..operators import cluster as CL  # noqa: E402
+from ..operators import embed as EM  # noqa: E402
+from ..operators import neighbors as NB  # noqa: E402
+from ..operators import reduce as RD  # noqa: E402
+from ..session import table as _table  # noqa: E402
+
+HASH_DIM = 64
+HV_SQL = f"WITH {O.PREPARED},\n{O.hashed_vectors(HASH_DIM)}\n"
+
+
+def _hashed(spark, sf):
+    return EM.encode_hashed(FX.prepared(spark, sf), HASH_DIM)
+
+
+def _embeddings(spark, sf):
+    return _table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"),
+                                                   F.col("embedding").cast("array<double>").alias("vec"))
+
+
+@register("embed_hashed", HV_SQL + "SELECT doc_id, dim, round(value, 6) AS value FROM hv")
+def q_embed_hashed(spark, sf):
+    return EM.vector_long(_hashed(spark, sf)).withColumn("value", r6("value"))
+
+
+@register("embed_cache_misses",
+          f"WITH {O.PREPARED}, cached AS (SELECT sha256(p.clean) AS k FROM pre p JOIN labels l ON p.doc_id = l.doc_id) "
+          "SELECT doc_id, CASE WHEN sha256(clean) IN (SELECT k FROM cached) THEN 'hit' ELSE 'miss' END AS status FROM pre")
+def q_embed_cache_misses(spark, sf):
+    """Cache = vectors of the labelled documents from an earlier run; encode the rest."""
+    pre = FX.prepared(spark, sf)
+    labelled = pre.join(_table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
+    cache = EM.encode_hashed(labelled, HASH_DIM).join(labelled, "doc_id").select(EM.text_key("clean").alias("text_key"), "vec")
+    vecs, _ = EM.embed_cached(pre, cache, lambda m: EM.encode_hashed(m, HASH_DIM))
+    return vecs.select("doc_id", F.when(F.col("cached"), F.lit("hit")).otherwise(F.lit("miss")).alias("status"))
+
+
+def _rp_sql(src: str, idc: str, vcol: str, k: int, dim: int, seed: int = 42) -> str:
+    sign = (f"CASE WHEN (({O.md5_int(f"'{seed}:' || d.i::VARCHAR || ':' || c.i::VARCHAR")} >> 16) & 1) = 1 "
+            "THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END")
+    return (f"rm AS (SELECT d.i AS d, c.i AS c, {sign} / sqrt({k}) AS r FROM range({dim}) d(i), range({k}) c(i)),\n"
+            f"ux AS (SELECT {idc} AS id, unnest({vcol}) AS x, generate_subscripts({vcol}, 1) - 1 AS d FROM {src}),\n"
+            "rp AS (SELECT id, c::INTEGER AS comp, sum(x * r) AS value FROM ux JOIN rm USING (d) GROUP BY id, c)")
+
+
+@register("reduce_random",
+          f"WITH {O.EMB},\n" + _rp_sql("ev", "id", "v", 5, 64) + "\nSELECT id AS doc_id, comp, round(value, 6) AS value FROM rp")
+def q_reduce_random(spark, sf):
+    r = RD.reduce_random(_embeddings(spark, sf), 64, 5)
+    return EM.vector_long(r, vec="rvec", name="comp").withColumn("value", r6("value"))
+
+
+@register("reduce_pca")
+def q_reduce_pca(spark, sf):
+    r = RD.reduce_pca(_embeddings(spark, sf), 5)
+    return EM.vector_long(r, vec="rvec", name="comp")
+
+
+@register("document_map",
+          HV_SQL + ",\n" + O.FIXTURE_TOPICS + ",\n" + _rp_sql("dv", "doc_id", "v", 2, HASH_DIM) +
+          "\nSELECT p.id AS doc_id, round(max(CASE WHEN comp = 0 THEN value END), 6) AS x, round(max(CASE WHEN comp = 1 THEN value END), 6) AS y, "
+          "coalesce(max(f.topic), -1)::INTEGER AS topic FROM rp p LEFT JOIN ft f ON p.id = f.doc_id GROUP BY p.id")
+def q_document_map(spark, sf):
+    m = RD.document_map(_hashed(spark, sf), FX.fixture_topics(spark, sf), HASH_DIM)
+    return m.select("doc_id", r6("x").alias("x"), r6("y").alias("y"), "topic")
+
+
+@register("knn_exact", f"WITH {O.EMB_PAIRS} SELECT src, dst, rank::INTEGER AS rank, round(dist, 6) AS dist FROM ek WHERE rank <= 4")
+def q_knn_exact(spark, sf):
+    return NB.knn(_embeddings(spark, sf), 4, 64).withColumn("dist", r6("dist"))
+
+
+@register("core_distance",
+          f"WITH {O.EMB_PAIRS} SELECT src AS id, round(dist, 6) AS core FROM ek WHERE rank = 3")
+def q_core_distance(spark, sf):
+    return CL.core_distance(NB.knn(_embeddings(spark, sf), 3, 64), 3).withColumn("core", r6("core"))
+
+
+@register("mutual_reachability",
+          f"WITH {O.EMB_PAIRS}, core AS (SELECT src AS id, dist AS core FROM ek WHERE rank = 3) "
+          "SELECT e.src, e.dst, round(greatest(c1.core, c2.core, e.dist), 6) AS mreach FROM ek e "
+          "JOIN core c1 ON e.src = c1.id JOIN core c2 ON e.dst = c2.id WHERE e.rank <= 4")
+def q_mutual_reachability(spark, sf):
+    emb = _embeddings(spark, sf)
+    nn = NB.knn(emb, 4, 64)
+    core = CL.core_distance(nn, 3)
+    return CL.mutual_reachability(nn, core).select("src", "dst", r6("mreach").alias("mreach"))
+
+
+DENSITY_SQL = (
+    HV_SQL + ",\n"
+    "pr AS (SELECT a.doc_id AS src, b.doc_id AS dst, "
+    "sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS dist "
+    "FROM dv a, dv b WHERE a.doc_id <> b.doc_id),\n"
+    "e AS (SELECT * FROM pr WHERE dist <= 1.0),\n"
+    "core AS (SELECT src AS id, dist AS core FROM (SELECT src, dist, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS r FROM e) WHERE r = 3),\n"
+    "mr AS (SELECT e.src, e.dst FROM e JOIN core c1 ON e.src = c1.id JOIN core c2 ON e.dst = c2.id WHERE greatest(c1.core, c2.core, e.dist) <= 1.0),\n"
+    "cc AS (SELECT id, min(comp) AS comp FROM (WITH RECURSIVE reach(id, comp) AS (SELECT doc_id, doc_id FROM pre UNION "
+    "SELECT m.dst, reach.comp FROM reach JOIN mr m ON reach.id = m.src) SELECT * FROM reach) GROUP BY id),\n"
+    "sz AS (SELECT comp, count(*) AS n FROM cc GROUP BY comp)\n"
+)
+
+
+@register("density_cluster_at",
+          DENSITY_SQL + "SELECT id AS doc_id, (CASE WHEN n >= 5 THEN comp ELSE -1 END)::BIGINT AS cluster FROM cc JOIN sz USING (comp)")
+def q_density_cluster_at(spark, sf):
+    """Hashed document vectors clustered at mutual reachability 1.0 (min_samples 3, min size 5)."""
+    return CL.density_cluster_at(_hashed(spark, sf), 1.0, HASH_DIM, 3, 5)
+
+
+@register("spanning_forest")
+def q_spanning_forest(spark, sf):
+    """Minimum spanning forest of the mutual-reachability kNN graph of the embeddings."""
+    emb = _embeddings(spark, sf)
+    nn = NB.knn(emb, 4, 64)
+    mr = CL.mutual_reachability(nn, CL.core_distance(nn, 3))
+    return CL.spanning_forest(emb.select(F.col("doc_id").alias("id")), mr.select("src", "dst", F.col("mreach").alias("w")))

@@ -117,3 +117,30 @@ def parse_sql(raw: str) -> tuple[str, str]:
 def template_sql() -> str:
     from ..operators.summarize import ANSWER_FORMAT, DEFAULT_TEMPLATE
     return q(DEFAULT_TEMPLATE), q(ANSWER_FORMAT)
+
+
+def md5_int(x: str) -> str:
+    return f"('0x' || substr(md5({x}), 1, 8))::BIGINT"
+
+
+def hashed_vectors(dim: int = 64) -> str:
+    """CTEs ending in hv(doc_id, dim, value) and dv(doc_id, v DOUBLE[]) over ``pre``."""
+    return (
+        f"hdt AS (SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest({tokens('clean')}) AS word FROM pre) GROUP BY ALL),\n"
+        "hn AS (SELECT count(*) AS n FROM pre),\n"
+        f"voc AS (SELECT word, ln((max(n) + 1)::DOUBLE / (count(*) + 1)::DOUBLE) AS idf, ({md5_int('word')} % {dim})::INTEGER AS bucket, "
+        f"CASE WHEN (({md5_int('word')} >> 16) & 1) = 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS sign FROM hdt, hn GROUP BY word),\n"
+        "bs AS (SELECT doc_id, bucket, sum(sign * tf * idf) AS v FROM hdt JOIN voc USING (word) GROUP BY ALL),\n"
+        f"dims AS (SELECT p.doc_id, g.i::INTEGER AS dim FROM pre p, range({dim}) g(i)),\n"
+        "dense AS (SELECT d.doc_id, d.dim, coalesce(bs.v, 0.0::DOUBLE) AS v FROM dims d LEFT JOIN bs ON d.doc_id = bs.doc_id AND d.dim = bs.bucket),\n"
+        "nrm AS (SELECT doc_id, sqrt(sum(v * v)) AS nr FROM dense GROUP BY doc_id),\n"
+        "hv AS (SELECT doc_id, dim, CASE WHEN nr > 0 THEN v / nr ELSE 0.0::DOUBLE END AS value FROM dense JOIN nrm USING (doc_id)),\n"
+        "dv AS (SELECT doc_id, list(value ORDER BY dim) AS v FROM hv GROUP BY doc_id)"
+    )
+
+
+EMB = "ev AS (SELECT vec_id::BIGINT AS id, embedding::DOUBLE[] AS v FROM embeddings)"
+EMB_PAIRS = (EMB + ",\nep AS (SELECT a.id AS src, b.id AS dst, "
+             "sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS dist "
+             "FROM ev a, ev b WHERE a.id <> b.id),\n"
+             "ek AS (SELECT src, dst, dist, row_number() OVER (PARTITION BY src ORDER BY round(dist, 9), dst) AS rank FROM ep)")
