@@ -1,14 +1,97 @@
-"""End-to-end compositions."""
+"""End-to-end composition: feedback table -> topics, keywords, summaries, report."""
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators import cluster as CL
+from ..operators import embed as EM
+from ..operators import report as R
+from ..operators import summarize as S
 from ..operators import topics as TP
-from . import fixtures as FX
+from ..operators.text import DEFAULT_STOPWORDS, preprocess
+from ..session import cut_lineage
+from ..sources.feedback import require_min_docs, to_feedback
+
+
+@dataclass
+class Options:
+    text_column: str = "text"
+    id_column: str | None = "doc_id"
+    lowercase: bool = True
+    min_chars: int = 3
+    dedup: bool = True
+    stopwords: tuple = DEFAULT_STOPWORDS
+    dim: int = 64
+    eps: float = 1.0
+    min_samples: int = 3
+    min_cluster_size: int = 5
+    n_keywords: int = 10
+    n_docs: int = 5
+    summarize: bool = True
+    backend: object = None            # Python callable str -> str; None = offline extractive backend
+    cache: DataFrame | None = None    # response cache table
+    min_docs: int = 5
+    extra: dict = field(default_factory=dict)
+
+
+@dataclass
+class Result:
+    docs: DataFrame
+    vectors: DataFrame
+    topics: DataFrame
+    words: DataFrame
+    info: DataFrame
+    rep_docs: DataFrame
+    summaries: DataFrame | None
+    report: DataFrame
+    stats: DataFrame
+
+
+def analyze(df: DataFrame, opts: Options | None = None) -> Result:
+    """Ingest -> preprocess -> guard -> embed -> density clusters -> relabel ->
+    c-TF-IDF keywords -> representative docs -> (summaries) -> report.
+
+    The cleaned documents are persisted (reused by four consumers) and the
+    vectors are checkpointed to the shared folder before the iterative
+    clustering, so the loop never replays the text work.
+    """
+    o = opts or Options()
+    if not o.text_column:
+        raise ValueError("text_column must be set")
+    fb = to_feedback(df, o.text_column, o.id_column)
+    docs = preprocess(fb, lowercase=o.lowercase, min_chars=o.min_chars, dedup=o.dedup,
+                      stopwords=o.stopwords).persist(StorageLevel.MEMORY_AND_DISK)
+    require_min_docs(docs, o.min_docs)
+    vecs = cut_lineage(EM.encode_hashed(docs, o.dim))
+    clusters = CL.density_cluster_at(vecs, o.eps, o.dim, o.min_samples, o.min_cluster_size)
+    topics = cut_lineage(TP.relabel_by_size(clusters.select("doc_id", F.col("cluster").alias("topic"))))
+    dtop = docs.join(topics, "doc_id")
+    # The doc-term table feeds both the topic counts and the doc vectors of the
+    # representative-document step: keep it.  Topic-level tables (bounded by
+    # topics x vocabulary) are checkpointed so the many downstream consumers
+    # start from short plans instead of re-inlining the whole upstream tree.
+    dt = TP.doc_terms(dtop).persist(StorageLevel.MEMORY_AND_DISK)
+    tc = TP.term_counts_from(dt)
+    idf = cut_lineage(TP.idf_table(tc))
+    scores = cut_lineage(TP.ctfidf(tc, idf))
+    words = cut_lineage(TP.top_words(scores, o.n_keywords))
+    info = cut_lineage(TP.topic_info(topics, words))
+    rep = cut_lineage(TP.representative_docs(dtop, scores, idf, o.n_docs, dt=dt))
+    summaries = None
+    if o.summarize:
+        prompts = S.build_prompts(words, rep, n_keywords=o.n_keywords, n_docs=o.n_docs)
+        backend = o.backend or S.extractive_backend(rep, scores)
+        responses, _ = S.respond_cached(prompts, backend, o.cache)
+        summaries = S.summarize_topics(info, words, responses)
+    report = R.topic_report(info, words, rep, summaries, n_docs=o.n_docs)
+    return Result(docs, vecs, topics, words, info, rep, summaries, report, TP.run_stats(topics))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is each group of messages about: topic, count, name (M1 slice)."""
-    docs = FX.prepared_with_topics(spark, sf_dir)
-    words = TP.top_words(TP.ctfidf(TP.term_counts(docs)), 10)
-    return TP.topic_info(docs.select("doc_id", "topic"), words)
+    """Topic report for the documents table of ``sf_dir``."""
+    from ..session import table
+    return analyze(table(spark, sf_dir, "documents")).report

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
+from ..session import cut_lineage
 from ..operators import text as T
 from ..operators import topics as TP
 from . import fixtures as FX
@@ -189,9 +190,15 @@ from ..operators import summarize as S  # noqa: E402
 
 
 def _topic_parts(spark, sf):
+    """Topic-level tables checkpointed once (bounded by topics x vocabulary)."""
     docs, dt, tc, scores, idf, words = _parts(spark, sf)
-    info = TP.topic_info(docs.select("doc_id", "topic"), words)
-    rep = TP.representative_docs(docs, scores, idf, 5, dt=dt)
+    dt = dt.persist()
+    idf = cut_lineage(idf)
+    scores = cut_lineage(TP.ctfidf(tc, idf))
+    words = cut_lineage(TP.top_words(scores, 10))
+    info = cut_lineage(TP.topic_info(docs.select("doc_id", "topic"), words))
+    rep = cut_lineage(TP.representative_docs(docs, scores, idf, 5, dt=dt))
+    dt.unpersist()
     return docs, tc, scores, words, info, rep
 
 
@@ -503,3 +510,11 @@ def q_spanning_forest(spark, sf):
     nn = NB.knn(emb, 4, 64)
     mr = CL.mutual_reachability(nn, CL.core_distance(nn, 3))
     return CL.spanning_forest(emb.select(F.col("doc_id").alias("id")), mr.select("src", "dst", F.col("mreach").alias("w")))
+
+
+@register("analyze_topics")
+def q_analyze_topics(spark, sf):
+    """End-to-end: documents -> clusters -> keywords -> extractive summaries -> report."""
+    from .analyze import analyze
+    rep = analyze(FX.documents(spark, sf)).report
+    return rep.withColumn("docs", F.array_join("docs", "\n"))
