@@ -25,20 +25,35 @@ def dense_from_pairs(pairs: DataFrame, id_col: str, dim: int, idx: str = "bucket
                                              lambda i: F.coalesce(F.col("__m")[i], F.lit(0.0))).alias("vec")))
 
 
+def hashed_vocab(docs: DataFrame, dim: int = 64, col: str = "clean", id_col: str = "doc_id",
+                 pattern: str = WORD_TOKEN, sign_bit: int = 16) -> DataFrame:
+    """(word, idf, bucket, sign) learned from a corpus; reusable to encode new text."""
+    dt = (docs.select(id_col, F.explode(word_tokens(col, pattern)).alias("word"))
+              .groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("tf")))
+    return _vocab(dt, docs, dim, sign_bit)
+
+
+def _vocab(dt: DataFrame, docs: DataFrame, dim: int, sign_bit: int) -> DataFrame:
+    n = docs.agg(F.count(F.lit(1)).alias("__n")).withColumn("__k", F.lit(1))
+    return (dt.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+              .withColumn("__k", F.lit(1)).join(F.broadcast(n), "__k")
+              .select("word", F.log((F.col("__n") + 1.0) / (F.col("df") + 1.0)).alias("idf"),
+                      md5_bucket("word", dim).alias("bucket"), md5_sign("word", sign_bit).alias("sign")))
+
+
 def encode_hashed(docs: DataFrame, dim: int = 64, col: str = "clean", id_col: str = "doc_id",
-                  pattern: str = WORD_TOKEN, sign_bit: int = 16) -> DataFrame:
+                  pattern: str = WORD_TOKEN, sign_bit: int = 16, vocab: DataFrame | None = None) -> DataFrame:
     """(doc_id, vec): signed feature hashing of tf-idf, L2-normalised.
 
     weight = tf * ln((n + 1) / (df + 1)); bucket = md5int(word) % dim; sign from
     bit ``sign_bit`` of md5int(word).  Documents without tokens get a zero vector.
+    With ``vocab`` (from :func:`hashed_vocab` of a training corpus) new text is
+    encoded with the training idf; unknown words are ignored.
     """
     dt = (docs.select(id_col, F.explode(word_tokens(col, pattern)).alias("word"))
               .groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("tf")))
-    n = docs.agg(F.count(F.lit(1)).alias("__n")).withColumn("__k", F.lit(1))
-    vocab = (dt.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-               .withColumn("__k", F.lit(1)).join(F.broadcast(n), "__k")
-               .select("word", F.log((F.col("__n") + 1.0) / (F.col("df") + 1.0)).alias("idf"),
-                       md5_bucket("word", dim).alias("bucket"), md5_sign("word", sign_bit).alias("sign")))
+    if vocab is None:
+        vocab = _vocab(dt, docs, dim, sign_bit)
     pairs = (dt.join(vocab, "word").repartition(id_col)
                .groupBy(id_col, "bucket").agg(F.sum(F.col("sign") * F.col("tf") * F.col("idf")).alias("v")))
     # L2 norm per document over its (at most ``dim``) bucket rows; same partitioning.

@@ -518,3 +518,156 @@ def q_analyze_topics(spark, sf):
     from .analyze import analyze
     rep = analyze(FX.documents(spark, sf)).report
     return rep.withColumn("docs", F.array_join("docs", "\n"))
+
+
+# ---------------------------------------------------------------- incremental and time-based
+from ..operators import trends as TR  # noqa: E402
+
+MIN_SIM = 0.1
+
+
+def _model(spark, sf):
+    """Topic model learned on the documents: vocabulary, vectors, language-topic centroids."""
+    pre = FX.prepared(spark, sf)
+    vocab = cut_lineage(EM.hashed_vocab(pre, HASH_DIM))
+    vecs = EM.encode_hashed(pre, HASH_DIM, vocab=vocab)
+    cen = cut_lineage(TR.topic_centroids(vecs, FX.fixture_topics(spark, sf), HASH_DIM))
+    return pre, vocab, vecs, cen
+
+
+def _conversations(spark, sf):
+    c = _table(spark, sf, "conversations")
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "conv_id", "turn", "text")
+
+
+def _conv_vectors(spark, sf, vocab):
+    c = _conversations(spark, sf)
+    docs = c.select("doc_id", T.remove_stopwords_col(clean_text("text"), T.DEFAULT_STOPWORDS, True).alias("clean"))
+    return EM.encode_hashed(docs, HASH_DIM, vocab=vocab)
+
+
+MODEL_SQL = (
+    HV_SQL + ",\n" + O.FIXTURE_TOPICS + ",\n"
+    "cen0 AS (SELECT f.topic, h.dim, avg(h.value) AS v FROM hv h JOIN ft f USING (doc_id) WHERE f.topic <> -1 GROUP BY ALL),\n"
+    "cnr AS (SELECT topic, sqrt(sum(v * v)) AS nr FROM cen0 GROUP BY topic),\n"
+    "cen AS (SELECT topic, list(CASE WHEN nr > 0 THEN v / nr ELSE 0.0 END ORDER BY dim) AS c FROM cen0 JOIN cnr USING (topic) GROUP BY topic),\n"
+    f"cv AS (SELECT conv_id * 1000 + turn AS id, conv_id, turn, {O.stop(O.clean('text'))} AS clean FROM conversations),\n"
+    f"ct AS (SELECT id, word, count(*) AS tf FROM (SELECT id, unnest({O.tokens('clean')}) AS word FROM cv) GROUP BY ALL),\n"
+    "cb AS (SELECT id, bucket, sum(sign * tf * idf) AS v FROM ct JOIN voc USING (word) GROUP BY ALL),\n"
+    "cbn AS (SELECT id, sqrt(sum(v * v)) AS nr FROM cb GROUP BY id),\n"
+    f"cdims AS (SELECT c.id, g.i::INTEGER AS dim FROM cv c, range({HASH_DIM}) g(i)),\n"
+    "cdense AS (SELECT d.id, d.dim, CASE WHEN n.nr > 0 THEN coalesce(b.v, 0.0) / n.nr ELSE 0.0 END AS v FROM cdims d "
+    "LEFT JOIN cb b ON d.id = b.id AND d.dim = b.bucket LEFT JOIN cbn n ON d.id = n.id),\n"
+    "cvec AS (SELECT id, list(v ORDER BY dim) AS x FROM cdense GROUP BY id),\n"
+    "csim AS (SELECT v.id, c.topic, 1.0 - list_sum(list_transform(list_zip(v.x, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) / 2.0 AS sim "
+    "FROM cvec v, cen c WHERE list_sum(list_transform(v.x, lambda t: abs(t))) > 0),\n"
+    "cbest AS (SELECT id, topic, sim FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(sim, 9) DESC, topic) AS r FROM csim) WHERE r = 1),\n"
+    f"assigned AS (SELECT c.conv_id, c.turn, (CASE WHEN b.topic IS NOT NULL AND coalesce(b.sim, 0.0) >= {MIN_SIM} THEN b.topic ELSE -1 END)::INTEGER AS topic, "
+    "coalesce(b.sim, 0.0) AS sim FROM cv c LEFT JOIN cbest b ON c.id = b.id)\n"
+)
+
+
+@register("assign_topics", MODEL_SQL + "SELECT conv_id, turn, topic, round(sim, 6) AS sim FROM assigned")
+def q_assign_topics(spark, sf):
+    """New feedback (conversation turns) assigned to the topics learned on documents."""
+    _, vocab, _, cen = _model(spark, sf)
+    a = TR.assign_topics(_conv_vectors(spark, sf, vocab), cen, HASH_DIM, MIN_SIM)
+    return (_conversations(spark, sf).select("doc_id", "conv_id", "turn").join(a, "doc_id")
+            .select("conv_id", "turn", "topic", r6("sim").alias("sim")))
+
+
+@register("assign_stream", MODEL_SQL + "SELECT conv_id, turn, topic, round(sim, 6) AS sim FROM assigned")
+def q_assign_stream(spark, sf):
+    """The same assignment as a Structured Streaming query over the conversations file."""
+    from ..session import scratch_path
+    from ..streaming import assign_topics_stream
+    _, vocab, _, cen = _model(spark, sf)
+    schema = _table(spark, sf, "conversations").schema
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("pathGlobFilter", "conversations.parquet").parquet(sf.rstrip("/")))
+    out = scratch_path(spark, "assign-out")
+    q = assign_topics_stream(stream, cen, vocab, HASH_DIM, out, scratch_path(spark, "assign-ckpt"), MIN_SIM,
+                             id_cols=["conv_id", "turn"])
+    q.awaitTermination()
+    return spark.read.parquet(out).select("conv_id", "turn", "topic", r6("sim").alias("sim"))
+
+
+TREND_SQL = (
+    f"WITH {O.FIXTURE_TOPICS},\n"
+    "tt AS (SELECT f.topic, date_trunc('week', e.ts) AS period FROM ft f JOIN events e ON e.event_id = f.doc_id),\n"
+    "per AS (SELECT topic, period, count(*)::BIGINT AS count FROM tt GROUP BY ALL),\n"
+    "tr AS (SELECT topic, period, count, lag(count) OVER (PARTITION BY topic ORDER BY period) AS prev_count FROM per)\n"
+)
+
+
+def _trend(spark, sf):
+    ev = _table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), "ts")
+    return TR.topic_trend(FX.fixture_topics(spark, sf).join(ev, "doc_id"))
+
+
+@register("topic_trend",
+          TREND_SQL + "SELECT topic, period::DATE::VARCHAR AS period, count, prev_count, (count - coalesce(prev_count, 0))::BIGINT AS change FROM tr")
+def q_topic_trend(spark, sf):
+    return _trend(spark, sf).withColumn("period", F.to_date("period").cast("string"))
+
+
+@register("negative_spikes",
+          TREND_SQL + ", sm AS (SELECT DISTINCT topic FROM ft WHERE topic % 4 IN (0, 1) AND topic <> -1)\n"
+          "SELECT topic, period::DATE::VARCHAR AS period, count, round(tm, 6) AS trailing_mean, "
+          "(tm IS NOT NULL AND count >= 1.5 * tm) AS spike FROM (SELECT *, avg(count) OVER (PARTITION BY topic ORDER BY period "
+          "ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS tm FROM tr WHERE topic IN (SELECT topic FROM sm))")
+def q_negative_spikes(spark, sf):
+    """Weekly counts of negative topics against the mean of the two weeks before."""
+    trend = _trend(spark, sf)
+    topics = trend.select("topic").distinct().filter(F.col("topic") != TP.NOISE)
+    summ = S.parse_replies(topics.select("topic", FX.canned_reply_topic("topic").alias("response")))
+    return (TR.negative_spikes(trend, summ, 1.5, 2)
+              .select("topic", F.to_date("period").cast("string").alias("period"), "count",
+                      r6("trailing_mean").alias("trailing_mean"), "spike"))
+
+
+def _source_topics(spark, sf):
+    d = FX.documents(spark, sf)
+    return d.select("doc_id", F.when(F.col("n_chars") < 200, F.lit(-1))
+                    .otherwise(F.substring("source", 4, 10).cast("int")).cast("int").alias("topic"))
+
+
+@register("topic_drift",
+          MODEL_SQL.rstrip("\n") + ",\n"
+          "st AS (SELECT doc_id, (CASE WHEN n_chars < 200 THEN -1 ELSE CAST(substr(source, 4) AS INTEGER) END)::INTEGER AS topic FROM documents),\n"
+          "n0 AS (SELECT s.topic, h.dim, avg(h.value) AS v FROM hv h JOIN st s USING (doc_id) WHERE s.topic <> -1 GROUP BY ALL),\n"
+          "nnr AS (SELECT topic, sqrt(sum(v * v)) AS nr FROM n0 GROUP BY topic),\n"
+          "nc AS (SELECT topic, list(CASE WHEN nr > 0 THEN v / nr ELSE 0.0 END ORDER BY dim) AS c FROM n0 JOIN nnr USING (topic) GROUP BY topic),\n"
+          "ds AS (SELECT n.topic, o.topic AS old, 1.0 - list_sum(list_transform(list_zip(n.c, o.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) / 2.0 AS sim FROM nc n, cen o),\n"
+          "db AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY round(sim, 9) DESC, old) AS r FROM ds) WHERE r = 1)\n"
+          "SELECT topic::INTEGER AS topic, old::INTEGER AS closest_old, round(sim, 6) AS sim, sim < 0.97 AS drifted FROM db")
+def q_topic_drift(spark, sf):
+    """Topics of a source-based run against the language topics of the previous run."""
+    _, _, vecs, old = _model(spark, sf)
+    new = TR.topic_centroids(vecs, _source_topics(spark, sf), HASH_DIM)
+    return TR.topic_drift(old, new, HASH_DIM, 0.97).select("topic", "closest_old", r6("sim").alias("sim"), "drifted")
+
+
+def _names(spark, sf, threshold):
+    pre = FX.prepared(spark, sf)
+    d = FX.documents(spark, sf)
+    t = F.when(F.col("n_chars") < threshold, F.lit(-1))
+    for lang, tid in FX.LANG_TOPIC.items():
+        t = t.when(F.col("lang") == lang, F.lit(tid))
+    topics = d.select("doc_id", t.otherwise(F.lit(-1)).cast("int").alias("topic"))
+    docs = pre.join(topics, "doc_id")
+    words = TP.top_words(TP.ctfidf(TP.term_counts(docs)), 10)
+    info = TP.topic_info(docs.select("doc_id", "topic"), words)
+    return info.select("topic", F.col("name").alias("keywords"), F.lit("").alias("docs"))
+
+
+@register("changed_topics",
+          f"WITH {O.PREPARED},\n{O.fixture_topics('fta', 200)},\n{O.fixture_topics('ftb', 2000)},\n"
+          f"{O.ctfidf_ctes('a', 'fta')},\n{O.ctfidf_ctes('b', 'ftb')},\n"
+          f"na AS (SELECT c.topic, concat_ws('_', c.topic::VARCHAR, w.w) AS k FROM (SELECT DISTINCT topic FROM pt0a) c LEFT JOIN ({O.words_joined('twa', 4, '_', 'w')}) w USING (topic)),\n"
+          f"nb AS (SELECT c.topic, concat_ws('_', c.topic::VARCHAR, w.w) AS k FROM (SELECT DISTINCT topic FROM pt0b) c LEFT JOIN ({O.words_joined('twb', 4, '_', 'w')}) w USING (topic))\n"
+          "SELECT coalesce(na.topic, nb.topic)::INTEGER AS topic, CASE WHEN na.topic IS NULL THEN 'new' WHEN nb.topic IS NULL THEN 'removed' "
+          "WHEN na.k = nb.k THEN 'unchanged' ELSE 'changed' END AS status FROM na FULL OUTER JOIN nb ON na.topic = nb.topic")
+def q_changed_topics(spark, sf):
+    """Last run: noise under 200 characters; this run: noise under 2,000."""
+    return TR.changed_topics(_names(spark, sf, 200), _names(spark, sf, 2000))

@@ -51,3 +51,13 @@ def canned_reply(topic_col, kw_col):
              .when(t == 1, F.concat(F.lit("Sentiment: positive\nSentiment: negative\nSummary: "), kw, F.lit(": chi tiết")))
              .when(t == 2, F.concat(F.lit("cam xuc: tich cuc\n\n  "), kw, F.lit("  \nTÓM TẮT:")))
              .otherwise(kw))
+
+
+def canned_reply_topic(topic_col):
+    """A keyword-free reply per topic (sentiment fixture for trends): topics
+    0 and 1 (mod 4) come out negative."""
+    t = F.col(topic_col) % 4
+    return (F.when(t == 0, F.lit("CẢM XÚC: tiêu cực"))
+             .when(t == 1, F.lit("Sentiment: positive\nSentiment: negative"))
+             .when(t == 2, F.lit("cam xuc: tich cuc"))
+             .otherwise(F.lit("")))

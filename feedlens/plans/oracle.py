@@ -52,22 +52,29 @@ PREPARED = (
     "pre AS (SELECT doc_id, text, clean FROM (SELECT *, row_number() OVER (PARTITION BY clean ORDER BY doc_id) AS rn FROM fl) WHERE rn = 1)"
 )
 
-FIXTURE_TOPICS = (
-    "ft AS (SELECT doc_id, (CASE WHEN n_chars < 200 THEN -1 WHEN lang = 'en' THEN 0 WHEN lang = 'fr' THEN 1 "
-    "WHEN lang = 'de' THEN 2 WHEN lang = 'es' THEN 3 ELSE -1 END)::INTEGER AS topic FROM documents)"
-)
+def fixture_topics(name: str = "ft", threshold: int = 200) -> str:
+    return (f"{name} AS (SELECT doc_id, (CASE WHEN n_chars < {threshold} THEN -1 WHEN lang = 'en' THEN 0 WHEN lang = 'fr' THEN 1 "
+            "WHEN lang = 'de' THEN 2 WHEN lang = 'es' THEN 3 ELSE -1 END)::INTEGER AS topic FROM documents)")
 
-CTFIDF = (
-    PREPARED + ",\n" + FIXTURE_TOPICS + ",\n"
-    "pt0 AS (SELECT p.doc_id, p.clean, f.topic FROM pre p JOIN ft f USING (doc_id)),\n"
-    f"tc AS (SELECT topic, word, count(*)::BIGINT AS n FROM (SELECT topic, unnest({tokens('clean')}) AS word FROM pt0) GROUP BY topic, word),\n"
-    "ptot AS (SELECT topic, sum(n)::BIGINT AS topic_total FROM tc GROUP BY topic),\n"
-    "pw AS (SELECT word, sum(n)::BIGINT AS word_total FROM tc GROUP BY word),\n"
-    "aw AS (SELECT floor(sum(topic_total) / count(*))::BIGINT AS avg_words FROM ptot),\n"
-    "idf AS (SELECT word, ln(1.0::DOUBLE + avg_words / word_total) AS idf FROM pw, aw),\n"
-    "sc AS (SELECT topic, word, n, n / topic_total * idf AS score FROM tc JOIN ptot USING (topic) JOIN idf USING (word)),\n"
-    "tw AS (SELECT topic, word, score, row_number() OVER (PARTITION BY topic ORDER BY score DESC, word) AS rank FROM sc)"
-)
+
+FIXTURE_TOPICS = fixture_topics()
+
+
+def ctfidf_ctes(x: str = "", ft: str = "ft") -> str:
+    """c-TF-IDF CTE chain over ``pre`` and topic table ``ft``; CTE names get suffix ``x``."""
+    return (
+        f"pt0{x} AS (SELECT p.doc_id, p.clean, f.topic FROM pre p JOIN {ft} f USING (doc_id)),\n"
+        f"tc{x} AS (SELECT topic, word, count(*)::BIGINT AS n FROM (SELECT topic, unnest({tokens('clean')}) AS word FROM pt0{x}) GROUP BY topic, word),\n"
+        f"ptot{x} AS (SELECT topic, sum(n)::BIGINT AS topic_total FROM tc{x} GROUP BY topic),\n"
+        f"pw{x} AS (SELECT word, sum(n)::BIGINT AS word_total FROM tc{x} GROUP BY word),\n"
+        f"aw{x} AS (SELECT floor(sum(topic_total) / count(*))::BIGINT AS avg_words FROM ptot{x}),\n"
+        f"idf{x} AS (SELECT word, ln(1.0::DOUBLE + avg_words / word_total) AS idf FROM pw{x}, aw{x}),\n"
+        f"sc{x} AS (SELECT topic, word, n, n / topic_total * idf AS score FROM tc{x} JOIN ptot{x} USING (topic) JOIN idf{x} USING (word)),\n"
+        f"tw{x} AS (SELECT topic, word, score, row_number() OVER (PARTITION BY topic ORDER BY score DESC, word) AS rank FROM sc{x})"
+    )
+
+
+CTFIDF = PREPARED + ",\n" + FIXTURE_TOPICS + ",\n" + ctfidf_ctes()
 
 
 def words_joined(src: str, n: int, sep: str, name: str) -> str:
