@@ -671,3 +671,71 @@ def _names(spark, sf, threshold):
 def q_changed_topics(spark, sf):
     """Last run: noise under 200 characters; this run: noise under 2,000."""
     return TR.changed_topics(_names(spark, sf, 200), _names(spark, sf, 2000))
+
+
+# ---------------------------------------------------------------- sources and sinks
+from ..session import scratch_path  # noqa: E402
+from ..sources import sinks as SK  # noqa: E402
+from ..sources.feedback import PANDAS_NA_VALUES, read_feedback_csv, require_min_docs  # noqa: E402
+from ..sources.workbooks import read_feedback_workbooks, write_feedback_workbooks  # noqa: E402
+
+_NA_SQL = ", ".join(O.q(v) for v in PANDAS_NA_VALUES)
+NA_FEEDBACK_SQL = (f"SELECT doc_id::BIGINT AS doc_id, CASE WHEN text IS NULL OR text IN ({_NA_SQL}) THEN '' ELSE text END AS text "
+                   "FROM documents")
+
+
+@register("ingest_csv", NA_FEEDBACK_SQL)
+def q_ingest_csv(spark, sf):
+    """Documents written as RFC-4180 CSV (multi-line quoted cells) and read back as feedback."""
+    path = scratch_path(spark, "csv")
+    SK.write_feedback_csv(FX.documents(spark, sf).select("doc_id", "text"), path)
+    return read_feedback_csv(spark, path, "text", id_column="doc_id")
+
+
+@register("ingest_xlsx", NA_FEEDBACK_SQL)
+def q_ingest_xlsx(spark, sf):
+    """Documents written as a folder of .xlsx workbooks and read back, one task per workbook."""
+    path = scratch_path(spark, "xlsx")
+    write_feedback_workbooks(FX.documents(spark, sf).select("doc_id", "text").repartition(4), path)
+    return read_feedback_workbooks(spark, f"{path}/*.xlsx", "text", id_column="doc_id")
+
+
+@register("min_docs_guard", f"WITH {O.PREPARED} SELECT doc_id, text, clean FROM pre")
+def q_min_docs_guard(spark, sf):
+    return require_min_docs(FX.prepared(spark, sf), 5)
+
+
+@register("sink_topics_csv", SUMMARY_SQL + "SELECT topic, keywords, summary, sentiment, priority FROM summ")
+def q_sink_topics_csv(spark, sf):
+    _, _, _, words, info, _ = _topic_parts(spark, sf)
+    path = scratch_path(spark, "topics-csv")
+    SK.write_topics(S.summarize_topics(info, words, _canned(words)), path)
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return back.select(F.col("topic").cast("int").alias("topic"),
+                       *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("keywords", "summary", "sentiment", "priority")])
+
+
+@register("snapshot_roundtrip",
+          REPORT_SQL.rstrip("\n") + ",\nst AS (SELECT count(*)::BIGINT AS total, count(DISTINCT CASE WHEN topic <> -1 THEN topic END)::BIGINT AS n_topics, "
+          "count(*) FILTER (WHERE topic = -1)::BIGINT AS n_noise FROM pt0)\nSELECT st.total, st.n_topics, st.n_noise, rep.* FROM rep, st")
+def q_snapshot_roundtrip(spark, sf):
+    """Report + run totals saved as a nested JSON snapshot and loaded back."""
+    docs = FX.prepared_with_topics(spark, sf)
+    path = scratch_path(spark, "snapshot")
+    SK.save_snapshot(_report(spark, sf), TP.run_stats(docs.select("doc_id", "topic")), path)
+    snap = SK.load_snapshot(spark, path)
+    return (snap.select("total", "n_topics", "n_noise", F.explode("results").alias("r"))
+                .select("total", "n_topics", "n_noise", "r.topic", "r.count", "r.keywords", "r.summary", "r.sentiment",
+                        "r.priority", F.array_join("r.docs", "\n").alias("docs")))
+
+
+@register("model_roundtrip", MODEL_SQL + "SELECT conv_id, turn, topic, round(sim, 6) AS sim FROM assigned")
+def q_model_roundtrip(spark, sf):
+    """Topic model (centroids + vocabulary) saved, loaded, and used to assign new feedback."""
+    _, vocab, _, cen = _model(spark, sf)
+    path = scratch_path(spark, "model")
+    SK.save_topic_model({"centroids": cen, "vocabulary": vocab}, {"dim": HASH_DIM, "min_sim": MIN_SIM}, path)
+    parts, params = SK.load_topic_model(spark, path, ["centroids", "vocabulary"])
+    a = TR.assign_topics(_conv_vectors(spark, sf, parts["vocabulary"]), parts["centroids"], params["dim"], params["min_sim"])
+    return (_conversations(spark, sf).select("doc_id", "conv_id", "turn").join(a, "doc_id")
+            .select("conv_id", "turn", "topic", r6("sim").alias("sim")))

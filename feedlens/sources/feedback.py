@@ -43,11 +43,15 @@ def read_feedback_csv(spark: SparkSession, path: str, text_column: str, id_colum
     raw = (spark.read.option("header", True).option("multiLine", True)
            .option("quote", '"').option("escape", '"').option("inferSchema", False)
            .option("mode", "PERMISSIVE").csv(path))
-    if text_column in raw.columns and na_values:
-        nas = F.array(*[F.lit(v) for v in na_values])
-        raw = raw.withColumn(text_column, F.when(F.array_contains(nas, F.col(text_column)), F.lit(None))
-                             .otherwise(F.col(text_column)))
-    return to_feedback(raw, text_column, id_column)
+    return to_feedback(na_to_null(raw, text_column, na_values), text_column, id_column)
+
+
+def na_to_null(df: DataFrame, col: str, na_values=PANDAS_NA_VALUES) -> DataFrame:
+    """Cells spelled like a pandas missing marker become null (then "")."""
+    if col not in df.columns or not na_values:
+        return df
+    nas = F.array(*[F.lit(v) for v in na_values])
+    return df.withColumn(col, F.when(F.array_contains(nas, F.col(col)), F.lit(None)).otherwise(F.col(col)))
 
 
 class TooFewDocuments(ValueError):
