@@ -739,3 +739,44 @@ def q_model_roundtrip(spark, sf):
     a = TR.assign_topics(_conv_vectors(spark, sf, parts["vocabulary"]), parts["centroids"], params["dim"], params["min_sim"])
     return (_conversations(spark, sf).select("doc_id", "conv_id", "turn").join(a, "doc_id")
             .select("conv_id", "turn", "topic", r6("sim").alias("sim")))
+
+
+# ---------------------------------------------------------------- hierarchy, strength, silhouette
+@register("density_cluster")
+def q_density_cluster(spark, sf):
+    """Hierarchical density clusters (leaf selection) of the hashed document vectors."""
+    return CL.density_cluster(_hashed(spark, sf), HASH_DIM, 5, 3, max_eps=1.2, n_levels=6)
+
+
+@register("membership_strength",
+          DENSITY_SQL + ", cls AS (SELECT id, (CASE WHEN n >= 5 THEN comp ELSE -1 END)::BIGINT AS cluster FROM cc JOIN sz USING (comp)),\n"
+          "cm AS (SELECT cls.cluster, min(core.core) AS m FROM cls JOIN core USING (id) WHERE cls.cluster <> -1 GROUP BY cls.cluster)\n"
+          "SELECT cls.id AS doc_id, cls.cluster, round(CASE WHEN cls.cluster = -1 OR core.core IS NULL THEN 0.0 "
+          "WHEN core.core = 0 THEN 1.0 ELSE cm.m / core.core END, 6) AS strength FROM cls LEFT JOIN core USING (id) LEFT JOIN cm USING (cluster)")
+def q_membership_strength(spark, sf):
+    from ..operators.neighbors import _prepare
+    vecs = cut_lineage(_hashed(spark, sf))
+    core = CL.core_distances(_prepare(vecs, "doc_id", "vec", "euclidean", HASH_DIM, 2, 7), 3, 1.0, 2)
+    clusters = CL.density_cluster_at(vecs, 1.0, HASH_DIM, 3, 5)
+    return CL.membership_strength(clusters, core).withColumn("strength", r6("strength"))
+
+
+@register("silhouette",
+          f"WITH {O.EMB_PAIRS}, lab AS (SELECT vec_id::BIGINT AS id, label::BIGINT AS label FROM embeddings),\n"
+          "ps AS (SELECT ep.src, lb.label, sum(ep.dist) AS s, count(*) AS c FROM ep JOIN lab lb ON ep.dst = lb.id GROUP BY ALL),\n"
+          "pp AS (SELECT ps.src, max(CASE WHEN ps.label = la.label THEN s / c END) AS a, max(CASE WHEN ps.label = la.label THEN c END) AS own_c, "
+          "min(CASE WHEN ps.label <> la.label THEN s / c END) AS b FROM ps JOIN lab la ON ps.src = la.id GROUP BY ps.src),\n"
+          "all_pts AS (SELECT l.id, coalesce(pp.own_c, 0) AS own_c, a, b FROM lab l LEFT JOIN pp ON l.id = pp.src)\n"
+          "SELECT round(avg(CASE WHEN own_c = 0 THEN 0.0 WHEN greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM all_pts")
+def q_silhouette(spark, sf):
+    """Euclidean silhouette of the embeddings grouped by their label."""
+    emb = _embeddings(spark, sf)
+    lab = _table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("label").alias("topic"))
+    return CL.silhouette(emb, lab, 64).select(r6("silhouette").alias("silhouette"))
+
+
+@register("silhouette_sq")
+def q_silhouette_sq(spark, sf):
+    """Squared-Euclidean silhouette in linear time (MLlib evaluator), hashed vectors by language topic."""
+    val = CL.silhouette_sq(_hashed(spark, sf), FX.fixture_topics(spark, sf))
+    return spark.createDataFrame([(val,)], "silhouette double")

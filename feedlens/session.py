@@ -62,10 +62,41 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/feedlens-{name}-{uuid.uuid4().hex[:12]}"
 
 
+_CHECKPOINTS = [0]
+GC_EVERY = 6
+
+
+def release_garbage(spark: SparkSession) -> None:
+    """Ask the driver JVM for a GC so Spark's ContextCleaner can drop the
+    shuffles and broadcasts of lineage that checkpoints made unreachable.
+
+    Spark does this on its own only every ``spark.cleaner.periodicGC.interval``
+    (30 min); iterative jobs that checkpoint every round create that garbage
+    much faster.
+    """
+    try:
+        spark.sparkContext._jvm.System.gc()
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Connect): nothing to do
+        pass
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably (survives executor loss) and drop its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and
+    continue from a plain scan of it.
+
+    Survives executor loss (the files are on shared storage) and truly ends the
+    plan: a ``checkpoint()`` result still carries its origin plan as metadata,
+    and loops whose rounds reference the previous round more than once grow
+    that metadata exponentially.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "cut")
+    df.write.mode("overwrite").parquet(path)
+    out = spark.read.parquet(path)
+    _CHECKPOINTS[0] += 1
+    if _CHECKPOINTS[0] % GC_EVERY == 0:
+        release_garbage(df.sparkSession)
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
