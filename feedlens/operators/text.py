@@ -129,7 +129,7 @@ def preprocess(df: DataFrame, *, lowercase: bool = True, min_chars: int = 3, ded
     """clean -> (segment) -> stopwords -> length filter -> dedup.  Returns (id, text, clean)."""
     out = df.select(id_col, text_col).withColumn("clean", clean_text(text_col, lowercase))
     if lexicon is not None:
-        from .segment import segment_words
+        from .phrases import segment_words
         out = segment_words(out, lexicon, col="clean", id_col=id_col)
     if stopwords:
         out = remove_stopwords(out, stopwords, col="clean", id_col=id_col, assume_clean=lexicon is None)

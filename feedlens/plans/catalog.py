@@ -780,3 +780,100 @@ def q_silhouette_sq(spark, sf):
     """Squared-Euclidean silhouette in linear time (MLlib evaluator), hashed vectors by language topic."""
     val = CL.silhouette_sq(_hashed(spark, sf), FX.fixture_topics(spark, sf))
     return spark.createDataFrame([(val,)], "silhouette double")
+
+
+# ---------------------------------------------------------------- keywords, phrases, encoders
+from ..operators import keywords as KW  # noqa: E402
+from ..operators import phrases as PH  # noqa: E402
+
+
+@register("embedding_keywords",
+          REP_DOCS_SQL.rstrip("\n") + ",\n" + O.hashed_vectors(HASH_DIM) + ",\n"
+          "tv AS (SELECT r.topic, h.dim, avg(h.value) AS v FROM rk r JOIN hv h USING (doc_id) WHERE r.rank <= 5 GROUP BY ALL),\n"
+          "tvn AS (SELECT topic, sqrt(sum(v * v)) AS nr FROM tv GROUP BY topic),\n"
+          "cand AS (SELECT topic, word FROM tw WHERE rank <= 100),\n"
+          "ks AS (SELECT c.topic, c.word, CASE WHEN tvn.nr > 0 THEN voc.sign * tv.v / tvn.nr ELSE 0.0 END AS score FROM cand c "
+          "JOIN voc USING (word) JOIN tv ON tv.topic = c.topic AND tv.dim = voc.bucket JOIN tvn ON tvn.topic = c.topic),\n"
+          "kr AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY round(score, 9) DESC, word) AS rank FROM ks)\n"
+          "SELECT topic, rank::INTEGER AS rank, word, round(score, 6) AS score FROM kr WHERE rank <= 10")
+def q_embedding_keywords(spark, sf):
+    """Top-100 c-TF-IDF candidates re-ranked by similarity to the mean representative-doc vector."""
+    docs, _, scores, _, _, rep = _topic_parts(spark, sf)
+    pre = docs.select("doc_id", "clean")
+    vocab = EM.hashed_vocab(pre, HASH_DIM)
+    vecs = EM.encode_hashed(pre, HASH_DIM, vocab=vocab)
+    tv = KW.topic_vectors(rep, vecs, HASH_DIM, 5)
+    kw = KW.embedding_keywords(scores, tv, KW.hashed_word_vectors(vocab, HASH_DIM), 100, 10)
+    return kw.withColumn("score", r6("score"))
+
+
+def _w2v(spark, sf):
+    docs, _, scores, words, _, rep = _topic_parts(spark, sf)
+    doc_vecs, word_vecs = EM.encode_word2vec(docs.select("doc_id", "clean"), size=32, min_count=5, seed=42)
+    return docs, scores, rep, cut_lineage(doc_vecs), cut_lineage(word_vecs)
+
+
+@register("embed_word2vec")
+def q_embed_word2vec(spark, sf):
+    """Documents and words in one Word2Vec space (document = mean of its word vectors)."""
+    _, _, _, doc_vecs, _ = _w2v(spark, sf)
+    return EM.vector_long(doc_vecs)
+
+
+@register("mmr_keywords")
+def q_mmr_keywords(spark, sf):
+    """MMR (diversity 0.1) over the top-30 c-TF-IDF words with Word2Vec vectors."""
+    _, scores, rep, doc_vecs, word_vecs = _w2v(spark, sf)
+    cands = TP.top_words(scores, 30).filter(F.col("topic") != TP.NOISE)
+    tv = KW.topic_vectors(rep, doc_vecs, 32, 5)
+    return KW.mmr_keywords(cands, tv, word_vecs, 0.1, 10)
+
+
+def trigram_encoder(dim: int = 64):
+    """A user encoder for ``embed_texts``: hashed character trigrams, L2-normalised (NumPy)."""
+    def make():
+        import zlib
+
+        import numpy as np
+
+        def encode(texts):
+            out = np.zeros((len(texts), dim))
+            for i, t in enumerate(texts):
+                s = f"  {t}  "
+                for j in range(len(s) - 2):
+                    out[i, zlib.crc32(s[j:j + 3].encode()) % dim] += 1.0
+            n = np.linalg.norm(out, axis=1, keepdims=True)
+            return np.divide(out, n, out=np.zeros_like(out), where=n > 0)
+        return encode
+    return make
+
+
+@register("embed_texts")
+def q_embed_texts(spark, sf):
+    """Pluggable encoder run on executors in Arrow batches (here: character trigrams)."""
+    return EM.vector_long(EM.embed_texts(FX.prepared(spark, sf), trigram_encoder(64), 64, batch_size=32))
+
+
+PHRASES_SQL = (
+    f"WITH {O.PREPARED},\n"
+    f"tk AS (SELECT doc_id, {O.tokens('clean', O.WORD_ANY)} AS t FROM pre),\n"
+    "uni AS (SELECT w, count(*) AS n FROM (SELECT unnest(t) AS w FROM tk) GROUP BY w),\n"
+    "tot AS (SELECT sum(n) AS nn FROM uni),\n"
+    "bp AS (SELECT p.a, p.b FROM (SELECT unnest(list_transform(range(0, len(t) - 1), lambda i: {'a': t[i + 1], 'b': t[i + 2]})) AS p FROM tk WHERE len(t) >= 2)),\n"
+    "bi AS (SELECT a, b, count(*) AS n_ab FROM bp GROUP BY a, b HAVING count(*) >= 5),\n"
+    "ph AS (SELECT bi.a, bi.b, bi.a || '_' || bi.b AS phrase, bi.n_ab::BIGINT AS n_ab, "
+    "(bi.n_ab - 5.0::DOUBLE) * tot.nn / (ua.n * ub.n) AS score FROM bi JOIN uni ua ON ua.w = bi.a JOIN uni ub ON ub.w = bi.b, tot)\n"
+)
+
+
+@register("learn_phrases", PHRASES_SQL + "SELECT a, b, phrase, n_ab, round(score, 6) AS score FROM ph WHERE score > 10.0")
+def q_learn_phrases(spark, sf):
+    return PH.learn_phrases(FX.prepared(spark, sf), 5, 5.0, 10.0).withColumn("score", r6("score"))
+
+
+@register("segment_words")
+def q_segment_words(spark, sf):
+    """Documents rewritten with the learned phrases joined by "_"."""
+    pre = FX.prepared(spark, sf)
+    lex = cut_lineage(PH.learn_phrases(pre, 5, 5.0, 10.0))
+    return PH.segment_words(pre, lex).select("doc_id", "clean")
