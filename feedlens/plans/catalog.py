@@ -877,3 +877,33 @@ def q_segment_words(spark, sf):
     pre = FX.prepared(spark, sf)
     lex = cut_lineage(PH.learn_phrases(pre, 5, 5.0, 10.0))
     return PH.segment_words(pre, lex).select("doc_id", "clean")
+
+
+@register("fuzzy_graph")
+def q_fuzzy_graph(spark, sf):
+    """Fuzzy neighbour graph of the embeddings (k = 4, cosine)."""
+    return NB.fuzzy_graph(NB.knn(_embeddings(spark, sf), 4, 64, metric="cosine"))
+
+
+@register("weekly_counts_stream",
+          TREND_SQL + "SELECT topic, period::DATE::VARCHAR AS period, count FROM per")
+def q_weekly_counts_stream(spark, sf):
+    """Weekly topic counts as a streaming aggregation: events stream joined with
+    the static topic table, 7-day windows aligned to Mondays, event-time watermark."""
+    from ..streaming import weekly_counts_stream
+    ev_schema = _table(spark, sf, "events").schema
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    # wall-clock (NTZ) -> the instant of that wall-clock in UTC, so 7-day windows align to Mondays
+    stream = (spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet").parquet(sf.rstrip("/"))
+                   .select(F.col("event_id").alias("doc_id"), F.to_utc_timestamp(F.col("ts").cast("timestamp"), tz).alias("ts")))
+    joined = stream.join(FX.fixture_topics(spark, sf), "doc_id")
+    out = scratch_path(spark, "weekly")
+    counts = weekly_counts_stream(joined, "ts", "topic", "14 days")
+
+    def sink(batch, epoch):
+        batch.write.mode("overwrite").parquet(out)
+    q = (counts.writeStream.outputMode("complete").foreachBatch(sink)
+               .option("checkpointLocation", scratch_path(spark, "weekly-ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    period = F.to_date(F.from_utc_timestamp("period", tz)).cast("string")
+    return spark.read.parquet(out).select("topic", period.alias("period"), "count")

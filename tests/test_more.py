@@ -107,3 +107,38 @@ def test_silhouette_brute_force(spark):
     assert math.isclose(got, _silhouette(pts, labs), rel_tol=1e-9)
     one = spark.createDataFrame([(i, 0) for i in range(40)], "doc_id long, topic int")
     assert CL.silhouette(v, one, 3).first()[0] is None
+
+
+def test_fuzzy_graph_brute_force(spark):
+    from feedlens.operators import neighbors as NB
+    rnd = random.Random(4)
+    pts = [(i, [rnd.random(), rnd.random()]) for i in range(30)]
+    df = spark.createDataFrame(pts, "doc_id long, vec array<double>")
+    k = 4
+    got = {(r.src, r.dst): r.weight for r in NB.fuzzy_graph(NB.knn(df, k, 2)).collect()}
+    P = np.array([p for _, p in pts])
+    w = {}
+    for i in range(len(P)):
+        d = np.sqrt(((P - P[i]) ** 2).sum(axis=1))
+        d[i] = np.inf
+        nn = np.argsort(d, kind="stable")[:k]
+        rho = d[nn[0]]
+        lo, hi = 0.0, np.inf
+        mid = 1.0
+        for _ in range(64):
+            s = np.exp(-np.maximum(d[nn] - rho, 0) / mid).sum()
+            if s > math.log2(k):
+                hi = mid
+            else:
+                lo = mid
+            mid = mid * 2 if hi == np.inf else (lo + hi) / 2
+        for j in nn:
+            w[(i, int(j))] = math.exp(-max(d[j] - rho, 0) / mid)
+    want = {}
+    for (i, j), x in w.items():
+        a, b = min(i, j), max(i, j)
+        y = w.get((j, i), 0.0)
+        want[(a, b)] = x + y - x * y
+    assert set(got) == set(want)
+    for key, val in want.items():
+        assert math.isclose(got[key], val, rel_tol=1e-6, abs_tol=1e-9)
