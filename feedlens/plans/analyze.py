@@ -3,7 +3,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,16 +54,17 @@ def analyze(df: DataFrame, opts: Options | None = None) -> Result:
     """Ingest -> preprocess -> guard -> embed -> density clusters -> relabel ->
     c-TF-IDF keywords -> representative docs -> (summaries) -> report.
 
-    The cleaned documents are persisted (reused by four consumers) and the
-    vectors are checkpointed to the shared folder before the iterative
-    clustering, so the loop never replays the text work.
+    The cleaned documents, the doc-term table and the vectors are written to
+    the shared checkpoint folder once (each feeds several consumers, and the
+    clustering iterates), so nothing replays the text work and no executor
+    memory is pinned between stages.
     """
     o = opts or Options()
     if not o.text_column:
         raise ValueError("text_column must be set")
     fb = to_feedback(df, o.text_column, o.id_column)
-    docs = preprocess(fb, lowercase=o.lowercase, min_chars=o.min_chars, dedup=o.dedup,
-                      stopwords=o.stopwords).persist(StorageLevel.MEMORY_AND_DISK)
+    docs = cut_lineage(preprocess(fb, lowercase=o.lowercase, min_chars=o.min_chars, dedup=o.dedup,
+                                  stopwords=o.stopwords))
     require_min_docs(docs, o.min_docs)
     vecs = cut_lineage(EM.encode_hashed(docs, o.dim))
     clusters = CL.density_cluster_at(vecs, o.eps, o.dim, o.min_samples, o.min_cluster_size)
@@ -74,7 +74,7 @@ def analyze(df: DataFrame, opts: Options | None = None) -> Result:
     # representative-document step: keep it.  Topic-level tables (bounded by
     # topics x vocabulary) are checkpointed so the many downstream consumers
     # start from short plans instead of re-inlining the whole upstream tree.
-    dt = TP.doc_terms(dtop).persist(StorageLevel.MEMORY_AND_DISK)
+    dt = cut_lineage(TP.doc_terms(dtop))
     tc = TP.term_counts_from(dt)
     idf = cut_lineage(TP.idf_table(tc))
     scores = cut_lineage(TP.ctfidf(tc, idf))

@@ -192,13 +192,15 @@ from ..operators import summarize as S  # noqa: E402
 def _topic_parts(spark, sf):
     """Topic-level tables checkpointed once (bounded by topics x vocabulary)."""
     docs, dt, tc, scores, idf, words = _parts(spark, sf)
-    dt = dt.persist()
+    docs = cut_lineage(docs)
+    dt = cut_lineage(TP.doc_terms(docs))
+    tc = TP.term_counts_from(dt)
+    idf = TP.idf_table(tc)
     idf = cut_lineage(idf)
     scores = cut_lineage(TP.ctfidf(tc, idf))
     words = cut_lineage(TP.top_words(scores, 10))
     info = cut_lineage(TP.topic_info(docs.select("doc_id", "topic"), words))
     rep = cut_lineage(TP.representative_docs(docs, scores, idf, 5, dt=dt))
-    dt.unpersist()
     return docs, tc, scores, words, info, rep
 
 
@@ -268,7 +270,8 @@ _PSENT, _PSUMM = O.parse_sql("raw")
           f"SELECT doc_id, {_PSENT} AS sentiment, {_PSUMM} AS summary FROM r")
 def q_parse_response(spark, sf):
     """Replies wrapping each whole document in one of eight reply shapes."""
-    d = FX.documents(spark, sf)
+    from ..session import spread
+    d = spread(FX.documents(spark, sf).select("doc_id", "text"))
     k = F.col("doc_id") % 8
     t = F.col("text")
     nl = F.lit("\n")

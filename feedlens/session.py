@@ -22,6 +22,9 @@ def get_spark(master: str | None = None, app: str = "feedlens", partitions: int
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the whole cluster
+            b = b.config("spark.driver.memory", os.environ.get("FEEDLENS_DRIVER_MEMORY", "8g"))
     cpus = os.cpu_count() or 8
     b = (
         b.config("spark.sql.shuffle.partitions", str(partitions or cpus))
