@@ -910,3 +910,9 @@ def q_weekly_counts_stream(spark, sf):
     q.awaitTermination()
     period = F.to_date(F.from_utc_timestamp("period", tz)).cast("string")
     return spark.read.parquet(out).select("topic", period.alias("period"), "count")
+
+
+@register("density_cluster_eom")
+def q_density_cluster_eom(spark, sf):
+    """Hierarchical density clusters with excess-of-mass selection."""
+    return CL.density_cluster(_hashed(spark, sf), HASH_DIM, 5, 3, max_eps=1.2, n_levels=6, method="eom")

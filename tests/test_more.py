@@ -142,3 +142,23 @@ def test_fuzzy_graph_brute_force(spark):
     assert set(got) == set(want)
     for key, val in want.items():
         assert math.isclose(got[key], val, rel_tol=1e-6, abs_tol=1e-9)
+
+
+def test_hierarchy_eom_prefers_stable_parent(spark):
+    rnd = random.Random(11)
+    pts = []
+    for c, (x, y) in enumerate([(0, 0), (0.6, 0), (5, 5)]):
+        for i in range(25):
+            pts.append((len(pts), [x + rnd.gauss(0, 0.08), y + rnd.gauss(0, 0.08)]))
+    df = spark.createDataFrame(pts, "doc_id long, vec array<double>")
+    out = CL.density_cluster(df, 2, 5, 3, max_eps=10.0, n_levels=16, method="eom").collect()
+    clusters = {}
+    for r in out:
+        if r.cluster != -1:
+            clusters.setdefault(r.cluster, set()).add(r.doc_id)
+    assert clusters and all(len(m) >= 5 for m in clusters.values())
+    ids = [i for m in clusters.values() for i in m]
+    assert len(ids) == len(set(ids))          # disjoint
+    # the far blob is never merged with the two close ones
+    for m in clusters.values():
+        assert not ({i // 25 for i in m} >= {0, 2}) and not ({i // 25 for i in m} >= {1, 2})
