@@ -59,3 +59,11 @@ def test_preprocess_matches_python(spark):
         seen.add(c)
         want.append((i, c))
     assert got == want
+
+
+def test_preprocess_with_lexicon_segments_before_stopwords(spark):
+    lex = spark.createDataFrame([("cụ", "thể"), ("chất", "lượng")], "a string, b string")
+    df = spark.createDataFrame([(1, "Cụ thể chất lượng shop tốt"), (2, "cụ thể")], "doc_id long, text string")
+    got = {r.doc_id: r.clean for r in T.preprocess(df, lexicon=lex).collect()}
+    # "cụ thể" becomes one unit before stopword removal, so the single-word stopwords cụ/thể do not apply
+    assert got == {1: "cụ_thể chất_lượng tốt", 2: "cụ_thể"}
