@@ -34,10 +34,9 @@ def hashed_vocab(docs: DataFrame, dim: int = 64, col: str = "clean", id_col: str
 
 
 def _vocab(dt: DataFrame, docs: DataFrame, dim: int, sign_bit: int) -> DataFrame:
-    n = docs.agg(F.count(F.lit(1)).alias("__n")).withColumn("__k", F.lit(1))
+    n = docs.agg(F.count(F.lit(1))).scalar()
     return (dt.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-              .withColumn("__k", F.lit(1)).join(F.broadcast(n), "__k")
-              .select("word", F.log((F.col("__n") + 1.0) / (F.col("df") + 1.0)).alias("idf"),
+              .select("word", F.log((n + 1.0) / (F.col("df") + 1.0)).alias("idf"),
                       md5_bucket("word", dim).alias("bucket"), md5_sign("word", sign_bit).alias("sign")))
 
 

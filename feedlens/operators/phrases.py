@@ -31,12 +31,11 @@ def learn_phrases(df: DataFrame, min_count: int = 5, delta: float = 5.0, thresho
     """(a, b, phrase, n_ab, score) for pairs with ``n_ab >= min_count`` and ``score > threshold``."""
     uni = (df.select(F.explode(word_tokens(col, WORD_TOKEN_ANY)).alias("w"))
              .groupBy("w").agg(F.count(F.lit(1)).alias("n")))
-    total = uni.agg(F.sum("n").alias("N")).withColumn("__k", F.lit(1))
+    total = uni.agg(F.sum("n")).scalar()
     bi = _pairs(df, col, id_col).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_ab")).filter(F.col("n_ab") >= min_count)
     j = (bi.join(uni.select(F.col("w").alias("a"), F.col("n").alias("n_a")), "a")
-           .join(uni.select(F.col("w").alias("b"), F.col("n").alias("n_b")), "b")
-           .withColumn("__k", F.lit(1)).join(F.broadcast(total), "__k"))
-    score = (F.col("n_ab") - F.lit(delta)) * F.col("N") / (F.col("n_a") * F.col("n_b"))
+           .join(uni.select(F.col("w").alias("b"), F.col("n").alias("n_b")), "b"))
+    score = (F.col("n_ab") - F.lit(delta)) * total / (F.col("n_a") * F.col("n_b"))
     return (j.select("a", "b", F.concat_ws("_", "a", "b").alias("phrase"), "n_ab", score.alias("score"))
              .filter(F.col("score") > threshold))
 

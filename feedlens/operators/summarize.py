@@ -195,13 +195,11 @@ def parse_replies(df: DataFrame, col: str = "response") -> DataFrame:
 def add_priority(df: DataFrame) -> DataFrame:
     """Priority from (count, sentiment): negative and count >= mean -> high,
     negative otherwise -> medium, else low.  Mean over non-noise topics, 0 if none."""
-    mean = (df.filter(F.col("topic") != NOISE)
-              .agg(F.coalesce(F.avg("count"), F.lit(0.0)).alias("__mean")).withColumn("__k", F.lit(1)))
-    pr = (F.when((F.col("sentiment") == NEGATIVE) & (F.col("count") >= F.col("__mean")), F.lit(PRIORITY_HIGH))
+    mean = df.filter(F.col("topic") != NOISE).agg(F.coalesce(F.avg("count"), F.lit(0.0))).scalar()
+    pr = (F.when((F.col("sentiment") == NEGATIVE) & (F.col("count") >= mean), F.lit(PRIORITY_HIGH))
            .when(F.col("sentiment") == NEGATIVE, F.lit(PRIORITY_MEDIUM))
            .otherwise(F.lit(PRIORITY_LOW)))
-    return (df.withColumn("__k", F.lit(1)).join(F.broadcast(mean), "__k")
-              .withColumn("priority", pr).drop("__k", "__mean"))
+    return df.withColumn("priority", pr)
 
 
 def summarize_topics(info: DataFrame, words: DataFrame, responses: DataFrame) -> DataFrame:

@@ -43,15 +43,12 @@ def idf_table(tc: DataFrame) -> DataFrame:
     """(word, idf) with idf = ``ln(1 + A / f_word)``, ``A`` = int(mean words per topic),
     ``f_word`` the word's count over all topics.
 
-    ``A`` is a one-row aggregate of the topic totals joined by a constant key
-    (broadcast: size bound one row).
+    ``A`` is a scalar subquery over the topic totals: one value, no join.
     """
     per_topic = tc.groupBy("topic").agg(F.sum("n").alias("topic_total"))
     per_word = tc.groupBy("word").agg(F.sum("n").alias("word_total"))
-    avg_words = (per_topic.agg(F.floor(F.sum("topic_total") / F.count(F.lit(1))).cast("bigint").alias("avg_words"))
-                 .withColumn("__k", F.lit(1)))
-    return (per_word.withColumn("__k", F.lit(1)).join(F.broadcast(avg_words), "__k")
-                    .select("word", F.log(1.0 + F.col("avg_words") / F.col("word_total")).alias("idf")))
+    avg_words = per_topic.agg(F.floor(F.sum("topic_total") / F.count(F.lit(1))).cast("bigint")).scalar()
+    return per_word.select("word", F.log(1.0 + avg_words / F.col("word_total")).alias("idf"))
 
 
 def ctfidf(tc: DataFrame, idf: DataFrame | None = None) -> DataFrame:
