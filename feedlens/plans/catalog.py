@@ -347,7 +347,11 @@ def _flaky_backend(prompt: str) -> str:
     return "CẢM XÚC: trung lập\nTÓM TẮT: " + prompt.split("\n", 2)[1][:0] + "ok"
 
 
-@register("generate_with_errors")
+@register("generate_with_errors",
+          PROMPTS_SQL.rstrip(",\n") + "\nSELECT topic::INTEGER AS topic, "
+          "CASE WHEN length(prompt) % 2 = 1 THEN '[ERROR: backend unavailable]' "
+          "ELSE 'CẢM XÚC: trung lập' || chr(10) || 'TÓM TẮT: ok' END AS response, "
+          "length(prompt) % 2 = 0 AS ok FROM prompts")
 def q_generate_with_errors(spark, sf):
     """Python backend on executors with retries; failures become [ERROR: ...] rows."""
     _, _, _, words, _, rep = _topic_parts(spark, sf)
@@ -778,11 +782,25 @@ def q_silhouette(spark, sf):
     return CL.silhouette(emb, lab, 64).select(r6("silhouette").alias("silhouette"))
 
 
-@register("silhouette_sq")
+@register("silhouette_sq",
+          HV_SQL.rstrip("\n") + ",\n" + O.fixture_topics() + ",\n"
+          # per-cluster count, sum of squared norms and feature sums; a point's mean
+          # squared distance to a cluster is |x|^2 + Q/N - 2 x.S/N (own cluster: * N/(N-1))
+          "pts AS (SELECT doc_id, topic AS label FROM ft WHERE doc_id IN (SELECT doc_id FROM pre)),\n"
+          "pn AS (SELECT doc_id, sum(value * value) AS sq FROM hv GROUP BY doc_id),\n"
+          "cs AS (SELECT label, count(*) AS n, sum(sq) AS q FROM pts JOIN pn USING (doc_id) GROUP BY label),\n"
+          "cf AS (SELECT label, dim, sum(value) AS s FROM hv JOIN pts USING (doc_id) GROUP BY ALL),\n"
+          "dt AS (SELECT h.doc_id, cf.label, sum(h.value * cf.s) AS d FROM hv h JOIN cf ON h.dim = cf.dim GROUP BY ALL),\n"
+          "md AS (SELECT dt.doc_id, dt.label, pn.sq + cs.q / cs.n - 2 * dt.d / cs.n AS m FROM dt JOIN pn USING (doc_id) JOIN cs USING (label)),\n"
+          "per AS (SELECT p.doc_id, c.n AS own_n, max(CASE WHEN md.label = p.label THEN m END) * c.n / greatest(c.n - 1, 1) AS a, "
+          "min(CASE WHEN md.label <> p.label THEN m END) AS b FROM pts p JOIN cs c USING (label) JOIN md USING (doc_id) GROUP BY p.doc_id, c.n)\n"
+          "SELECT CASE WHEN (SELECT count(*) FROM cs) < 2 OR (SELECT count(*) FROM cs) >= (SELECT count(*) FROM pts) THEN NULL "
+          "ELSE round(avg(CASE WHEN own_n = 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END), 6) END "
+          "AS silhouette FROM per")
 def q_silhouette_sq(spark, sf):
     """Squared-Euclidean silhouette in linear time (MLlib evaluator), hashed vectors by language topic."""
     val = CL.silhouette_sq(_hashed(spark, sf), FX.fixture_topics(spark, sf))
-    return spark.createDataFrame([(val,)], "silhouette double")
+    return spark.createDataFrame([(None if val is None else round(val, 6),)], "silhouette double")
 
 
 # ---------------------------------------------------------------- keywords, phrases, encoders
