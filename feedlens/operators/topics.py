@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import WORD_TOKEN, word_tokens
+from .order import row_index
 
 NOISE = -1
 
@@ -130,10 +131,10 @@ def relabel_by_size(topics: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Renumber non-noise topics 0.. by size descending (ties: smallest id first)."""
     sizes = (topics.filter(F.col("topic") != NOISE).groupBy("topic")
                    .agg(F.count(F.lit(1)).alias("__n"), F.min(id_col).alias("__first")))
-    # One row per topic: the global ordering window runs over topics only.
-    order = Window.orderBy(F.col("__n").desc(), F.col("__first"))
-    mapping = sizes.select(F.col("topic").alias("__old"),
-                           (F.row_number().over(order) - 1).cast("int").alias("__new"))
+    # The topic count grows with the data: rank by a distributed sort, not a
+    # single-partition window.  ``__first`` (a document id) makes the order total.
+    mapping = (row_index(sizes, [F.col("__n").desc(), F.col("__first")], "__new")
+               .select(F.col("topic").alias("__old"), F.col("__new").cast("int").alias("__new")))
     return (topics.join(mapping, topics["topic"] == mapping["__old"], "left")
                   .select(*[c for c in topics.columns if c != "topic"],
                           F.coalesce(F.col("__new"), F.lit(NOISE)).cast("int").alias("topic")))
