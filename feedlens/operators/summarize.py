@@ -26,7 +26,11 @@ from ..functions.parse import (
     PRIORITY_HIGH,
     PRIORITY_LOW,
     PRIORITY_MEDIUM,
-    parse_response,
+    reply_lines,
+    sentiment_label,
+    sentiment_value,
+    summary_or_reply,
+    summary_text,
 )
 from ..functions.text import WORD_TOKEN, strip_ws, word_tokens
 from .topics import NOISE, ordered_words
@@ -187,9 +191,18 @@ def extractive_backend(docs: DataFrame, scores: DataFrame, doc_col: str = "clean
 
 
 def parse_replies(df: DataFrame, col: str = "response") -> DataFrame:
-    p = parse_response(col)
-    return df.withColumn("__p", p).withColumn("sentiment", F.col("__p.sentiment")) \
-             .withColumn("summary", F.col("__p.summary")).drop("__p")
+    """``df`` + (sentiment, summary) parsed from ``col``.
+
+    Three projections, each reading its input column more than once, so
+    Catalyst keeps them apart and the reply is split into lines once, the
+    last sentiment line is found once, and the labels come from that value.
+    """
+    cols = df.columns
+    return (df.withColumn("__lines", reply_lines(col))
+              .withColumn("__val", sentiment_value("__lines"))
+              .withColumn("__joined", summary_text("__lines"))
+              .select(*cols, sentiment_label("__val").alias("sentiment"),
+                      summary_or_reply("__joined", col).alias("summary")))
 
 
 def add_priority(df: DataFrame) -> DataFrame:

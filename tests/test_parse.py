@@ -3,8 +3,12 @@ from feedlens.operators import summarize as S
 
 
 def _parse(spark, text):
+    from feedlens.functions.parse import parse_response
+
     df = spark.createDataFrame([(1, text)], "topic int, response string")
     r = S.parse_replies(df).first()
+    one = df.select(parse_response("response").alias("p")).first().p
+    assert (one.sentiment, one.summary) == (r.sentiment, r.summary)
     return r.sentiment, r.summary
 
 
