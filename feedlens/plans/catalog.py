@@ -82,12 +82,23 @@ def q_preprocess(spark, sf):
 
 
 # ---------------------------------------------------------------- topic words
+def _term_counts(spark, sf, docs=None):
+    """Topic-term counts written once: c-TF-IDF reads them three times (scores,
+    topic totals, word totals).  Exchange reuse cannot be relied on to share
+    the tokenising pass -- the optimizer infers a null filter on the join key
+    of one consumer only, so the branches no longer match."""
+    if docs is None:
+        docs = FX.prepared_with_topics(spark, sf)
+    return cut_lineage(TP.term_counts(docs))
+
+
 def _parts(spark, sf):
-    """Shared subplans: the same DataFrame objects feed every consumer, so the
-    tokenising scan and its shuffles appear once and are reused."""
-    docs = FX.prepared_with_topics(spark, sf)
-    dt = TP.doc_terms(docs)
-    tc = TP.term_counts_from(dt)
+    """Shared subplans written once: the prepared documents (read again by
+    the joins that fetch text), the doc-term table (term counts, lengths,
+    weights) and the topic-term counts (see ``_term_counts``)."""
+    docs = cut_lineage(FX.prepared_with_topics(spark, sf))
+    dt = cut_lineage(TP.doc_terms(docs))
+    tc = cut_lineage(TP.term_counts_from(dt))
     idf = TP.idf_table(tc)
     scores = TP.ctfidf(tc, idf)
     words = TP.top_words(scores, 10)
@@ -101,14 +112,14 @@ def q_term_counts(spark, sf):
 
 @register("ctfidf", f"WITH {O.CTFIDF} SELECT topic, word, n, round(score, 6) AS score FROM sc")
 def q_ctfidf(spark, sf):
-    tc = TP.term_counts(FX.prepared_with_topics(spark, sf))
+    tc = _term_counts(spark, sf)
     return TP.ctfidf(tc).withColumn("score", r6("score"))
 
 
 @register("top_words",
           f"WITH {O.CTFIDF} SELECT topic, rank::INTEGER AS rank, word, round(score, 6) AS score FROM tw WHERE rank <= 10")
 def q_top_words(spark, sf):
-    tc = TP.term_counts(FX.prepared_with_topics(spark, sf))
+    tc = _term_counts(spark, sf)
     return TP.top_words(TP.ctfidf(tc), 10).withColumn("score", r6("score"))
 
 
@@ -117,8 +128,8 @@ def q_top_words(spark, sf):
           f"nm AS ({O.words_joined('tw', 4, '_', 'w')}) "
           "SELECT topic, count, concat_ws('_', topic::VARCHAR, w) AS name FROM cnt LEFT JOIN nm USING (topic)")
 def q_topic_info(spark, sf):
-    docs = FX.prepared_with_topics(spark, sf)
-    words = TP.top_words(TP.ctfidf(TP.term_counts(docs)), 10)
+    docs = cut_lineage(FX.prepared_with_topics(spark, sf))
+    words = TP.top_words(TP.ctfidf(_term_counts(spark, sf, docs)), 10)
     return TP.topic_info(docs.select("doc_id", "topic"), words)
 
 
@@ -138,8 +149,8 @@ REP_DOCS_SQL = (
 @register("representative_docs",
           REP_DOCS_SQL + "SELECT topic, rank::INTEGER AS rank, doc_id, round(similarity, 6) AS similarity FROM rk WHERE rank <= 5")
 def q_representative_docs(spark, sf):
-    docs, _, _, scores, idf, _ = _parts(spark, sf)
-    return (TP.representative_docs(docs, scores, idf, 5)
+    docs, dt, _, scores, idf, _ = _parts(spark, sf)
+    return (TP.representative_docs(docs, scores, idf, 5, dt=dt)
               .select("topic", "rank", "doc_id", r6("similarity").alias("similarity")))
 
 
@@ -150,7 +161,7 @@ def q_representative_docs(spark, sf):
           "SELECT topic, original, updated FROM b JOIN a USING (topic) WHERE topic >= 0 AND topic < 5")
 def q_topic_differences(spark, sf):
     """c-TF-IDF keywords against plain frequency keywords for topics 0..4."""
-    tc = TP.term_counts(FX.prepared_with_topics(spark, sf))
+    tc = _term_counts(spark, sf)
     before = TP.top_words(TP.ctfidf(tc), 10)
     after = TP.top_words(tc.withColumn("score", F.col("n").cast("double")), 10)
     return TP.topic_differences(before, after, 5)
@@ -192,10 +203,6 @@ from ..operators import summarize as S  # noqa: E402
 def _topic_parts(spark, sf):
     """Topic-level tables checkpointed once (bounded by topics x vocabulary)."""
     docs, dt, tc, scores, idf, words = _parts(spark, sf)
-    docs = cut_lineage(docs)
-    dt = cut_lineage(TP.doc_terms(docs))
-    tc = TP.term_counts_from(dt)
-    idf = TP.idf_table(tc)
     idf = cut_lineage(idf)
     scores = cut_lineage(TP.ctfidf(tc, idf))
     words = cut_lineage(TP.top_words(scores, 10))
@@ -662,8 +669,8 @@ def _names(spark, sf, threshold):
     for lang, tid in FX.LANG_TOPIC.items():
         t = t.when(F.col("lang") == lang, F.lit(tid))
     topics = d.select("doc_id", t.otherwise(F.lit(-1)).cast("int").alias("topic"))
-    docs = pre.join(topics, "doc_id")
-    words = TP.top_words(TP.ctfidf(TP.term_counts(docs)), 10)
+    docs = cut_lineage(pre.join(topics, "doc_id"))
+    words = TP.top_words(TP.ctfidf(_term_counts(spark, sf, docs)), 10)
     info = TP.topic_info(docs.select("doc_id", "topic"), words)
     return info.select("topic", F.col("name").alias("keywords"), F.lit("").alias("docs"))
 
