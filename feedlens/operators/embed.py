@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import md5_bucket, md5_sign
@@ -19,7 +19,8 @@ from ..functions.text import WORD_TOKEN, word_tokens
 
 def dense_from_pairs(pairs: DataFrame, id_col: str, dim: int, idx: str = "bucket", val: str = "v") -> DataFrame:
     """(id, idx, val) long rows -> (id, vec ARRAY<DOUBLE>) of length ``dim`` (bounded per id)."""
-    m = F.map_from_entries(F.collect_list(F.struct(F.col(idx), F.col(val))))
+    # entries with a NULL index (ids without any entry) are skipped: all zeros
+    m = F.map_from_entries(F.collect_list(F.when(F.col(idx).isNotNull(), F.struct(F.col(idx), F.col(val)))))
     return (pairs.groupBy(id_col).agg(m.alias("__m"))
                  .select(id_col, F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
                                              lambda i: F.coalesce(F.col("__m")[i], F.lit(0.0))).alias("vec")))
@@ -49,19 +50,20 @@ def encode_hashed(docs: DataFrame, dim: int = 64, col: str = "clean", id_col: st
     With ``vocab`` (from :func:`hashed_vocab` of a training corpus) new text is
     encoded with the training idf; unknown words are ignored.
     """
-    dt = (docs.select(id_col, F.explode(word_tokens(col, pattern)).alias("word"))
-              .groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("tf")))
+    # explode_outer keeps documents without tokens (word NULL): they end as zero vectors
+    # without a second pass over the documents.
+    dt = (docs.select(id_col, F.explode_outer(word_tokens(col, pattern)).alias("word"))
+              .groupBy(id_col, "word").agg(F.count("word").alias("tf")))
     if vocab is None:
-        vocab = _vocab(dt, docs, dim, sign_bit)
-    pairs = (dt.join(vocab, "word").repartition(id_col)
+        vocab = _vocab(dt.filter(F.col("word").isNotNull()), docs, dim, sign_bit)
+    # one shuffle by document after the word join; bucket sums and the dense
+    # array are built on that partitioning (at most ``dim`` entries per document)
+    pairs = (dt.join(vocab, "word", "left").repartition(id_col)
                .groupBy(id_col, "bucket").agg(F.sum(F.col("sign") * F.col("tf") * F.col("idf")).alias("v")))
-    # L2 norm per document over its (at most ``dim``) bucket rows; same partitioning.
-    norm = F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy(id_col)))
-    pairs = pairs.withColumn("v", F.when(norm > 0, F.col("v") / norm).otherwise(F.lit(0.0)))
-    vecs = dense_from_pairs(pairs, id_col, dim)
-    zero = F.array_repeat(F.lit(0.0), dim)
-    return (docs.select(id_col).join(vecs, id_col, "left")
-                .select(id_col, F.coalesce(F.col("vec"), zero).alias("vec")))
+    raw = dense_from_pairs(pairs, id_col, dim)
+    norm = F.sqrt(F.aggregate(F.col("vec"), F.lit(0.0), lambda acc, x: acc + x * x))
+    return raw.select(id_col, F.when(norm > 0, F.transform("vec", lambda x: x / norm))
+                                .otherwise(F.array_repeat(F.lit(0.0), dim)).alias("vec"))
 
 
 def vector_long(df: DataFrame, id_col: str = "doc_id", vec: str = "vec", name: str = "dim") -> DataFrame:

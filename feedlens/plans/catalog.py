@@ -419,7 +419,10 @@ HV_SQL = f"WITH {O.PREPARED},\n{O.hashed_vectors(HASH_DIM)}\n"
 
 
 def _hashed(spark, sf):
-    return EM.encode_hashed(FX.prepared(spark, sf), HASH_DIM)
+    """Hashed vectors of the prepared documents.  The encoder reads the
+    documents three times (tokens, document count, zero vectors), so they are
+    written once instead of being cleaned and deduplicated three times."""
+    return EM.encode_hashed(cut_lineage(FX.prepared(spark, sf)), HASH_DIM)
 
 
 def _embeddings(spark, sf):

@@ -20,3 +20,16 @@ def test_row_index_empty(spark):
 
     df = spark.createDataFrame([], "id long")
     assert row_index(df, ["id"]).count() == 0
+
+
+def test_hashed_vectors_keep_documents_without_tokens(spark):
+    import math
+
+    from feedlens.operators.embed import encode_hashed
+
+    docs = spark.createDataFrame([(1, "alpha beta beta"), (2, "!! ?"), (3, "beta gamma")], "doc_id long, clean string")
+    vecs = {r.doc_id: r.vec for r in encode_hashed(docs, 16).collect()}
+    assert sorted(vecs) == [1, 2, 3]
+    assert vecs[2] == [0.0] * 16
+    for i in (1, 3):
+        assert len(vecs[i]) == 16 and math.isclose(math.sqrt(sum(x * x for x in vecs[i])), 1.0)
