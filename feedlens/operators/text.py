@@ -24,6 +24,7 @@ DEFAULT_STOPWORDS = (
 # Above this many stopwords the membership test becomes a broadcast anti join
 # of exploded tokens instead of an inline array literal.
 _INLINE_STOPWORDS_MAX = 2000
+_BROADCAST_STOPWORDS_MAX = 2_000_000
 
 
 def _col(c) -> Column:
@@ -56,13 +57,19 @@ def remove_stopwords(df: DataFrame, stopwords: Iterable[str] | DataFrame = DEFAU
     re-assemble in position order).
     """
     out = out or col
-    if not isinstance(stopwords, DataFrame):
+    known_size = not isinstance(stopwords, DataFrame)
+    if known_size:
         stopwords = list(stopwords)
         if len(stopwords) <= _INLINE_STOPWORDS_MAX:
             return df.withColumn(out, remove_stopwords_col(col, stopwords, assume_clean))
         stopwords = df.sparkSession.createDataFrame([(w,) for w in dict.fromkeys(stopwords)], "word string")
+    words = stopwords.select("word").distinct()
+    # A list from the driver has a known size; a caller's table is broadcast
+    # only after a bounded count, otherwise the planner picks the join.
+    if known_size or words.limit(_BROADCAST_STOPWORDS_MAX + 1).count() <= _BROADCAST_STOPWORDS_MAX:
+        words = F.broadcast(words)
     toks = df.select(id_col, F.posexplode(ws_tokens(col)).alias("pos", "word"))
-    kept = toks.join(F.broadcast(stopwords.select("word").distinct()), "word", "left_anti")
+    kept = toks.join(words, "word", "left_anti")
     rebuilt = kept.groupBy(id_col).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda s: s["word"]), " ").alias("__kept")
     )

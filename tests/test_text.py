@@ -26,6 +26,9 @@ def test_stopwords(spark):
         # large-list path (anti join) gives the same result
         big = stop + [f"w{i}" for i in range(2500)]
         assert T.remove_stopwords(df, big).first()["clean"] == want
+        # a caller's table (size checked before any broadcast) as well
+        table = spark.createDataFrame([(w,) for w in big], "word string")
+        assert T.remove_stopwords(df, table).first()["clean"] == want
 
 
 def test_min_chars(spark):
