@@ -36,3 +36,11 @@ def test_no_cartesian_or_nested_loop_joins(spark, name):
     plan = _final_plan(E.queries()[name](spark, SF001))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_reply_lines_are_split_once(spark):
+    """Staged parsing: Catalyst must not inline the line split into every use."""
+    import __spark_entry__ as E
+    df = E.queries()["parse_response"](spark, SF001)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") <= 4, plan
