@@ -1,8 +1,12 @@
 """Session and storage helpers."""
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,8 +20,8 @@ def get_spark(master: str | None = None, app: str = "feedlens", partitions: int
     """Build (or reuse) a session with the settings the operators assume.
 
     On a cluster pass ``master=None`` and let ``spark-submit`` decide; the
-    shuffle-partition count should then be sized to the data
-    (about 128-256 MB of shuffle per partition), AQE coalesces the rest.
+    shuffle-partition count then stays as the cluster sets it, unless
+    ``partitions`` is given (about 128-256 MB of shuffle per partition).
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -25,10 +29,10 @@ def get_spark(master: str | None = None, app: str = "feedlens", partitions: int
         if master.startswith("local"):
             # local mode: the driver JVM is the whole cluster
             b = b.config("spark.driver.memory", os.environ.get("FEEDLENS_DRIVER_MEMORY", "8g"))
-    cpus = os.cpu_count() or 8
+    if partitions or (master or "").startswith("local"):
+        b = b.config("spark.sql.shuffle.partitions", str(partitions or os.cpu_count() or 8))
     b = (
-        b.config("spark.sql.shuffle.partitions", str(partitions or cpus))
-        .config("spark.sql.adaptive.enabled", "true")
+        b.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
@@ -39,14 +43,16 @@ def get_spark(master: str | None = None, app: str = "feedlens", partitions: int
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when nothing is configured (local
-    tests) do we pick a folder of our own.
+    The cluster's setting always wins.  Only on a local master with nothing
+    configured (tests) do we pick a folder of our own; elsewhere a machine-local
+    folder would hold a part of each table, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = os.path.join("/tmp", "feedlens-checkpoints")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
@@ -65,24 +73,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/feedlens-{name}-{uuid.uuid4().hex[:12]}"
 
 
-_CHECKPOINTS = [0]
-GC_EVERY = 6
-
-
-def release_garbage(spark: SparkSession) -> None:
-    """Ask the driver JVM for a GC so Spark's ContextCleaner can drop the
-    shuffles and broadcasts of lineage that checkpoints made unreachable.
-
-    Spark does this on its own only every ``spark.cleaner.periodicGC.interval``
-    (30 min); iterative jobs that checkpoint every round create that garbage
-    much faster.
-    """
-    try:
-        spark.sparkContext._jvm.System.gc()
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Connect): nothing to do
-        pass
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder and
     continue from a plain scan of it.
@@ -95,11 +85,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "cut")
     df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
-    _CHECKPOINTS[0] += 1
-    if _CHECKPOINTS[0] % GC_EVERY == 0:
-        release_garbage(df.sparkSession)
-    return out
+    return spark.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per Spark application.
+
+    Python functions are pickled by module name, so workers must be able to
+    import the package wherever they run.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_feedlens_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="feedlens-modules-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # Spark serves the file while it runs
+    path = os.path.join(folder, "feedlens_modules.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for where, _, names in sorted(os.walk(top)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(where, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    sc._feedlens_shipped = True
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
