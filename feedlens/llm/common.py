@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 import os
-import pickle
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -53,13 +52,6 @@ def crc32_remainder(col, m: int) -> F.Column:
     return F.pmod(F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")), F.lit(m))
 
 
-def put_object(spark: SparkSession, obj, name: str) -> str:
-    """Write a pickled model of bounded size as one row of a written table; returns its path."""
-    path = scratch_path(spark, name)
-    spark.createDataFrame([(bytearray(pickle.dumps(obj)),)], "model binary").coalesce(1).write.parquet(path)
-    return path
-
-
 def as_batches(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """One Arrow batch from row tuples, nothing for no rows."""
     if rows:

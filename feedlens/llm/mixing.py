@@ -86,7 +86,8 @@ def invert_schedule(u, knots) -> F.Column:
     for begin, t0, w0, t1, w1 in parts:
         area, slope = u * F.lit(spent) - F.lit(begin), (w1 - w0) / (t1 - t0)
         # area = w0 x + slope x^2 / 2, in the form that also holds for slope 0
-        x = F.lit(2.0) * area / (F.lit(w0) + F.sqrt(F.greatest(F.lit(w0 * w0) + F.lit(2 * slope) * area, F.lit(0.0))))
+        root = F.sqrt(F.greatest(F.lit(float(w0 * w0)) + F.lit(2.0 * slope) * area, F.lit(0.0)))
+        x = F.try_divide(F.lit(2.0) * area, F.lit(float(w0)) + root)  # null where nothing is spent yet
         inside = F.coalesce(F.lit(t0) + x, F.lit(t0))
         out = F.when(area >= 0, F.least(F.lit(t1), inside)).otherwise(out)
     return out

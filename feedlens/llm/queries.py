@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, tokenizer_path
+from .common import crc32_remainder, table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,6 +29,34 @@ def register(name: str, sql: str | None = None):
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+@register("op1_warc_normalise", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS top FROM p)
+SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 160, 5), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (substr(bits, i + 1, 5)::BIT::INT + 1)::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM top AND top IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM (SELECT *, (from_hex(sha1(payload))::BIT)::VARCHAR AS bits FROM g)""")
+def op1(spark, sf):
+    from .warc import archived
+    return archived(table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _learn_from(df: DataFrame) -> DataFrame:
+    return df.where(crc32_remainder("doc_id", 3) != 1)
+
+
+@register("op2_toxicity")
+def op2(spark, sf):
+    from . import toxicity
+    docs = table(spark, sf, "documents")
+    model = toxicity.train(_learn_from(docs), table(spark, sf, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (crc32_remainder("doc_id", 3) == 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @register("op3_curriculum_mix", f"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
                   md5(coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
@@ -98,12 +126,48 @@ def op6(spark, sf):
     return quality_cascade(table(spark, sf, "documents"))
 
 
+@register("op7_line_chunks", r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(text, chr(10)) AS ls FROM documents),
+h AS (SELECT *, list_transform(ls, lambda x: md5(x)) AS hs FROM d),
+c AS (SELECT *, list_concat(list_concat([1], list_transform(list_filter(range(1, len(ls)), lambda i:
+        substr(md5(CASE WHEN i > 1 THEN hs[i - 1] ELSE '' END || hs[i]), 1, 1) <= '3'), lambda i: i + 1)), [len(ls) + 1]) AS st FROM h),
+k AS (SELECT rid, doc_id, st[j] AS b, st[j + 1] - st[j] AS n, array_to_string(ls[st[j]:st[j + 1] - 1], chr(10)) AS chunk
+      FROM (SELECT *, unnest(range(1, len(st))) AS j FROM c WHERE ls IS NOT NULL)),
+r AS (SELECT *, n >= 2 AND regexp_matches(chunk, '[^\x20\x09-\x0D]') AND row_number() OVER (
+        PARTITION BY chunk, n >= 2 ORDER BY doc_id NULLS FIRST, rid, b) > 1 AS gone FROM k),
+t AS (SELECT rid, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (WHERE gone), 0)::BIGINT AS removed_lines,
+             count(*) FILTER (WHERE gone) AS removed_chunks, coalesce(string_agg(chunk, chr(10) ORDER BY b) FILTER (WHERE NOT gone), '') AS text
+      FROM r GROUP BY rid)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(removed_lines, 0) AS removed_lines,
+       coalesce(removed_chunks, 0) AS removed_chunks, sha256(text) AS text_sha256
+FROM d LEFT JOIN t USING (rid)""")
+def op7(spark, sf):
+    from .line_dedup import remove_repeated_chunks
+    return remove_repeated_chunks(table(spark, sf, "documents")).select(
+        "doc_id", "n_lines", "removed_lines", "removed_chunks", F.sha2("text", 256).alias("text_sha256"))
+
+
+@register("op8_language_id")
+def op8(spark, sf):
+    from . import language_id
+    docs, pieces = table(spark, sf, "documents"), tokenizer_path("piece_bpe_32k.model")
+    model = language_id.train(_learn_from(docs), pieces)
+    found = language_id.predict(docs, model, pieces)
+    return found.select("doc_id", (crc32_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 @register("op9_minhash_near_dedup")
 def op9(spark, sf):
     from .near_dedup import near_dedup
     return near_dedup(table(spark, sf, "documents"))
 
 
+@register("op10_elias_fano_tokens")
+def op10(spark, sf):
+    from .token_store import stored
+    return stored(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def add_pipeline() -> None:
     """Registers ``pipeline`` if its file lies at the repository's top."""
     if importlib.util.find_spec("corpus_pipeline") is not None:
