@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import md5_bucket, md5_sign
 from ..functions.text import WORD_TOKEN, word_tokens
+from ..session import cut_lineage
 
 
 def dense_from_pairs(pairs: DataFrame, id_col: str, dim: int, idx: str = "bucket", val: str = "v") -> DataFrame:
@@ -108,7 +109,8 @@ def embed_cached(df: DataFrame, cache: DataFrame | None, encoder: Callable[[Data
         c = cache.select("text_key", "vec").dropDuplicates(["text_key"])
         hits = keyed.join(c, "text_key").select(id_col, "vec", F.lit(True).alias("cached"))
         misses = keyed.join(c, "text_key", "left_anti")
-    fresh = encoder(misses.select(id_col, col)).join(misses.select(id_col, "text_key"), id_col)
+    misses = cut_lineage(misses)
+    fresh = cut_lineage(encoder(misses.select(id_col, col)).join(misses.select(id_col, "text_key"), id_col))
     out = fresh.select(id_col, "vec", F.lit(False).alias("cached"))
     if hits is not None:
         out = hits.unionByName(out)
@@ -116,17 +118,49 @@ def embed_cached(df: DataFrame, cache: DataFrame | None, encoder: Callable[[Data
 
 
 def encode_word2vec(docs: DataFrame, size: int = 32, min_count: int = 5, seed: int = 42,
-                    col: str = "clean", id_col: str = "doc_id", window: int = 5, max_iter: int = 1):
+                    col: str = "clean", id_col: str = "doc_id", window: int = 5, max_iter: int = 1,
+                    parts: int | None = None):
     """Words and documents in one space (MLlib Word2Vec; doc = mean of word vectors).
 
+    Trains in ``parts`` tasks whose models MLlib averages (the session's shuffle
+    partitions if not given).  The vocabulary's vectors pass through the driver,
+    as MLlib has it; :func:`random_index` has no such bound.
     Returns ``(doc_vectors(doc_id, vec), word_vectors(word, vec))``.
     """
     from pyspark.ml.feature import Word2Vec
 
+    parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     toks = docs.select(id_col, word_tokens(col).alias("tokens"))
     model = Word2Vec(vectorSize=size, minCount=min_count, seed=seed, inputCol="tokens", outputCol="__v",
-                     windowSize=window, maxIter=max_iter, numPartitions=1).fit(toks)
+                     windowSize=window, maxIter=max_iter, numPartitions=parts).fit(toks)
     from pyspark.ml.functions import vector_to_array
     doc_vecs = model.transform(toks).select(id_col, vector_to_array("__v").alias("vec"))
     word_vecs = model.getVectors().select("word", vector_to_array("vector").alias("vec"))
     return doc_vecs, word_vecs
+
+
+def random_index(docs: DataFrame, dim: int = 32, min_count: int = 5, entries: int = 4, col: str = "clean",
+                 id_col: str = "doc_id", pattern: str = WORD_TOKEN):
+    """Words and documents in one space by random indexing.
+
+    Every document has ``entries`` signed places of ``dim``, from md5 of its id;
+    a word's vector sums them over the documents it stands in, times its count
+    there; a document's vector is the mean of its words' vectors.  Words that
+    stand in the corpus fewer than ``min_count`` times are left out.
+    Returns ``(doc_vectors(doc_id, vec), word_vectors(word, vec))``; documents
+    without a known word have a zero vector.
+    """
+    dt = cut_lineage(docs.select(id_col, F.explode(word_tokens(col, pattern)).alias("word"))
+                     .groupBy(id_col, "word").agg(F.count("word").alias("tf")))
+    known = dt.groupBy("word").agg(F.sum("tf").alias("__n")).filter(F.col("__n") >= min_count).select("word")
+    dt = cut_lineage(dt.join(known, "word"))
+    place = [F.concat(F.col(id_col).cast("string"), F.lit(f":{e}")) for e in range(entries)]
+    marks = F.array(*[F.struct(md5_bucket(x, dim).alias("bucket"), md5_sign(x).alias("sign")) for x in place])
+    words = cut_lineage(dt.select("word", "tf", F.explode(marks).alias("m")).groupBy("word", F.col("m.bucket").alias("bucket"))
+                        .agg(F.sum(F.col("tf") * F.col("m.sign")).alias("v")))
+    sums = dt.join(words, "word").groupBy(id_col, "bucket").agg(F.sum(F.col("tf") * F.col("v")).alias("s"))
+    total = dt.groupBy(id_col).agg(F.sum("tf").alias("n"))
+    mean = sums.join(total, id_col).select(id_col, "bucket", (F.col("s") / F.col("n")).alias("v"))
+    every = docs.select(id_col).join(mean, id_col, "left")
+    return dense_from_pairs(every, id_col, dim), dense_from_pairs(words, "word", dim)

@@ -32,6 +32,7 @@ from ..functions.parse import (
     summary_or_reply,
     summary_text,
 )
+from ..session import cut_lineage
 from ..functions.text import WORD_TOKEN, strip_ws, word_tokens
 from .topics import NOISE, ordered_words
 
@@ -59,20 +60,23 @@ def prompt_hash(c) -> F.Column:
 
 def build_prompts(words: DataFrame, docs: DataFrame, template: str = DEFAULT_TEMPLATE,
                   n_keywords: int = 10, n_docs: int = 5, doc_col: str = "clean",
-                  answer_format: str = ANSWER_FORMAT) -> DataFrame:
-    """(topic, prompt, prompt_hash) for every non-noise topic that has keywords.
+                  answer_format: str = ANSWER_FORMAT, topics: DataFrame | None = None) -> DataFrame:
+    """(topic, prompt, prompt_hash) for every non-noise topic.
 
-    Documents are substituted first, then keywords (literal replacement, so a
-    document containing ``[KEYWORDS]`` is substituted too).
+    ``topics`` lists them (topic info); without it, those that have keywords.
+    A topic without keywords or documents keeps its prompt, with nothing in
+    their place.  Documents are substituted first, then keywords (literal
+    replacement, so a document containing ``[KEYWORDS]`` is substituted too).
     """
     kw = ordered_words(words, n_keywords, ", ", "__kw")
     dd = (docs.filter(F.col("rank") <= n_docs).groupBy("topic")
               .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", doc_col))),
                                             lambda s: s[doc_col]), "\n").alias("__docs")))
     body = F.replace(F.replace(F.lit(template), F.lit("[DOCUMENTS]"), F.coalesce(F.col("__docs"), F.lit(""))),
-                     F.lit("[KEYWORDS]"), F.col("__kw"))
+                     F.lit("[KEYWORDS]"), F.coalesce(F.col("__kw"), F.lit("")))
     prompt = F.concat(body, F.lit(answer_format))
-    return (kw.join(dd, "topic", "left").filter(F.col("topic") != NOISE)
+    every = kw if topics is None else topics.select("topic").join(kw, "topic", "left")
+    return (every.join(dd, "topic", "left").filter(F.col("topic") != NOISE)
               .select(F.col("topic").cast("int").alias("topic"), prompt.alias("prompt"))
               .withColumn("prompt_hash", prompt_hash("prompt")))
 
@@ -93,6 +97,17 @@ def cache_split(prompts: DataFrame, cache: DataFrame | None, backend_id: str | N
     return hits, misses
 
 
+def ask(backend: Callable[[str], str], prompt: str, waits: list[float]) -> tuple[str, bool]:
+    """The backend's reply and True; once it has failed and no wait is left, the error marker and False."""
+    try:
+        return str(backend(prompt)).strip(), True
+    except Exception as problem:  # noqa: BLE001 - one topic must not fail the job
+        if not waits:
+            return f"[ERROR: {problem}]", False
+    time.sleep(waits[0])
+    return ask(backend, prompt, waits[1:])
+
+
 def generate(prompts: DataFrame, backend: Callable[[str], str], batch_size: int = 5,
              max_retries: int = 2, pause: float = 1.0) -> DataFrame:
     """Run a Python backend on executors: ``prompts`` -> + (response, ok).
@@ -105,25 +120,9 @@ def generate(prompts: DataFrame, backend: Callable[[str], str], batch_size: int
     schema += ", response string, ok boolean"
 
     def run(batches):
-        import pandas as pd
-        for pdf in batches:
-            responses, oks = [], []
-            for p in pdf["prompt"].tolist():
-                for attempt in range(max_retries + 1):
-                    try:
-                        responses.append(str(backend(p)).strip())
-                        oks.append(True)
-                        break
-                    except Exception as e:  # noqa: BLE001 - one topic must not fail the job
-                        if attempt < max_retries:
-                            time.sleep(pause)
-                        else:
-                            responses.append(f"[ERROR: {e}]")
-                            oks.append(False)
-            out = pdf.copy()
-            out["response"] = pd.Series(responses, dtype="object")
-            out["ok"] = pd.Series(oks, dtype="bool")
-            yield out
+        for rows in batches:
+            answers = [ask(backend, p, [pause] * max_retries) for p in rows["prompt"]]
+            yield rows.assign(response=[text for text, _ in answers], ok=[good for _, good in answers])
 
     n = prompts.select("topic").distinct().count()  # topic-level scalar
     parts = max(1, -(-n // max(1, batch_size)))
@@ -136,13 +135,15 @@ def respond_cached(prompts: DataFrame, backend, cache: DataFrame | None = None,
 
     Returns ``(responses(topic, prompt_hash, prompt, response, ok, cached), new_entries)``;
     ``new_entries`` holds only successful fresh responses, ready to append to the cache.
+    Fresh responses are written once, so the backend sees each prompt once
+    however often the results are read.
     """
     hits, misses = cache_split(prompts, cache, backend_id)
     if callable(backend) and not getattr(backend, "is_column_backend", False):
         fresh = generate(misses, backend, **gen_kw)
     else:
         fresh = misses.join(backend(misses), "topic").withColumn("ok", F.lit(True))
-    fresh = fresh.withColumn("cached", F.lit(False))
+    fresh = cut_lineage(fresh.withColumn("cached", F.lit(False)))
     out = fresh
     if hits is not None:
         out = hits.withColumn("ok", F.lit(True)).withColumn("cached", F.lit(True)).unionByName(fresh)
@@ -186,7 +187,8 @@ def extractive_backend(docs: DataFrame, scores: DataFrame, doc_col: str = "clean
         w = Window.partitionBy("topic").orderBy(F.round("w", 12).desc(), F.col("pos"))
         best = scored.withColumn("__r", F.row_number().over(w)).filter("__r = 1")
         reply = F.concat(F.lit("CẢM XÚC: trung lập\nTÓM TẮT: "), strip_ws("sentence"))
-        return prompts.select("topic").join(best.select("topic", reply.alias("response")), "topic")
+        answer = prompts.select("topic").join(best.select("topic", reply.alias("response")), "topic", "left")
+        return answer.withColumn("response", F.coalesce("response", F.lit("")))
     return backend
 
 
@@ -205,10 +207,12 @@ def parse_replies(df: DataFrame, col: str = "response") -> DataFrame:
                       summary_or_reply("__joined", col).alias("summary")))
 
 
-def add_priority(df: DataFrame) -> DataFrame:
+def add_priority(df: DataFrame, info: DataFrame | None = None) -> DataFrame:
     """Priority from (count, sentiment): negative and count >= mean -> high,
-    negative otherwise -> medium, else low.  Mean over non-noise topics, 0 if none."""
-    mean = df.filter(F.col("topic") != NOISE).agg(F.coalesce(F.avg("count"), F.lit(0.0))).scalar()
+    negative otherwise -> medium, else low.  Mean over the non-noise topics of
+    ``info`` (of ``df`` without it), 0 if none."""
+    mean = (df if info is None else info).filter(F.col("topic") != NOISE).agg(
+        F.coalesce(F.avg("count"), F.lit(0.0))).scalar()
     pr = (F.when((F.col("sentiment") == NEGATIVE) & (F.col("count") >= mean), F.lit(PRIORITY_HIGH))
            .when(F.col("sentiment") == NEGATIVE, F.lit(PRIORITY_MEDIUM))
            .otherwise(F.lit(PRIORITY_LOW)))
@@ -219,7 +223,9 @@ def summarize_topics(info: DataFrame, words: DataFrame, responses: DataFrame) ->
     """(topic, keywords, summary, sentiment, priority) for non-noise topics.
 
     ``responses(topic, response[, ok])``: a failed response (ok = false) keeps
-    its ``[ERROR: ...]`` text as the summary with a neutral sentiment.
+    its ``[ERROR: ...]`` text as the summary with a neutral sentiment.  Every
+    topic of ``info`` has a row; one without a response has an empty summary
+    and a neutral sentiment.
     """
     kw = ordered_words(words, 5, " | ", "keywords")
     r = responses if "ok" in responses.columns else responses.withColumn("ok", F.lit(True))
@@ -228,8 +234,10 @@ def summarize_topics(info: DataFrame, words: DataFrame, responses: DataFrame) ->
                  F.when(F.col("ok"), F.col("sentiment")).otherwise(F.lit(NEUTRAL)).alias("sentiment"),
                  F.when(F.col("ok"), F.col("summary")).otherwise(F.col("response")).alias("summary"))
     base = (info.filter(F.col("topic") != NOISE).select("topic", "count")
-                .join(kw, "topic", "left").join(r, "topic"))
-    return add_priority(base).select(F.col("topic").cast("int").alias("topic"),
+                .join(kw, "topic", "left").join(r, "topic", "left")
+                .withColumn("sentiment", F.coalesce("sentiment", F.lit(NEUTRAL)))
+                .withColumn("summary", F.coalesce("summary", F.lit(""))))
+    return add_priority(base, info).select(F.col("topic").cast("int").alias("topic"),
                                      F.coalesce(F.col("keywords"), F.lit("")).alias("keywords"),
                                      "summary", "sentiment", "priority")
 

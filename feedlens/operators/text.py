@@ -21,12 +21,6 @@ DEFAULT_STOPWORDS = (
     "r", "sao", "hơi", "v", "mik", "sốp", "á", "hi", "chúc",
 )
 
-# Above this many stopwords the membership test becomes a broadcast anti join
-# of exploded tokens instead of an inline array literal.
-_INLINE_STOPWORDS_MAX = 2000
-_BROADCAST_STOPWORDS_MAX = 2_000_000
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -52,22 +46,14 @@ def remove_stopwords(df: DataFrame, stopwords: Iterable[str] | DataFrame = DEFAU
                      assume_clean: bool = False) -> DataFrame:
     """Exact-token stopword removal on an already segmented column.
 
-    ``stopwords`` may be a list (inlined as an array literal) or a one-column
-    DataFrame ``word`` (for very large lists: explode, broadcast anti join,
-    re-assemble in position order).
+    ``stopwords`` is a list (an array literal in the expression) or a
+    one-column DataFrame ``word`` (tokens are exploded, anti-joined as the
+    planner sees fit, and put together again in order).
     """
     out = out or col
-    known_size = not isinstance(stopwords, DataFrame)
-    if known_size:
-        stopwords = list(stopwords)
-        if len(stopwords) <= _INLINE_STOPWORDS_MAX:
-            return df.withColumn(out, remove_stopwords_col(col, stopwords, assume_clean))
-        stopwords = df.sparkSession.createDataFrame([(w,) for w in dict.fromkeys(stopwords)], "word string")
+    if not isinstance(stopwords, DataFrame):
+        return df.withColumn(out, remove_stopwords_col(col, list(stopwords), assume_clean))
     words = stopwords.select("word").distinct()
-    # A list from the driver has a known size; a caller's table is broadcast
-    # only after a bounded count, otherwise the planner picks the join.
-    if known_size or words.limit(_BROADCAST_STOPWORDS_MAX + 1).count() <= _BROADCAST_STOPWORDS_MAX:
-        words = F.broadcast(words)
     toks = df.select(id_col, F.posexplode(ws_tokens(col)).alias("pos", "word"))
     kept = toks.join(words, "word", "left_anti")
     rebuilt = kept.groupBy(id_col).agg(
@@ -119,15 +105,14 @@ def dedup_first(df: DataFrame, key: str = "clean", order: str = "doc_id") -> Dat
     """Exact dedup on ``key`` keeping the row with the smallest ``order``.
 
     ``min(struct(order, ...))`` is a total order, so the survivor is defined
-    (``dropDuplicates`` keeps an arbitrary one).  Partial aggregation collapses
-    copies inside each map task before the shuffle, so a group holding a third
-    of all rows ships one row per task.
+    (``dropDuplicates`` keeps an arbitrary one).  Rows are grouped by the
+    SHA-256 of the key, so sorts and hashes see 32 bytes and not whole texts;
+    partial aggregation collapses copies inside each map task.
     """
-    others = [c for c in df.columns if c not in (key, order)]
+    others = [c for c in df.columns if c != order]
     packed = F.min(F.struct(F.col(order), *[F.col(c) for c in others])).alias("__first")
-    return (df.groupBy(key).agg(packed)
-              .select(F.col("__first")[order].alias(order), *[F.col("__first")[c].alias(c) for c in others], F.col(key))
-              .select(*df.columns))
+    return (df.groupBy(F.sha2(F.encode(F.col(key), "utf-8"), 256).alias("__key")).agg(packed)
+              .select(*[F.col("__first")[c].alias(c) for c in df.columns]))
 
 
 def preprocess(df: DataFrame, *, lowercase: bool = True, min_chars: int = 3, dedup: bool = True,

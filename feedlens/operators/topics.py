@@ -135,9 +135,12 @@ def relabel_by_size(topics: DataFrame, id_col: str = "doc_id") -> DataFrame:
     # single-partition window.  ``__first`` (a document id) makes the order total.
     mapping = (row_index(sizes, [F.col("__n").desc(), F.col("__first")], "__new")
                .select(F.col("topic").alias("__old"), F.col("__new").cast("int").alias("__new")))
-    return (topics.join(mapping, topics["topic"] == mapping["__old"], "left")
-                  .select(*[c for c in topics.columns if c != "topic"],
-                          F.coalesce(F.col("__new"), F.lit(NOISE)).cast("int").alias("topic")))
+    # noise, the largest group, stays out of the join
+    others = [c for c in topics.columns if c != "topic"]
+    named = topics.filter(F.col("topic") != NOISE).join(mapping, F.col("topic") == F.col("__old")).select(
+        *others, F.col("__new").alias("topic"))
+    noise = topics.filter(F.coalesce(F.col("topic") == NOISE, F.lit(True)))
+    return named.unionByName(noise.select(*others, F.lit(NOISE).cast("int").alias("topic")))
 
 
 def run_stats(topics: DataFrame) -> DataFrame:

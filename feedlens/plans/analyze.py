@@ -1,7 +1,7 @@
 """End-to-end composition: feedback table -> topics, keywords, summaries, report."""
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +12,10 @@ from ..operators import report as R
 from ..operators import summarize as S
 from ..operators import topics as TP
 from ..operators.text import DEFAULT_STOPWORDS, preprocess
+from ..operators.trends import topic_centroids
 from ..session import cut_lineage
 from ..sources.feedback import require_min_docs, to_feedback
+from ..sources.sinks import save_topic_model
 
 
 @dataclass
@@ -32,9 +34,12 @@ class Options:
     n_docs: int = 5
     summarize: bool = True
     backend: object = None            # Python callable str -> str; None = offline extractive backend
-    cache: DataFrame | None = None    # response cache table
+    cache: DataFrame | None = None    # response cache table, read only
+    cache_path: str | None = None     # response cache that is read and then appended to
+    backend_id: str | None = None     # keeps the responses of different backends apart
+    model_path: str | None = None     # where the topic model is saved
+    lexicon: DataFrame | None = None  # phrases for word segmentation
     min_docs: int = 5
-    extra: dict = field(default_factory=dict)
 
 
 @dataclass
@@ -64,7 +69,7 @@ def analyze(df: DataFrame, opts: Options | None = None) -> Result:
         raise ValueError("text_column must be set")
     fb = to_feedback(df, o.text_column, o.id_column)
     docs = cut_lineage(preprocess(fb, lowercase=o.lowercase, min_chars=o.min_chars, dedup=o.dedup,
-                                  stopwords=o.stopwords))
+                                  stopwords=o.stopwords, lexicon=o.lexicon))
     require_min_docs(docs, o.min_docs)
     vecs = cut_lineage(EM.encode_hashed(docs, o.dim))
     clusters = CL.density_cluster_at(vecs, o.eps, o.dim, o.min_samples, o.min_cluster_size)
@@ -81,12 +86,20 @@ def analyze(df: DataFrame, opts: Options | None = None) -> Result:
     words = cut_lineage(TP.top_words(scores, o.n_keywords))
     info = cut_lineage(TP.topic_info(topics, words))
     rep = cut_lineage(TP.representative_docs(dtop, scores, idf, o.n_docs, dt=dt))
-    summaries = None
     if o.summarize:
-        prompts = S.build_prompts(words, rep, n_keywords=o.n_keywords, n_docs=o.n_docs)
+        prompts = S.build_prompts(words, rep, n_keywords=o.n_keywords, n_docs=o.n_docs, topics=info)
         backend = o.backend or S.extractive_backend(rep, scores)
-        responses, _ = S.respond_cached(prompts, backend, o.cache)
+        cache = S.read_cache(df.sparkSession, o.cache_path) if o.cache_path else o.cache
+        responses, fresh = S.respond_cached(prompts, backend, cache, o.backend_id)
+        if o.cache_path:
+            S.append_cache(fresh, o.cache_path)
         summaries = S.summarize_topics(info, words, responses)
+    else:
+        summaries = None
+    if o.model_path:
+        save_topic_model({"centroids": topic_centroids(vecs, topics, o.dim), "words": words, "idf": idf, "info": info},
+                         {"dim": o.dim, "eps": o.eps, "min_samples": o.min_samples,
+                          "min_cluster_size": o.min_cluster_size}, o.model_path)
     report = R.topic_report(info, words, rep, summaries, n_docs=o.n_docs)
     return Result(docs, vecs, topics, words, info, rep, summaries, report, TP.run_stats(topics))
 

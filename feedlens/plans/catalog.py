@@ -200,15 +200,16 @@ from ..operators import report as R  # noqa: E402
 from ..operators import summarize as S  # noqa: E402
 
 
-def _topic_parts(spark, sf):
-    """Topic-level tables checkpointed once (bounded by topics x vocabulary)."""
+def _topic_parts(spark, sf, rep: bool = True):
+    """Topic-level tables checkpointed once (bounded by topics x vocabulary);
+    representative documents, the dearest part, only where ``rep`` asks for them."""
     docs, dt, tc, scores, idf, words = _parts(spark, sf)
     idf = cut_lineage(idf)
     scores = cut_lineage(TP.ctfidf(tc, idf))
     words = cut_lineage(TP.top_words(scores, 10))
     info = cut_lineage(TP.topic_info(docs.select("doc_id", "topic"), words))
-    rep = cut_lineage(TP.representative_docs(docs, scores, idf, 5, dt=dt))
-    return docs, tc, scores, words, info, rep
+    reps = cut_lineage(TP.representative_docs(docs, scores, idf, 5, dt=dt)) if rep else None
+    return docs, tc, scores, words, info, reps
 
 
 def _canned(words):
@@ -296,7 +297,7 @@ def q_parse_response(spark, sf):
 
 @register("priority_label", SUMMARY_SQL + "SELECT topic, count, sentiment, priority FROM summ")
 def q_priority_label(spark, sf):
-    _, _, _, words, info, _ = _topic_parts(spark, sf)
+    _, _, _, words, info, _ = _topic_parts(spark, sf, rep=False)
     parsed = S.parse_replies(_canned(words))
     base = info.filter("topic <> -1").select("topic", "count").join(parsed.select("topic", "sentiment"), "topic")
     return S.add_priority(base).select("topic", "count", "sentiment", "priority")
@@ -304,7 +305,7 @@ def q_priority_label(spark, sf):
 
 @register("summarize_topics", SUMMARY_SQL + "SELECT topic, keywords, summary, sentiment, priority FROM summ")
 def q_summarize_topics(spark, sf):
-    _, _, _, words, info, _ = _topic_parts(spark, sf)
+    _, _, _, words, info, _ = _topic_parts(spark, sf, rep=False)
     return S.summarize_topics(info, words, _canned(words))
 
 
@@ -313,7 +314,7 @@ def q_summarize_topics(spark, sf):
           f"nm AS ({O.words_joined('tw', 4, '_', 'w')}) "
           "SELECT topic, concat_ws('_', topic::VARCHAR, w) AS keywords FROM cnt LEFT JOIN nm USING (topic) WHERE topic <> -1")
 def q_topics_only(spark, sf):
-    _, _, _, _, info, _ = _topic_parts(spark, sf)
+    _, _, _, _, info, _ = _topic_parts(spark, sf, rep=False)
     return S.topics_only(info)
 
 
@@ -321,7 +322,7 @@ def q_topics_only(spark, sf):
           PROMPTS_SQL.rstrip(",\n") + f"\nSELECT topic::INTEGER AS topic, coalesce(keywords, '') AS original_keywords, "
           f"{O.strip('response')} AS text_representation FROM canned LEFT JOIN kwp USING (topic)")
 def q_topic_representations(spark, sf):
-    _, _, _, words, _, _ = _topic_parts(spark, sf)
+    _, _, _, words, _, _ = _topic_parts(spark, sf, rep=False)
     return S.topic_representations(words, _canned(words))
 
 
@@ -440,7 +441,7 @@ def q_embed_hashed(spark, sf):
           "SELECT doc_id, CASE WHEN sha256(clean) IN (SELECT k FROM cached) THEN 'hit' ELSE 'miss' END AS status FROM pre")
 def q_embed_cache_misses(spark, sf):
     """Cache = vectors of the labelled documents from an earlier run; encode the rest."""
-    pre = FX.prepared(spark, sf)
+    pre = cut_lineage(FX.prepared(spark, sf))
     labelled = pre.join(_table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
     cache = EM.encode_hashed(labelled, HASH_DIM).join(labelled, "doc_id").select(EM.text_key("clean").alias("text_key"), "vec")
     vecs, _ = EM.embed_cached(pre, cache, lambda m: EM.encode_hashed(m, HASH_DIM))
@@ -520,13 +521,20 @@ def q_density_cluster_at(spark, sf):
     return CL.density_cluster_at(_hashed(spark, sf), 1.0, HASH_DIM, 3, 5)
 
 
-@register("spanning_forest")
+@register("spanning_forest",
+          f"WITH RECURSIVE {O.EMB_PAIRS}, core AS (SELECT src AS id, dist AS core FROM ek WHERE rank = 3), "
+          "mr AS (SELECT least(e.src, e.dst) AS a, greatest(e.src, e.dst) AS b, min(greatest(c1.core, c2.core, e.dist)) AS w FROM ek e "
+          "JOIN core c1 ON e.src = c1.id JOIN core c2 ON e.dst = c2.id WHERE e.rank <= 4 GROUP BY 1, 2), "
+          "ke AS (SELECT *, row_number() OVER (ORDER BY w, a, b) AS k FROM mr), "
+          "und AS (SELECT a AS x, b AS y, k FROM ke UNION ALL SELECT b, a, k FROM ke), "
+          "reach(k, n) AS (SELECT k, a FROM ke UNION SELECT r.k, u.y FROM reach r JOIN und u ON u.x = r.n AND u.k < r.k) "
+          "SELECT a AS src, b AS dst, round(w, 6) AS w FROM ke WHERE NOT EXISTS (SELECT 1 FROM reach r WHERE r.k = ke.k AND r.n = ke.b)")
 def q_spanning_forest(spark, sf):
     """Minimum spanning forest of the mutual-reachability kNN graph of the embeddings."""
     emb = _embeddings(spark, sf)
     nn = NB.knn(emb, 4, 64)
     mr = CL.mutual_reachability(nn, CL.core_distance(nn, 3))
-    return CL.spanning_forest(emb.select(F.col("doc_id").alias("id")), mr.select("src", "dst", F.col("mreach").alias("w")))
+    return CL.spanning_forest(emb.select(F.col("doc_id").alias("id")), mr.select("src", "dst", F.col("mreach").alias("w"))).withColumn("w", r6("w"))
 
 
 @register("analyze_topics")
@@ -546,15 +554,16 @@ MIN_SIM = 0.1
 def _model(spark, sf):
     """Topic model learned on the documents: vocabulary, vectors, language-topic centroids."""
     pre = FX.prepared(spark, sf)
+    pre = cut_lineage(pre)
     vocab = cut_lineage(EM.hashed_vocab(pre, HASH_DIM))
-    vecs = EM.encode_hashed(pre, HASH_DIM, vocab=vocab)
+    vecs = cut_lineage(EM.encode_hashed(pre, HASH_DIM, vocab=vocab))
     cen = cut_lineage(TR.topic_centroids(vecs, FX.fixture_topics(spark, sf), HASH_DIM))
     return pre, vocab, vecs, cen
 
 
 def _conversations(spark, sf):
     c = _table(spark, sf, "conversations")
-    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "conv_id", "turn", "text")
+    return c.select(F.concat_ws(":", "conv_id", "turn").alias("doc_id"), "conv_id", "turn", "text")
 
 
 def _conv_vectors(spark, sf, vocab):
@@ -568,7 +577,7 @@ MODEL_SQL = (
     "cen0 AS (SELECT f.topic, h.dim, avg(h.value) AS v FROM hv h JOIN ft f USING (doc_id) WHERE f.topic <> -1 GROUP BY ALL),\n"
     "cnr AS (SELECT topic, sqrt(sum(v * v)) AS nr FROM cen0 GROUP BY topic),\n"
     "cen AS (SELECT topic, list(CASE WHEN nr > 0 THEN v / nr ELSE 0.0 END ORDER BY dim) AS c FROM cen0 JOIN cnr USING (topic) GROUP BY topic),\n"
-    f"cv AS (SELECT conv_id * 1000 + turn AS id, conv_id, turn, {O.stop(O.clean('text'))} AS clean FROM conversations),\n"
+    f"cv AS (SELECT concat_ws(':', conv_id, turn) AS id, conv_id, turn, {O.stop(O.clean('text'))} AS clean FROM conversations),\n"
     f"ct AS (SELECT id, word, count(*) AS tf FROM (SELECT id, unnest({O.tokens('clean')}) AS word FROM cv) GROUP BY ALL),\n"
     "cb AS (SELECT id, bucket, sum(sign * tf * idf) AS v FROM ct JOIN voc USING (word) GROUP BY ALL),\n"
     "cbn AS (SELECT id, sqrt(sum(v * v)) AS nr FROM cb GROUP BY id),\n"
@@ -611,15 +620,21 @@ def q_assign_stream(spark, sf):
 
 TREND_SQL = (
     f"WITH {O.FIXTURE_TOPICS},\n"
-    "tt AS (SELECT f.topic, date_trunc('week', e.ts) AS period FROM ft f JOIN events e ON e.event_id = f.doc_id),\n"
+    "tt AS (SELECT f.topic, date_trunc('week', e.ts) AS period FROM ft f JOIN events e ON e.event_id % (SELECT max(doc_id) + 1 FROM documents) = f.doc_id),\n"
     "per AS (SELECT topic, period, count(*)::BIGINT AS count FROM tt GROUP BY ALL),\n"
     "tr AS (SELECT topic, period, count, lag(count) OVER (PARTITION BY topic ORDER BY period) AS prev_count FROM per)\n"
 )
 
 
+def _event_doc(spark, sf):
+    """The document an event is about: event ids go round the document ids, so every event counts."""
+    n = FX.documents(spark, sf).agg(F.max("doc_id") + 1).first()[0]
+    return F.col("event_id") % F.lit(n)
+
+
 def _trend(spark, sf):
-    ev = _table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), "ts")
-    return TR.topic_trend(FX.fixture_topics(spark, sf).join(ev, "doc_id"))
+    ev = _table(spark, sf, "events").select(_event_doc(spark, sf).alias("doc_id"), "ts")
+    return TR.topic_trend(ev.join(FX.fixture_topics(spark, sf), "doc_id"))
 
 
 @register("topic_trend",
@@ -724,7 +739,7 @@ def q_min_docs_guard(spark, sf):
 
 @register("sink_topics_csv", SUMMARY_SQL + "SELECT topic, keywords, summary, sentiment, priority FROM summ")
 def q_sink_topics_csv(spark, sf):
-    _, _, _, words, info, _ = _topic_parts(spark, sf)
+    _, _, _, words, info, _ = _topic_parts(spark, sf, rep=False)
     path = scratch_path(spark, "topics-csv")
     SK.write_topics(S.summarize_topics(info, words, _canned(words)), path)
     back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
@@ -838,51 +853,94 @@ def q_embedding_keywords(spark, sf):
     return kw.withColumn("score", r6("score"))
 
 
-def _w2v(spark, sf):
-    docs, _, scores, words, _, rep = _topic_parts(spark, sf)
-    doc_vecs, word_vecs = EM.encode_word2vec(docs.select("doc_id", "clean"), size=32, min_count=5, seed=42)
-    return docs, scores, rep, cut_lineage(doc_vecs), cut_lineage(word_vecs)
-
-
 @register("embed_word2vec")
 def q_embed_word2vec(spark, sf):
     """Documents and words in one Word2Vec space (document = mean of its word vectors)."""
-    _, _, _, doc_vecs, _ = _w2v(spark, sf)
+    doc_vecs, _ = EM.encode_word2vec(cut_lineage(FX.prepared(spark, sf)), size=32, min_count=5, seed=42)
     return EM.vector_long(doc_vecs)
 
 
 @register("mmr_keywords")
 def q_mmr_keywords(spark, sf):
-    """MMR (diversity 0.1) over the top-30 c-TF-IDF words with Word2Vec vectors."""
-    _, scores, rep, doc_vecs, word_vecs = _w2v(spark, sf)
+    """MMR (diversity 0.1) over the top-30 c-TF-IDF words in the space of random indexing."""
+    docs, _, scores, _, _, rep = _topic_parts(spark, sf)
+    doc_vecs, word_vecs = EM.random_index(docs.select("doc_id", "clean"), 32, 5)
     cands = TP.top_words(scores, 30).filter(F.col("topic") != TP.NOISE)
-    tv = KW.topic_vectors(rep, doc_vecs, 32, 5)
-    return KW.mmr_keywords(cands, tv, word_vecs, 0.1, 10)
+    tv = KW.topic_vectors(rep, cut_lineage(doc_vecs), 32, 5)
+    return KW.mmr_keywords(cands, tv, cut_lineage(word_vecs), 0.1, 10)
 
 
-def trigram_encoder(dim: int = 64):
-    """A user encoder for ``embed_texts``: hashed character trigrams, L2-normalised (NumPy)."""
+def bigram_encoder(dim: int = 64):
+    """A user encoder for ``embed_texts``: character bigrams by code point, L2-normalised (NumPy)."""
     def make():
-        import zlib
-
         import numpy as np
 
         def encode(texts):
             out = np.zeros((len(texts), dim))
             for i, t in enumerate(texts):
-                s = f"  {t}  "
-                for j in range(len(s) - 2):
-                    out[i, zlib.crc32(s[j:j + 3].encode()) % dim] += 1.0
+                c = np.frombuffer(t.encode("utf-32-le"), dtype="<u4").astype(np.int64)
+                out[i] = np.bincount((c[:-1] * 31 + c[1:]) % dim, minlength=dim)
             n = np.linalg.norm(out, axis=1, keepdims=True)
             return np.divide(out, n, out=np.zeros_like(out), where=n > 0)
         return encode
     return make
 
 
-@register("embed_texts")
+@register("embed_texts",
+          f"WITH {O.PREPARED},\n"
+          "ch AS (SELECT doc_id, list_transform(regexp_extract_all(clean, '(?s).'), lambda c: unicode(c)) AS c FROM pre),\n"
+          "bg AS (SELECT doc_id, unnest(list_transform(range(1, len(c)), lambda i: (c[i] * 31 + c[i + 1]) % 64)) AS dim FROM ch),\n"
+          "bc AS (SELECT doc_id, dim, count(*) AS n FROM bg GROUP BY ALL),\n"
+          "bn AS (SELECT doc_id, sqrt(sum(n * n)) AS nr FROM bc GROUP BY doc_id)\n"
+          "SELECT p.doc_id, g.i::INTEGER AS dim, round(coalesce(bc.n / bn.nr, 0.0), 6) AS value FROM pre p CROSS JOIN range(64) g(i) "
+          "LEFT JOIN bc ON bc.doc_id = p.doc_id AND bc.dim = g.i LEFT JOIN bn ON bn.doc_id = p.doc_id")
 def q_embed_texts(spark, sf):
-    """Pluggable encoder run on executors in Arrow batches (here: character trigrams)."""
-    return EM.vector_long(EM.embed_texts(FX.prepared(spark, sf), trigram_encoder(64), 64, batch_size=32))
+    """Pluggable encoder run on executors in Arrow batches (here: character bigrams)."""
+    return EM.vector_long(EM.embed_texts(FX.prepared(spark, sf), bigram_encoder(64), 64, batch_size=32)).withColumn("value", r6("value"))
+
+
+RANDOM_INDEX_SQL = (
+    f"WITH {O.PREPARED},\n"
+    f"wt AS (SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest({O.tokens('clean')}) AS word FROM pre) GROUP BY ALL),\n"
+    "kn AS (SELECT word FROM wt GROUP BY word HAVING sum(tf) >= 5),\n"
+    "dt AS (SELECT wt.* FROM wt JOIN kn USING (word)),\n"
+    f"mk AS (SELECT doc_id, ({O.md5_int("doc_id::VARCHAR || ':' || e.i::VARCHAR")} % 32)::INTEGER AS bucket, "
+    f"CASE WHEN (({O.md5_int("doc_id::VARCHAR || ':' || e.i::VARCHAR")} >> 16) & 1) = 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS sign "
+    "FROM pre, range(4) e(i)),\n"
+    "wv AS (SELECT word, bucket, sum(tf * sign) AS v FROM dt JOIN mk USING (doc_id) GROUP BY ALL),\n"
+    "dn AS (SELECT doc_id, sum(tf) AS n FROM dt GROUP BY doc_id),\n"
+    "dm AS (SELECT doc_id, bucket, sum(tf * v) / max(dn.n) AS v FROM dt JOIN wv USING (word) JOIN dn USING (doc_id) GROUP BY ALL)\n"
+)
+
+
+@register("embed_random_index",
+          RANDOM_INDEX_SQL + "SELECT p.doc_id, g.i::INTEGER AS dim, round(coalesce(dm.v, 0.0), 6) AS value FROM pre p "
+          "CROSS JOIN range(32) g(i) LEFT JOIN dm ON dm.doc_id = p.doc_id AND dm.bucket = g.i")
+def q_embed_random_index(spark, sf):
+    """Documents in the word space of random indexing (document = mean of its word vectors)."""
+    vecs, _ = EM.random_index(cut_lineage(FX.prepared(spark, sf)), 32, 5)
+    return EM.vector_long(vecs).withColumn("value", r6("value"))
+
+
+_KNN_DIRECTIONS, _KNN_BLOCK = 8, 256
+
+
+@register("knn_blocks",
+          f"WITH {O.EMB},\n"
+          f"sg AS (SELECT j.i AS j, d.i AS d, CASE WHEN (({O.md5_int("'direction:' || j.i::VARCHAR || ':' || d.i::VARCHAR")} >> 16) & 1) = 1 "
+          f"THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS s FROM range({_KNN_DIRECTIONS}) j(i), range(64) d(i)),\n"
+          "sv AS (SELECT j, list(s ORDER BY d) AS s FROM sg GROUP BY j),\n"
+          "al AS (SELECT e.id, e.v, j, row_number() OVER (PARTITION BY j ORDER BY "
+          "round(list_sum(list_transform(list_zip(e.v, sv.s), lambda z: z[1] * z[2])), 9), e.id) - 1 AS idx FROM ev e, sv),\n"
+          f"bl AS (SELECT id, v, j, sh.s AS sh, (idx + sh.s) // {_KNN_BLOCK} AS part FROM al, (VALUES (0), ({_KNN_BLOCK // 2})) sh(s)),\n"
+          "pq AS (SELECT DISTINCT a.id AS src, b.id AS dst FROM bl a JOIN bl b USING (j, sh, part) WHERE a.id <> b.id),\n"
+          "pd AS (SELECT src, dst, sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS dist "
+          "FROM pq JOIN ev a ON a.id = src JOIN ev b ON b.id = dst),\n"
+          "rk AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rank FROM pd)\n"
+          "SELECT src, dst, rank::INTEGER AS rank, round(dist, 6) AS dist FROM rk WHERE rank <= 4")
+def q_knn_blocks(spark, sf):
+    """Approximate neighbours in linear work: blocks along random directions."""
+    return NB.knn_blocks(_embeddings(spark, sf), 4, 64, _KNN_DIRECTIONS, _KNN_BLOCK).withColumn("dist", r6("dist"))
 
 
 PHRASES_SQL = (
@@ -917,23 +975,25 @@ def q_fuzzy_graph(spark, sf):
 
 
 @register("weekly_counts_stream",
-          TREND_SQL + "SELECT topic, period::DATE::VARCHAR AS period, count FROM per")
+          TREND_SQL + "SELECT topic, period::DATE::VARCHAR AS period, count FROM per "
+          "WHERE period + INTERVAL 7 DAY <= (SELECT max(ts) FROM events) - INTERVAL 14 DAY")
 def q_weekly_counts_stream(spark, sf):
     """Weekly topic counts as a streaming aggregation: events stream joined with
-    the static topic table, 7-day windows aligned to Mondays, event-time watermark."""
+    the static topic table, 7-day windows aligned to Mondays, event-time watermark.
+    Append mode: a week is written once, when the watermark has passed it."""
     from ..streaming import weekly_counts_stream
     ev_schema = _table(spark, sf, "events").schema
     tz = spark.conf.get("spark.sql.session.timeZone")
     # wall-clock (NTZ) -> the instant of that wall-clock in UTC, so 7-day windows align to Mondays
     stream = (spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet").parquet(sf.rstrip("/"))
-                   .select(F.col("event_id").alias("doc_id"), F.to_utc_timestamp(F.col("ts").cast("timestamp"), tz).alias("ts")))
+                   .select(_event_doc(spark, sf).alias("doc_id"), F.to_utc_timestamp(F.col("ts").cast("timestamp"), tz).alias("ts")))
     joined = stream.join(FX.fixture_topics(spark, sf), "doc_id")
     out = scratch_path(spark, "weekly")
     counts = weekly_counts_stream(joined, "ts", "topic", "14 days")
 
     def sink(batch, epoch):
-        batch.write.mode("overwrite").parquet(out)
-    q = (counts.writeStream.outputMode("complete").foreachBatch(sink)
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={epoch}")
+    q = (counts.writeStream.outputMode("append").foreachBatch(sink)
                .option("checkpointLocation", scratch_path(spark, "weekly-ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
     period = F.to_date(F.from_utc_timestamp("period", tz)).cast("string")

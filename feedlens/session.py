@@ -29,6 +29,7 @@ def get_spark(master: str | None = None, app: str = "feedlens", partitions: int
         if master.startswith("local"):
             # local mode: the driver JVM is the whole cluster
             b = b.config("spark.driver.memory", os.environ.get("FEEDLENS_DRIVER_MEMORY", "8g"))
+            b = b.config("spark.feedlens.spread", str(partitions or os.cpu_count() or 8))
     if partitions or (master or "").startswith("local"):
         b = b.config("spark.sql.shuffle.partitions", str(partitions or os.cpu_count() or 8))
     b = (
@@ -115,12 +116,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+    """Deal a scan round robin to ``spark.feedlens.spread`` partitions; as it is where that isn't set.
 
-    Large inputs already arrive in many splits (no-op there); a file written as
-    one row group would otherwise run every per-row expression in one task.
+    For inputs of one split on one machine, which would otherwise run every
+    expression in one task; ``get_spark`` sets it for local masters only.
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
+    parts = df.sparkSession.conf.get("spark.feedlens.spread", None)
+    return df.repartition(int(parts)) if parts else df

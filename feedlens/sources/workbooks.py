@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 import re
 
+from ..session import cut_lineage
 from .feedback import PANDAS_NA_VALUES, MissingColumnError, na_to_null, to_feedback
 
 # Characters XML 1.0 cannot carry are stored as _xHHHH_ (and a literal
@@ -100,19 +101,16 @@ def read_feedback_workbooks(spark: SparkSession, path_glob: str, text_column: st
 
     def parse(batches):
         for pdf in batches:
-            out = []
-            for p, content in zip(pdf["path"], pdf["content"]):
+            for p, content in zip(pdf["path"], pdf["content"]):  # one workbook's rows at a time
                 rows = read_sheet(bytes(content), sheet)
                 if not rows:
                     continue
                 header = [h or "" for h in rows[0]]
                 missing = [c for c in cols if c not in header]
                 if missing:
-                    raise MissingColumnError(f"Column {missing[0]!r} not found in {p}. Available columns: {header}")
+                    raise MissingColumnError(f"{p} has no column {missing[0]!r} in its first row")
                 idx = [header.index(c) for c in cols]
-                for r in rows[1:]:
-                    out.append([r[i] if i < len(r) else None for i in idx])
-            yield pd.DataFrame(out, columns=cols, dtype=object)
+                yield pd.DataFrame([[r[i] if i < len(r) else None for i in idx] for r in rows[1:]], columns=cols, dtype=object)
 
     schema = ", ".join(f"`{c}` string" for c in cols)
     return to_feedback(na_to_null(files.mapInPandas(parse, schema), text_column, na_values), text_column, id_column)
@@ -168,25 +166,44 @@ def _workbook_bytes(header: list[str], rows) -> bytes:
     return buf.getvalue()
 
 
+SHEET_ROWS = 1_048_575  # of a sheet, besides its header
+
+
 def write_feedback_workbooks(df: DataFrame, folder: str) -> None:
-    """One .xlsx per partition under ``folder`` (inline strings), written by executors.
+    """Workbooks ``part-<partition>-<n>.xlsx`` under ``folder`` (inline strings), written by executors.
 
-    ``folder`` must be on storage every executor can reach.
+    ``folder`` must be new and on storage every executor can reach.  Rows are
+    written once to the checkpoint folder first and file names follow the
+    partition, so a task that runs again puts the same rows in the same files;
+    a file takes its name when it is whole.  A sheet holds SHEET_ROWS rows.
     """
     header = df.columns
-
     uri = folder if "://" in folder else folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") else folder
 
     def write(batches):
         from pyarrow import fs as pafs
-        rows = []
+        from pyspark import TaskContext
+        filesystem, base = pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
+        filesystem.create_dir(base, recursive=True)
+        part, held, files, total = TaskContext.get().partitionId(), [], 0, 0
+
+        def save():
+            name = f"{base}/part-{part:05d}-{files:03d}.xlsx"
+            unfinished = f"{base}/_{uuid.uuid4().hex}"
+            with filesystem.open_output_stream(unfinished) as f:
+                f.write(_workbook_bytes(header, held))
+            filesystem.move(unfinished, name)
+
         for pdf in batches:
-            rows.extend(pdf.astype(object).where(pdf.notna(), None).values.tolist())
-        if rows:
-            filesystem, base = pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
-            filesystem.create_dir(base, recursive=True)
-            with filesystem.open_output_stream(f"{base}/part-{uuid.uuid4().hex}.xlsx") as f:
-                f.write(_workbook_bytes(header, rows))
-        yield pd.DataFrame({"n": [len(rows)]})
-
-    df.select(*[F.col(c).cast("string") for c in header]).mapInPandas(write, "n long").collect()
+            held.extend(pdf.astype(object).where(pdf.notna(), None).values.tolist())
+            total += len(pdf)
+            while len(held) > SHEET_ROWS:
+                rest, held = held[SHEET_ROWS:], held[:SHEET_ROWS]
+                save()
+                held, files = rest, files + 1
+        if held:
+            save()
+        yield pd.DataFrame({"n": [total]})
+
+    rows = cut_lineage(df.select(*[F.col(c).cast("string") for c in header]))
+    rows.mapInPandas(write, "n long").write.format("noop").mode("overwrite").save()

@@ -55,8 +55,12 @@ def test_mmr_matches_numpy(spark):
     wdf = spark.createDataFrame([(w, v) for w, v in wv.items()], "word string, vec array<double>")
     tdf = spark.createDataFrame([(0, tvec)], "topic int, vec array<double>")
     got = [r.word for r in sorted(KW.mmr_keywords(cands, tdf, wdf, 0.3, 5).collect(), key=lambda r: r.rank)]
-    idx = KW.mmr_select(np.array(tvec), np.array([wv[w] for w in words]), 0.3, 5)
-    assert got == [words[i] for i in idx]
+    cos = lambda a, b: sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b))
+    want = [max(words, key=lambda w: cos(wv[w], tvec))]
+    while len(want) < 5:  # the definition: relevance against the closest word chosen so far
+        want.append(max((w for w in words if w not in want),
+                        key=lambda w: 0.7 * cos(wv[w], tvec) - 0.3 * max(cos(wv[w], wv[c]) for c in want)))
+    assert got == want
 
 
 def test_hierarchy_leaves_are_disjoint_and_large(spark):

@@ -55,3 +55,55 @@ def test_generate_errors_do_not_fail(spark):
     out = {r.topic: (r.response, r.ok) for r in S.generate(prompts, backend, pause=0.0).collect()}
     assert out[0] == ("CẢM XÚC: tiêu cực\nTÓM TẮT: fine", True)
     assert out[1][0] == "[ERROR: boom]" and out[1][1] is False
+
+
+def _topic_tables(spark):
+    """Topic 1 has documents but no word of its own (its words are too short for the tokens)."""
+    info = spark.createDataFrame([(-1, 2, "-1_"), (0, 6, "0_size"), (1, 4, "1_")], "topic int, count long, name string")
+    words = spark.createDataFrame([(0, 1, "size"), (0, 2, "fit")], "topic int, rank int, word string")
+    docs = spark.createDataFrame([(0, 1, "size fit"), (1, 1, "k m")], "topic int, rank int, clean string")
+    return info, words, docs
+
+
+def test_topic_without_keywords_stays(spark):
+    info, words, docs = _topic_tables(spark)
+    prompts = S.build_prompts(words, docs, "D:[DOCUMENTS] K:[KEYWORDS]", answer_format="", topics=info)
+    assert {r.topic: r.prompt for r in prompts.collect()} == {0: "D:size fit K:size, fit", 1: "D:k m K:"}
+    replies = spark.createDataFrame([(0, "CẢM XÚC: tiêu cực\nTÓM TẮT: A")], "topic int, response string")
+    got = {r.topic: (r.keywords, r.summary, r.sentiment, r.priority) for r in S.summarize_topics(info, words, replies).collect()}
+    assert got == {0: ("size | fit", "A", "Tiêu cực", "Cao"), 1: ("", "", "Trung lập", "Thấp")}
+
+
+def test_backend_runs_once_a_prompt_and_the_cache_fills(spark, tmp_path):
+    info, words, docs = _topic_tables(spark)
+    prompts = S.build_prompts(words, docs, topics=info)
+    seen, path = str(tmp_path / "calls"), str(tmp_path / "cache")
+
+    def backend(p):
+        with open(seen, "a") as f:
+            f.write("call\n")
+        return "CẢM XÚC: tiêu cực\nTÓM TẮT: once"
+
+    def calls():
+        return sum(1 for _ in open(seen))
+
+    responses, new = S.respond_cached(prompts, backend, None, "b")
+    for _ in range(2):
+        assert S.summarize_topics(info, words, responses).count() == 2
+    S.append_cache(new, path)
+    assert calls() == 2
+    again, new = S.respond_cached(prompts, backend, S.read_cache(spark, path), "b")
+    assert all(r.cached and r.response.endswith("once") for r in again.collect()) and new.count() == 0 and calls() == 2
+
+
+def test_retries_pause_between_tries():
+    tries = []
+
+    def backend(p):
+        tries.append(p)
+        if len(tries) < 3:
+            raise ValueError("not yet")
+        return " done "
+    assert S.ask(backend, "p", [0, 0]) == ("done", True) and len(tries) == 3
+    tries.clear()
+    assert S.ask(backend, "p", [0]) == ("[ERROR: not yet]", False) and len(tries) == 2
