@@ -3,7 +3,7 @@
 The pieces are those of a fixed public vocabulary.  Each language has a
 probability for every piece; the probability of a word is the sum over all its
 segmentations into pieces, found by a forward algorithm, and that of a text the
-product over its words (pieces don't cross white space).  The probabilities
+product over its words, its runs of letters (pieces don't cross them).  The probabilities
 are expected piece counts over all segmentations of every training word (one
 forward-backward pass from pieces that all are alike), smoothed.
 
@@ -18,6 +18,7 @@ columns may have any name.
 """
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,16 +28,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import as_batches, bounded_batches, text_bytes
+from .common import as_batches, bounded_batches
 
 SMOOTHING = 0.5
-MAX_MEMO = 300_000
+MAX_MEMO = 200_000   # words of a memo; there are two
 CELLS = 1_000_000    # of the forward table that is worked on at once
 MARK = "▁"      # begins a word in the vocabulary
 
 
-def words_of(raw: bytes | None) -> list[bytes]:
-    return raw.decode("utf-8").lower().encode().split() if raw else []
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def words_of(text: str | None) -> list[str]:
+    """Runs of letters, lower-cased; digits, punctuation and white space say nothing about the language."""
+    return _LETTERS.findall(text.lower()) if text else []
 
 
 def vocabulary(path: str) -> dict[str, int]:
@@ -51,31 +56,49 @@ def vocabulary(path: str) -> dict[str, int]:
 class Lattice:
     """All places of pieces in words; a character outside the vocabulary is the one unknown piece."""
 
+    _BASE = np.uint64(0x9E3779B97F4A7C15)
+
     def __init__(self, pieces: dict[str, int]):
         self.pieces, self.unknown = pieces, len(pieces)
-        self.longest = max(map(len, pieces))
-        self.starts = {p[:k] for p in pieces for k in range(1, len(p))}
+        by_length: dict[int, list[str]] = {}
+        for p in pieces:
+            by_length.setdefault(len(p), []).append(p)
+        self.longest = max(by_length)
+        self.tables = {}  # length -> sorted hashes and the pieces' numbers in that order
+        for n, some in by_length.items():
+            h = np.zeros(len(some), np.uint64)
+            for c in np.array([list(map(ord, p)) for p in some], np.uint64).T:
+                h = h * self._BASE + c
+            order = np.argsort(h)
+            self.tables[n] = h[order], np.array([pieces[p] for p in some], np.int64)[order]
 
     def arcs(self, words: list[str]) -> np.ndarray:
-        """Rows ``word, begin, end, piece`` over the marked words."""
-        out: list[int] = []
-        pieces, starts, longest, unknown = self.pieces, self.starts, self.longest, self.unknown
-        for k, word in enumerate(words):
-            w = MARK + word
-            n = len(w)
-            for i in range(n):
-                known = False
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    s = w[i:j]
-                    p = pieces.get(s)
-                    if p is not None:
-                        out += (k, i, j, p)
-                        known = known or j == i + 1
-                    if s not in starts:
-                        break
-                if not known:
-                    out += (k, i, i + 1, unknown)
-        return np.array(out, dtype=np.int64).reshape(-1, 4)
+        """Rows ``word, begin, end, piece`` over the marked words.
+
+        Substrings of one length are hashed and looked up for all words at once.
+        """
+        text = "".join(MARK + w for w in words)
+        c = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
+        sizes = np.array([len(w) + 1 for w in words], dtype=np.int64)
+        word = np.repeat(np.arange(len(words)), sizes)
+        begin = np.arange(len(c)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        room = np.repeat(sizes, sizes) - begin
+        at, h, found = np.arange(len(c)), np.zeros(len(c), np.uint64), []
+        for n in range(1, self.longest + 1):
+            keep = room[at] >= n
+            at, h = at[keep], h[keep]
+            if not len(at):
+                break
+            h = h * self._BASE + c[at + n - 1]
+            hit, piece = np.zeros(len(at), bool), None
+            if n in self.tables:
+                known, numbers = self.tables[n]
+                place = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                hit, piece = known[place] == h, numbers[place]
+                found.append((at[hit], n, piece[hit]))
+            if n == 1:
+                found.append((at[~hit], 1, np.full((~hit).sum(), self.unknown)))
+        return np.concatenate([np.column_stack((word[x], begin[x], begin[x] + n, p)) for x, n, p in found]).astype(np.int64)
 
 
 def _sums(arcs: np.ndarray, n_words: int, length: int, weight: np.ndarray, back: bool) -> np.ndarray:
@@ -143,14 +166,13 @@ def train(docs: DataFrame, vocabulary_path: str, text_col: str = "text", lang_co
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         for batch in batches:
-            for lang, raw in zip(batch.column(0).to_pylist(), text_bytes(batch, "text")):
-                own = Counter(words_of(raw))
-                for w, n in own.items():
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for w, n in Counter(words_of(text)).items():
                     held[lang, w] += n
             if len(held) > 100_000:
-                yield from as_batches([(k, w.decode(), n) for (k, w), n in held.items()], counted)
+                yield from as_batches([(k, w, n) for (k, w), n in held.items()], counted)
                 held.clear()
-        yield from as_batches([(k, w.decode(), n) for (k, w), n in held.items()], counted)
+        yield from as_batches([(k, w, n) for (k, w), n in held.items()], counted)
 
     words = src.mapInArrow(count, "lang string, word string, n bigint").groupBy("word", "lang").agg(F.sum("n").alias("n"))
     expected = pa.schema([("lang", pa.string()), ("piece", pa.int32()), ("n", pa.float64())])
@@ -193,25 +215,28 @@ class Scorer:
     def __init__(self, model: dict, vocabulary_path: str):
         self.languages, self.logp = model["languages"], model["logp"]
         self.lattice = Lattice(vocabulary(vocabulary_path))
-        self.place: dict[bytes, int] = {}
+        self.place: dict[str, int] = {}
         self.scores = np.empty((1024, len(self.languages)))
-
-    def learn(self, texts: list[list[bytes]]) -> None:
-        if len(self.place) > MAX_MEMO:
-            self.place.clear()
-        new = list({w for words in texts for w in words if w not in self.place})
-        found = word_scores(self.lattice, [w.decode() for w in new], self.logp)
-        while len(self.place) + len(new) > len(self.scores):
+        self.old = self.place, self.scores
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Scores the texts' words that aren't remembered."""
+        if len(self.place) > MAX_MEMO:  # what is used again moves from the old memo to the new
+            self.old = self.place, self.scores
+            self.place, self.scores = {}, np.empty_like(self.scores)
+        new = set().union(*texts) - self.place.keys()
+        known = new & self.old[0].keys()
+        found = {w: self.old[1][self.old[0][w]] for w in known} | word_scores(self.lattice, list(new - known), self.logp)
+        while len(self.place) + len(found) > len(self.scores):
             self.scores = np.concatenate([self.scores, np.empty_like(self.scores)])
-        for w in new:
+        for w, row in found.items():
             self.place[w] = k = len(self.place)
-            self.scores[k] = found[w.decode()]
+            self.scores[k] = row
 
-    def predict(self, raw: bytes | None, words: list[bytes]) -> tuple[str, float]:
-        if not raw or not self.languages or not any(map(str.isalpha, raw.decode("utf-8", "replace"))):
+    def predict(self, words: list[str]) -> tuple[str, float]:
+        if not words or not self.languages:
             return "und", 0.0
-        place = self.place
-        total = self.scores[[place[w] for w in words]].sum(axis=0)
+        total = self.scores[list(map(self.place.__getitem__, words))].sum(axis=0)
         total = np.exp(total - total.max())
         best = int(np.argmax(total))
         return self.languages[best], float(total[best] / total.sum())
@@ -234,10 +259,9 @@ def predict(docs: DataFrame, model: dict, vocabulary_path: str, id_col: str = "d
             _scorers.clear()
             scorer = _scorers[name] = Scorer(sent.value, vocabulary_path)
         for batch in batches:
-            raws = text_bytes(batch, "text")
-            texts = [words_of(r) for r in raws]
+            texts = [words_of(t) for t in batch.column(1).to_pylist()]
             scorer.learn(texts)
-            rows = [scorer.predict(r, t) for r, t in zip(raws, texts)]
+            rows = [scorer.predict(words) for words in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64())],
                 names=["doc_id", "lang_pred", "score"])
