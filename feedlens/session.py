@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,7 +72,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/feedlens-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/feedlens-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the tables that the block writes to the checkpoint folder when it ends.
+
+    For callers that have used up their results by then: DataFrames made in the
+    block read those tables.
+    """
+    first = len(_SCRATCH)
+    try:
+        yield
+    finally:
+        sc = spark.sparkContext
+        for path in _SCRATCH[first:]:
+            place = sc._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
+        del _SCRATCH[first:]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -73,3 +73,29 @@ def test_snapshot_lists_topics_by_size(spark, tmp_path):
     stats = spark.createDataFrame([(19, 3, 0)], "total long, n_topics long, n_noise long")
     SK.save_snapshot(report, stats, str(tmp_path / "s"))
     assert [r.topic for r in SK.load_snapshot(spark, str(tmp_path / "s")).first().results] == [1, 2, 3]
+
+
+def test_scratch_scope_removes_what_it_wrote(spark):
+    import os
+
+    from feedlens import session as S
+    with S.scratch_scope(spark):
+        kept = S.cut_lineage(spark.range(3))
+        folder = S._SCRATCH[-1].removeprefix("file:")
+        assert kept.count() == 3 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
+def test_workers_find_the_package_from_any_folder(tmp_path):
+    import os
+    import subprocess
+    import sys
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.path.insert(0, {top!r})\n"
+            "from feedlens.session import get_spark\n"
+            "from feedlens.operators.neighbors import knn_blocks\n"
+            "s = get_spark('local[2]', partitions=2)\n"
+            "d = s.createDataFrame([(i, [float(i), 1.0]) for i in range(9)], 'doc_id long, vec array<double>')\n"
+            "assert knn_blocks(d, 1, 2, 1, 4).count() == 9\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=300)
