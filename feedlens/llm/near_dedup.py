@@ -11,10 +11,14 @@ are confirmed on their full shingle sets.
 
 A list is not expanded into all its pairs.  Rounds first compare every member
 with one hub of its list; classes that are linked by then are one component,
-and a pair inside a component can't change the result.  When the pairs between
-different components in one list are few (or hubs stop helping), those are
-compared too.  So no link between components is lost, up to the chance that
-a pair with similarity 0.75 agrees in fewer than MATCHES places (below 1e-6).
+and a pair inside a component can't change the result.  When hubs stop helping,
+what is left are pairs between different components in one list.  Lists of up
+to SHORT members are joined with themselves.  Longer ones are dealt out in
+blocks of members outside the list's largest component against blocks of all
+its members; a task counts the collisions of a pair of blocks, confirms on full
+sets, and only links leave it.  So no link between components is lost, up to
+the chance that a pair with similarity 0.75 agrees in fewer than MATCHES places
+(2e-7).
 
 Defined results: documents without words have an empty set, link with nothing
 and are kept; a document with fewer than five words has its whole sequence as
@@ -28,6 +32,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -38,27 +43,16 @@ from .common import bounded_batches, text_bytes, written
 WORDS = 5
 SIMILARITY = (75, 100)
 COORDINATES, MATCHES = 48, 20
+SHORT, BLOCK = 64, 256
 _SEED = 20240229
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(_SEED)
 _FACTORS = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _rng.integers(0, 2**63, COORDINATES, dtype=np.uint64)
 
-_word_hashes: dict[bytes, int] = {}
-WORD_MEMO = 300_000
-
 
 def _word_hash(words: list[bytes]) -> np.ndarray:
-    memo = _word_hashes
-    if len(memo) > WORD_MEMO:
-        memo.clear()
-    out = []
-    for w in words:
-        h = memo.get(w)
-        if h is None:
-            h = memo[w] = xxhash.xxh3_64_intdigest(w)
-        out.append(h)
-    return np.array(out, dtype=np.uint64)
+    return np.array([xxhash.xxh3_64_intdigest(w) for w in words], dtype=np.uint64)
 
 
 def shingle_set(raw: bytes | None, k: int = WORDS) -> np.ndarray:
@@ -82,10 +76,11 @@ def shingle_set(raw: bytes | None, k: int = WORDS) -> np.ndarray:
 
 def signature(s: np.ndarray) -> np.ndarray:
     """The minimum of each of COORDINATES random linear maps of the set, its high 32 bits as int32."""
-    out = np.empty(COORDINATES, dtype=np.uint64)
-    for c in range(COORDINATES):
-        out[c] = np.min(s * _FACTORS[c] + _SHIFTS[c])
-    return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    least = None
+    for at in range(0, len(s), 1024):
+        part = (s[None, at: at + 1024] * _FACTORS[:, None] + _SHIFTS[:, None]).min(axis=1)
+        least = part if least is None else np.minimum(least, part)
+    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def class_key(s: np.ndarray) -> bytes:
@@ -186,41 +181,120 @@ def components(links: DataFrame) -> DataFrame:
         label = label.select("cls", "comp")
 
 
-def links(classes: DataFrame, texts_of, spark) -> DataFrame | None:
+def long_list_links(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between different components of long lists, found block by block.
+
+    ``members`` has ``coord, value, cls, comp`` and per list ``all`` (members),
+    ``giant`` (its largest component) and ``outside`` (members not in it);
+    ``texts`` has ``cls, sig, text, posted, n``.  A pair is looked at in the
+    first list that it shares only.
+    """
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    turn = F.xxhash64("cls")
+    keys = ["coord", "value", "lb", "rb"]
+    m = members.withColumns({"lbs": blocks("outside"), "rbs": blocks("all")})
+    left = m.where("comp <> giant").select(
+        "coord", "value", "cls", "comp", F.pmod(turn, "lbs").cast("int").alias("lb"),
+        F.explode(F.sequence(F.lit(0), F.col("rbs") - 1)).alias("rb"), F.lit(True).alias("outer"), F.lit(True).alias("is_left"))
+    right = m.select(
+        "coord", "value", "cls", "comp", F.explode(F.sequence(F.lit(0), F.col("lbs") - 1)).alias("lb"),
+        F.pmod(turn, "rbs").cast("int").alias("rb"), (F.col("comp") != F.col("giant")).alias("outer"), F.lit(False).alias("is_left"))
+    rows = left.select(*right.columns).union(right).join(texts, "cls")
+    num, den = SIMILARITY
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = pdf[pdf["is_left"]].reset_index(drop=True), pdf[~pdf["is_left"]].reset_index(drop=True)
+        none = pd.DataFrame({"a": [], "b": []})
+        if not len(a) or not len(b):
+            return none
+        here = int(pdf["coord"].iloc[0])
+        sa, sb = np.stack(a["sig"].to_numpy()), np.stack(b["sig"].to_numpy())
+        pa_, pb = a["posted"].to_numpy(), b["posted"].to_numpy()
+        agree, earlier = np.zeros((len(a), len(b)), np.int16), np.zeros((len(a), len(b)), bool)
+        for k in range(COORDINATES):
+            same = sa[:, k, None] == sb[None, :, k]
+            agree += same
+            if k < here:
+                earlier |= same & ((pa_ >> k) & 1).astype(bool)[:, None] & ((pb >> k) & 1).astype(bool)[None, :]
+        na, nb = a["n"].to_numpy()[:, None], b["n"].to_numpy()[None, :]
+        ca, cb = a["cls"].to_numpy(), b["cls"].to_numpy()
+        want = (agree >= MATCHES) & ~earlier & (den * np.minimum(na, nb) >= num * np.maximum(na, nb))
+        want &= a["comp"].to_numpy()[:, None] != b["comp"].to_numpy()[None, :]
+        want &= ~b["outer"].to_numpy()[None, :] | (ca[:, None] < cb[None, :])  # two outsiders meet twice
+        i, j = np.flatnonzero(want.any(axis=1)), np.flatnonzero(want.any(axis=0))
+        if not len(i):
+            return none
+        common = shared_counts([shingle_set(a["text"][x].encode()) for x in i], [shingle_set(b["text"][x].encode()) for x in j])
+        hit = want[np.ix_(i, j)] & (den * common >= num * (na[i] + nb[:, j] - common))
+        x, y = np.nonzero(hit)
+        return pd.DataFrame({"a": ca[i[x]], "b": cb[j[y]]})
+
+    return rows.groupBy(*keys).applyInPandas(compare, "a binary, b binary")
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sorted sets, by products of 0-1 matrices a slice of shingles at a time."""
+    both = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)))
+    out = np.zeros((len(left), len(right)))
+    for at in range(0, len(both), 4096):
+        part = both[at: at + 4096]
+        out += table_of(left, part) @ table_of(right, part).T
+    return out.round().astype(np.int64)
+
+
+def table_of(sets: list[np.ndarray], shingles: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(sets), len(shingles)), np.float32)
+    for k, s in enumerate(sets):
+        own = s[np.searchsorted(s, shingles[0]): np.searchsorted(s, shingles[-1], side="right")]
+        place = np.searchsorted(shingles, own)
+        out[k, place[shingles[place] == own]] = 1
+    return out
+
+
+def links(classes: DataFrame, texts_of) -> DataFrame | None:
     """``cls, comp`` of the linked classes, or None if nothing is linked."""
     post = written(prefix_postings(classes), "postings")
     if post.isEmpty():
         return None
-    in_lists = written(post.select("cls").distinct(), "posted")
-    texts = written(texts_of(in_lists), "posted-texts")
+    posted = written(post.groupBy("cls").agg(F.sum(F.expr("shiftleft(1L, coord)")).alias("posted")), "posted")
+    texts = written(texts_of(posted), "posted-texts")
+    post = written(post.join(texts.select("cls", "n"), "cls"), "postings")
     found, comp, left, turn = None, None, None, 0
+    lists = ["coord", "value"]
+    num, den = SIMILARITY
     while True:
         labelled = post.withColumn("comp", F.col("cls")) if comp is None else post.join(comp, "cls", "left").withColumn(
             "comp", F.coalesce("comp", "cls"))
-        lists = labelled.groupBy("coord", "value", "comp").agg(F.count("*").alias("m"))
+        parts = labelled.groupBy(*lists, "comp").agg(F.count("*").alias("m"))
         # pairs between different components: what is left to compare
-        sizes = lists.groupBy("coord", "value").agg(
-            F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("same"), F.count("*").alias("comps"))
-        open_lists = written(sizes.where("comps > 1").select(
-            "coord", "value", ((F.col("all") * F.col("all") - F.col("same")) / 2).alias("cross")), "open-lists")
+        sizes = parts.groupBy(*lists).agg(
+            F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("same"), F.count("*").alias("comps"),
+            F.max_by("comp", "m").alias("giant"), F.max("m").alias("largest")).where("comps > 1")
+        open_lists = written(sizes.select(*lists, "all", "giant", (F.col("all") - F.col("largest")).alias("outside"),
+                                          ((F.col("all") * F.col("all") - F.col("same")) / 2).alias("cross")), "open-lists")
         cross, n_open = open_lists.agg(F.coalesce(F.sum("cross"), F.lit(0.0)), F.count("*")).first()
         if not n_open:
             return comp
-        members = written(labelled.join(open_lists.select("coord", "value"), ["coord", "value"], "left_semi"), "members")
+        members = written(labelled.join(open_lists, lists), "members")
         last = cross <= 4 * members.count() or (left is not None and 2 * cross > left and turn > 1)
         if last:
-            other = members.withColumnsRenamed({"cls": "b", "comp": "comp_b"})
-            pairs = members.withColumnRenamed("cls", "a").join(other, ["coord", "value"]).where(
-                "a < b and comp <> comp_b")
+            short = members.where(F.col("all") <= SHORT).select(*lists, "cls", "comp", "n")
+            other = short.withColumnsRenamed({"cls": "b", "comp": "comp_b", "n": "nb"})
+            pairs = short.withColumnRenamed("cls", "a").join(other, lists).where(
+                (F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b"))
+                & (den * F.least("n", "nb") >= num * F.greatest("n", "nb")))
+            new = confirm(pairs.select("a", "b").distinct(), texts).union(
+                long_list_links(members.where(F.col("all") > SHORT), texts))
         else:  # one hub a list, another one each round
             order = F.xxhash64(F.lit(turn), "cls")
-            hubs = members.groupBy("coord", "value").agg(F.min(order).alias("first"))
-            hubs = members.select("coord", "value", "cls", order.alias("first")).join(
-                hubs, ["coord", "value", "first"]).select("coord", "value", F.col("cls").alias("hub"))
-            hubs = written(hubs, "hubs")
-            pairs = members.join(hubs, ["coord", "value"]).where("cls <> hub").select(
+            first = written(members.groupBy(*lists).agg(F.min(order).alias("first")), "hubs")
+            hubs = written(members.select(*lists, "cls", "n", order.alias("first")).join(first, [*lists, "first"]).select(
+                *lists, F.col("cls").alias("hub"), F.col("n").alias("nb")), "hubs")
+            pairs = members.select(*lists, "cls", "n").join(hubs, lists).where(
+                (F.col("cls") != F.col("hub")) & (den * F.least("n", "nb") >= num * F.greatest("n", "nb"))).select(
                 F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b"))
-        new = written(confirm(pairs.select("a", "b").distinct(), texts), "confirmed")
+            new = confirm(pairs.distinct(), texts)
+        new = written(new, "confirmed")
         found = new if found is None else found.union(new)
         if not found.isEmpty():
             comp = components(found)
@@ -233,14 +307,13 @@ def links(classes: DataFrame, texts_of, spark) -> DataFrame | None:
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id, n_shingles, component_id, kept``; see the module for defined results."""
-    spark = docs.sparkSession
     sigs = signatures(docs, id_col, text_col)
     classes = written(sigs.where("cls is not null").groupBy("cls").agg(
-        F.min("id").alias("rep"), F.first("sig").alias("sig")), "classes")
+        F.min("id").alias("rep"), F.first("sig").alias("sig"), F.first("n").alias("n")), "classes")
 
     def texts_of(wanted: DataFrame) -> DataFrame:
         # one text a class: rows of the representative's id whose set is the class's
-        reps = classes.join(wanted, "cls", "left_semi")
+        reps = classes.join(wanted, "cls")
         rows = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).join(reps, "rep")
 
         def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,10 +322,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     text_bytes(batch, "text"), batch.column(batch.schema.get_field_index("cls")).to_pylist())]
                 yield batch.filter(pa.array(ok, pa.bool_()))
 
-        rows = rows.select("cls", "sig", "text", "rep")
-        return rows.mapInArrow(same, rows.schema)
+        rows = rows.select("cls", "sig", "text", "posted", "n")
+        return rows.mapInArrow(same, rows.schema).dropDuplicates(["cls"])
 
-    comp = links(classes, texts_of, spark)
+    comp = links(classes, texts_of)
     names = classes.select("cls", "rep")
     if comp is not None:
         names = names.join(comp, "cls", "left")

@@ -1,6 +1,7 @@
 """Near-dedup against all pairs compared directly."""
 import random
 
+import pytest
 from pyspark.sql import Row
 
 from feedlens.llm import near_dedup as N
@@ -60,7 +61,10 @@ def test_matches_all_pairs_with_chains_and_edges(spark):
     assert run(spark, rows) == brute(rows)
 
 
-def test_hub_rounds_then_the_rest_equal_all_pairs(spark, monkeypatch):
+@pytest.mark.parametrize("short, block", [(64, 256), (4, 16)])
+def test_hub_rounds_then_the_rest_equal_all_pairs(spark, monkeypatch, short, block):
+    monkeypatch.setattr(N, "SHORT", short)
+    monkeypatch.setattr(N, "BLOCK", block)
     rng = random.Random(5)
     words = [f"q{i}" for i in range(3000)]
     core = [rng.choice(words) for _ in range(60)]
@@ -83,3 +87,11 @@ def test_kept_rows_keep_their_columns(spark):
     got = N.keep_first_of_group(df)
     assert got.columns == ["doc_id", "text", "kept"]
     assert sorted(r.doc_id for r in got.collect()) == [1, 3]
+
+
+def test_shared_counts():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 9000, n).astype(np.uint64) * np.uint64(2**50)) for n in (1, 3, 4000, 8000, 60)]
+    got = N.shared_counts(sets, sets[::-1])
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[::-1]] for a in sets]
