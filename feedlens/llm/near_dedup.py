@@ -160,6 +160,16 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
+def fewer_links(links: DataFrame) -> DataFrame:
+    """Links ``a, b`` with the same components: each ``a`` to its smallest ``b``, and that one to the others.
+
+    Members that are linked to the same hubs so share the links between those.
+    """
+    least = links.groupBy("a").agg(F.min("b").alias("least"))
+    between = links.join(least, "a").where("b <> least").select(F.col("least").alias("a"), "b").distinct()
+    return written(least.withColumnRenamed("least", "b").union(between), "fewer-links")
+
+
 def components(links: DataFrame) -> DataFrame:
     """``cls, comp`` for every node of ``links`` (``a, b``): comp is the smallest node reachable.
 
@@ -285,16 +295,15 @@ def links(classes: DataFrame, texts_of) -> DataFrame | None:
                 & (den * F.least("n", "nb") >= num * F.greatest("n", "nb")))
             new = confirm(pairs.select("a", "b").distinct(), texts).union(
                 long_list_links(members.where(F.col("all") > SHORT), texts))
-        else:  # one hub a list, another one each round
+        else:  # one hub a list, another one each round; members that are in its component already don't meet it
             order = F.xxhash64(F.lit(turn), "cls")
             first = written(members.groupBy(*lists).agg(F.min(order).alias("first")), "hubs")
-            hubs = written(members.select(*lists, "cls", "n", order.alias("first")).join(first, [*lists, "first"]).select(
-                *lists, F.col("cls").alias("hub"), F.col("n").alias("nb")), "hubs")
-            pairs = members.select(*lists, "cls", "n").join(hubs, lists).where(
-                (F.col("cls") != F.col("hub")) & (den * F.least("n", "nb") >= num * F.greatest("n", "nb"))).select(
-                F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b"))
-            new = confirm(pairs.distinct(), texts)
-        new = written(new, "confirmed")
+            hubs = written(members.select(*lists, "cls", "comp", "n", order.alias("first")).join(first, [*lists, "first"]).select(
+                *lists, F.col("cls").alias("hub"), F.col("comp").alias("comp_h"), F.col("n").alias("nb")), "hubs")
+            pairs = members.select(*lists, "cls", "comp", "n").join(hubs, lists).where(
+                (F.col("comp") != F.col("comp_h")) & (den * F.least("n", "nb") >= num * F.greatest("n", "nb")))
+            new = confirm(pairs.select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct(), texts)
+        new = fewer_links(written(new, "confirmed"))
         found = new if found is None else found.union(new)
         if not found.isEmpty():
             comp = components(found)
