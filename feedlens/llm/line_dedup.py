@@ -59,27 +59,39 @@ def _length(k) -> F.Column:
     return F.element_at("starts", k + 1) - F.element_at("starts", k)
 
 
-def repeats(chunks: DataFrame) -> DataFrame:
-    """``rid, removed`` for each row with chunks (from 1) whose bytes stand earlier in the corpus."""
-    # keys alone first: most occur once
-    again = written(chunks.select(F.explode("keys").alias("key")).where("key is not null").groupBy("key").agg(
-        F.count("*").alias("n")).where("n > 1").select("key"), "repeated-keys")
-    spots = chunks.select("rid", "id", "lines", "starts", F.posexplode("keys").alias("k", "key")).where("key is not null")
+def marked(chunks: DataFrame) -> DataFrame:
+    """Written: ``rid, id, lines, starts, maybe``: the chunks (from 1) whose key stands elsewhere too, null for none.
+
+    Keys move alone until here; this is the one time that every text moves.
+    The join is the same at every size.
+    """
+    keys = chunks.select("rid", F.posexplode("keys").alias("k", "key")).where("key is not null")
+    again = written(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "repeated-keys")
+    maybe = keys.join(again, "key", "left_semi").groupBy("rid").agg(F.collect_list("k").alias("maybe"))  # of one text
+    return written(chunks.select("rid", "id", "lines", "starts").join(maybe.hint("merge"), "rid", "left"), "marked-chunks")
+
+
+def repeats(found: DataFrame) -> DataFrame:
+    """``rid, removed``: the chunks whose bytes stand earlier in the corpus, from rows of ``marked``."""
     begin = F.element_at("starts", F.col("k") + 1)
-    text = F.array_join(F.slice("lines", begin, F.element_at("starts", F.col("k") + 2) - begin), "\n")
-    spots = written(spots.select("rid", "id", "k", "key", text.alias("chunk")).join(again, "key", "left_semi"), "repeated-chunks")
+    chunk = F.array_join(F.slice("lines", begin, F.element_at("starts", F.col("k") + 2) - begin), "\n")
+    spots = found.select("rid", "id", "lines", "starts", F.explode("maybe").alias("k")).select("rid", "id", "k", chunk.alias("chunk"))
+    spots = written(spots.withColumn("key", _md5(F.col("chunk"))), "repeated-chunks")
     # grouped by the bytes themselves; copies collapse in each map task
     first = written(spots.groupBy("key", "chunk").agg(F.min(F.struct("id", "rid", "k")).alias("first"), F.count("*").alias("n"))
                     .where("n > 1").select("key", "chunk", F.col("first.rid").alias("r1"), F.col("first.k").alias("k1")), "first-chunks")
-    later = spots.join(first, ["key", "chunk"]).where("rid <> r1 or k <> k1")
-    return later.groupBy("rid").agg(F.collect_set("k").alias("removed"))  # at most the chunks of one text
+    later = spots.join(first.hint("merge"), ["key", "chunk"]).where("rid <> r1 or k <> k1")
+    return later.groupBy("rid").agg(F.collect_set("k").alias("removed"))
 
 
 def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id, text`` without its repeated chunks, ``n_lines, removed_lines, removed_chunks``."""
-    chunks = chunked(docs, id_col, text_col)
-    found = written(repeats(chunks), "removals")
-    d = chunks.select("rid", "id", "lines", "starts").join(found, "rid", "left")
+    table = marked(chunked(docs, id_col, text_col))
+    hit = table.where("maybe is not null")
+    gone_from = written(repeats(hit), "removals")
+    some = hit.join(gone_from.hint("merge"), "rid", "left").drop("maybe")
+    rest = table.where("maybe is null").withColumn("maybe", F.lit(None).cast("array<int>")).withColumnRenamed("maybe", "removed")
+    d = some.unionByName(rest)
     every = F.sequence(F.lit(0), F.greatest(F.size("starts") - 2, F.lit(0)))
     length = lambda k: F.element_at("starts", k + 2) - F.element_at("starts", k + 1)
     left = F.filter(every, lambda k: ~F.array_contains("removed", k))
