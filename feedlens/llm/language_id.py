@@ -245,6 +245,14 @@ class Scorer:
 _scorers: dict[str, Scorer] = {}
 
 
+def worker_scorer(name: str, model: dict, vocabulary_path: str) -> Scorer:
+    """The scorer of the model ``name``, one a worker process, kept across its tasks."""
+    if name not in _scorers:
+        _scorers.clear()
+        _scorers[name] = Scorer(model, vocabulary_path)
+    return _scorers[name]
+
+
 def predict(docs: DataFrame, model: dict, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id, lang_pred, score``."""
     spark = docs.sparkSession
@@ -254,10 +262,7 @@ def predict(docs: DataFrame, model: dict, vocabulary_path: str, id_col: str = "d
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorers.get(name)
-        if scorer is None:
-            _scorers.clear()
-            scorer = _scorers[name] = Scorer(sent.value, vocabulary_path)
+        scorer = worker_scorer(name, sent.value, vocabulary_path)
         for batch in batches:
             texts = [words_of(t) for t in batch.column(1).to_pylist()]
             scorer.learn(texts)
