@@ -21,7 +21,9 @@ encoded alike; other columns of the input may have any name.
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,8 +35,9 @@ from pyspark.sql import types as T
 
 from .common import bounded_batches, text_bytes
 
-MAX_STATES = 200_000   # then the transducer starts over; a bound on memory, not on results
-MAX_MEMO = 400_000     # units of text whose ids are remembered
+NEVER = 1 << 60        # a rank beyond all
+MAX_STATES = 150_000   # then the transducer starts over; a bound on memory, not on results
+MAX_MEMO = 150_000     # units of text, and matches in them, of a memo; there are two of each
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -49,6 +52,7 @@ class Transducer:
         self.ranks = ranks
         self.bytes_of = {r: b for b, r in ranks.items()}
         self._pair_ok: dict[tuple[int, int], bool] = {}
+        self._grown: dict[int, tuple] = {}
         # trie: node -> {byte: node}; node 0 is the root
         self._next: list[dict[int, int]] = [{}]
         self._token: list[int] = [-1]
@@ -77,19 +81,58 @@ class Transducer:
         """Greedy merging by rank, the definition; for short byte strings."""
         parts = [b[i: i + 1] for i in range(len(b))]
         while len(parts) > 1:
-            best = min(((self.ranks.get(x + y, 1 << 60), i) for i, (x, y) in enumerate(zip(parts, parts[1:]))))
-            if best[0] == 1 << 60:
+            rank, i = min((self.ranks.get(x + y, NEVER), i) for i, (x, y) in enumerate(zip(parts, parts[1:])))
+            if rank == NEVER:
                 break
-            i = best[1]
             parts[i: i + 2] = [parts[i] + parts[i + 1]]
         return [self.ranks[p] for p in parts]
 
+    def _edges(self, token: int) -> tuple[list[tuple[bytes, int]], list[tuple[bytes, int]], bool]:
+        """How a token's first and last part grow while it is merged: ``(part, rank of the merge that
+        ends it)``, and whether merging gives the token at all."""
+        made = self._grown.get(token)
+        if made is None:
+            parts = [self.bytes_of[token][i: i + 1] for i in range(len(self.bytes_of[token]))]
+            first, last = [], []
+            while len(parts) > 1:
+                rank, i = min((self.ranks.get(x + y, NEVER), i) for i, (x, y) in enumerate(zip(parts, parts[1:])))
+                if rank == NEVER:
+                    break  # its own bytes are encoded otherwise
+                if i == 0:
+                    first.append((parts[0], rank))
+                if i == len(parts) - 2:
+                    last.append((parts[-1], rank))
+                parts[i: i + 2] = [parts[i] + parts[i + 1]]
+            whole = len(parts) == 1
+            made = self._grown[token] = (first + [(parts[0], NEVER)], last + [(parts[-1], NEVER)], whole)
+        return made
+
     def _fits(self, left: int, right: int) -> bool:
+        """Whether the pair is the encoding of its own bytes (``left`` -1: whether ``right`` alone is).
+
+        Both are merged as if alone, in order of rank; they fit unless at some
+        time the parts that touch would merge first.  Of equal ranks the
+        leftmost goes first.
+        """
         key = (left, right)
         ok = self._pair_ok.get(key)
         if ok is None:
-            whole = (self.bytes_of[left] if left >= 0 else b"") + self.bytes_of[right]
-            ok = self._pair_ok[key] = self.merge(whole) == ([left, right] if left >= 0 else [right])
+            first, _, ok = self._edges(right)
+            if ok and left >= 0:
+                _, last, ok = self._edges(left)
+                i = j = 0
+                while ok:
+                    (x, x_ends), (y, y_ends) = last[i], first[j]
+                    touch = self.ranks.get(x + y, NEVER)
+                    if touch < x_ends and (touch < y_ends or touch == y_ends != NEVER):
+                        ok = False
+                    elif x_ends == y_ends == NEVER:
+                        break
+                    elif x_ends <= y_ends:
+                        i += 1
+                    else:
+                        j += 1
+            self._pair_ok[key] = ok
         return ok
 
     def _state(self, tree: tuple) -> int:
@@ -166,21 +209,37 @@ _UNIT = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Encoder:
-    """Encodes whole texts: units are cut at single spaces, and their ids remembered up to MAX_MEMO units."""
+    """Encodes whole texts, cut into units at single spaces and into the pattern's matches in them.
+
+    The ids of units and of matches are remembered: a full memo becomes the old
+    one, and what is used again moves from the old memo to the new.
+    """
 
     def __init__(self, ranks_path: str, pattern: str):
         self.machine = Transducer(load_ranks(ranks_path))
         self.pattern = regex.compile(pattern)
-        self._memo: dict[str, bytes] = {}
+        self._units: dict[str, bytes] = {}
+        self._old_units: dict[str, bytes] = {}
+        self._pieces: dict[str, bytes] = {}
+        self._old_pieces: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        made = self._old_pieces.get(piece)
+        if made is None:
+            ids = self.machine.encode_piece(piece.encode("utf-8"))
+            made = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self._pieces) >= MAX_MEMO:
+            self._old_pieces, self._pieces = self._pieces, {}
+        self._pieces[piece] = made
+        return made
 
     def _unit(self, unit: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.pattern.findall(unit):
-            ids.extend(self.machine.encode_piece(piece.encode("utf-8")))
-        made = np.array(ids, dtype="<u4").tobytes()
-        if len(self._memo) >= MAX_MEMO:
-            self._memo.clear()
-        self._memo[unit] = made
+        made = self._old_units.get(unit)
+        if made is None:
+            made = b"".join([self._pieces.get(x) or self._piece(x) for x in self.pattern.findall(unit)])
+        if len(self._units) >= MAX_MEMO:
+            self._old_units, self._units = self._units, {}
+        self._units[unit] = made
         return made
 
     def encode(self, text: str) -> bytes:
@@ -188,9 +247,9 @@ class Encoder:
         if not text:
             return b""
         first, *rest = _UNIT.split(text)
-        memo, out = self._memo, []
+        out = []
         for unit in (first, *[" " + x for x in rest]):
-            out.append(memo.get(unit) or self._unit(unit))
+            out.append(self._units.get(unit) or self._unit(unit))
         return b"".join(out)
 
 
@@ -283,10 +342,29 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: ``doc_id, n_tokens, ids_sha256, decoded_sha256`` from encoding and then decoding the ids."""
-    both = decode(encode(docs, ranks_path, pattern, id_col, text_col), ranks_path)
-    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                       F.sha2("ids", 256).alias("ids_sha256"),
-                       F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    """Per row: ``doc_id, n_tokens, ids_sha256, decoded_sha256`` from encoding and then decoding the ids.
 
+    Both run in one pass over the texts, so ids don't travel between workers.
+    """
+    bounded_batches(docs.sparkSession)
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    schema = T.StructType([src.schema["doc_id"], T.StructField("n_tokens", T.LongType()),
+                           T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = _once(Encoder, ranks_path, pattern), _once(Decoder, ranks_path)
+        for batch in batches:
+            n, ids_sha, text_sha = [], [], []
+            for text in batch.column(1).to_pylist():
+                raw = encoder.encode(text or "")
+                ids = np.frombuffer(raw, dtype="<u4").tolist()
+                decoded = hashlib.sha256()
+                for piece in decoder.stream(ids):
+                    decoded.update(piece.encode("utf-8"))
+                n.append(len(ids))
+                ids_sha.append(hashlib.sha256(raw).hexdigest())
+                text_sha.append(decoded.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)],
+                                             names=schema.names)
+
+    return src.mapInArrow(run, schema)

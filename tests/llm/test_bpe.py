@@ -71,4 +71,16 @@ def test_table(spark, library):
         own = library.encode_ordinary(t or "")
         want.append((d, len(own), sha(np.array(own, "<u4").tobytes()), sha((t or "").encode())))
     assert got == sorted(want, key=repr)
+    both = B.decode(B.encode(df, PATH, P.PATTERN), PATH)
+    assert sorted(((r.doc_id, r.text) for r in both.collect()), key=repr) == sorted(((d, t or "") for d, t in rows), key=repr)
     assert B.round_trip(df.limit(0), PATH, P.PATTERN).count() == 0
+
+
+def test_pairs_that_fit_are_those_that_merging_leaves():
+    t = B.Transducer(B.load_ranks(PATH))
+    rng = random.Random(1)
+    some = list(t.bytes_of)
+    short = [i for i in some if len(t.bytes_of[i]) <= 3]
+    for k in range(6000):
+        a, b = rng.choice(short if k % 2 else some), rng.choice(short if k % 3 else some)
+        assert t._fits(a, b) == (t.merge(t.bytes_of[a] + t.bytes_of[b]) == [a, b])
