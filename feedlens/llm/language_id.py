@@ -164,15 +164,18 @@ def train(docs: DataFrame, vocabulary_path: str, text_col: str = "text", lang_co
     counted = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: dict[str, Counter] = {}
+
+        def rows() -> list[tuple]:
+            return [(lang, w, n) for lang, own in held.items() for w, n in own.items()]
+
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for w, n in Counter(words_of(text)).items():
-                    held[lang, w] += n
-            if len(held) > 100_000:
-                yield from as_batches([(k, w, n) for (k, w), n in held.items()], counted)
+                held.setdefault(lang, Counter()).update(words_of(text))
+            if sum(map(len, held.values())) > 200_000:
+                yield from as_batches(rows(), counted)
                 held.clear()
-        yield from as_batches([(k, w, n) for (k, w), n in held.items()], counted)
+        yield from as_batches(rows(), counted)
 
     words = src.mapInArrow(count, "lang string, word string, n bigint").groupBy("word", "lang").agg(F.sum("n").alias("n"))
     expected = pa.schema([("lang", pa.string()), ("piece", pa.int32()), ("n", pa.float64())])
