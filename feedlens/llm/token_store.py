@@ -23,6 +23,7 @@ from __future__ import annotations
 import bisect
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -172,11 +173,17 @@ class ShardReader:
             begin = end
 
 
+#: Between a letter or digit and closing punctuation a match of the vocabulary's pattern always ends.
+_TAIL = re.compile(rb"(?<=[a-z0-9])(?=[.,;:!?]+(?:\s|\Z))")
+
+
 class WordEncoder:
     """The tokenizers library over whole texts, each distinct word once while it is remembered.
 
-    The vocabulary drops white space and no rule of it looks across ASCII white
-    space, so a text's ids are its words' ids in order.
+    The vocabulary lower-cases, drops white space, and no rule of it looks
+    across ASCII white space, so a text's ids are its words' ids in order, and
+    words may be told apart after ASCII lower-casing.  Words that are new in a
+    batch go to the library as one text; offsets tell whose ids are whose.
     """
 
     def __init__(self, path: str):
@@ -185,23 +192,49 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self._batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        self._memo: dict[str, bytes] = {}
+        self._memo: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
+
+    def _learn(self, words: list[bytes]) -> None:
+        texts = [w.decode("utf-8") for w in words]
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        made = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        owner = np.searchsorted(begins, [x for x, _ in made.offsets], side="right") - 1
+        ends = np.cumsum(np.bincount(owner, minlength=len(words))) * self.width if len(owner) else np.zeros(len(words), int)
+        ids = np.array(made.ids, dtype=f"<u{self.width}").tobytes()
+        begin = 0
+        for w, end in zip(words, ends.tolist()):
+            self._memo[w] = ids[begin:end]
+            begin = end
 
-    def encode(self, raw: bytes | None) -> bytes:
-        words = [w.decode("utf-8") for w in (raw or b"").split()]
-        memo = self._memo
-        if len(memo) > MAX_MEMO:
-            memo.clear()
-        new = list({w for w in words if w not in memo})
-        for w, e in zip(new, self._batch(new, add_special_tokens=False) if new else ()):
-            memo[w] = np.array(e.ids, dtype=f"<u{self.width}").tobytes()
-        return b"".join([memo[w] for w in words])
+    def encode(self, raws: list[bytes | None]) -> list[bytes]:
+        """Ids of each text, ``width`` bytes each."""
+        texts = [_TAIL.sub(b" ", (raw or b"").lower()).split() for raw in raws]
+        if len(self._memo) > MAX_MEMO:  # what is used again moves from the old memo to the new
+            self._old, self._memo = self._memo, {}
+        new = set().union(*texts) - self._memo.keys()
+        known = new & self._old.keys()
+        self._memo.update((w, self._old[w]) for w in known)
+        rest = sorted(new - known)
+        for at in range(0, len(rest), 2000):
+            self._learn(rest[at: at + 2000])
+        return [b"".join(map(self._memo.__getitem__, words)) for words in texts]
 
 
 _encoders: dict[str, WordEncoder] = {}
 
 
+def worker_encoder(path: str) -> WordEncoder:
+    """One encoder a worker process, kept across its tasks.
+
+    A function of the module, so tasks share its table: what a nested function
+    names directly travels with it as a copy.
+    """
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 def write_shards(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and write; returns the written table of shards: ``path, first, n_docs, n_ids, base``."""
     spark = docs.sparkSession
@@ -212,18 +245,16 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col:
     schema = pa.schema([("path", pa.string()), ("first", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get(tokenizer)
-        if encoder is None:
-            encoder = _encoders[tokenizer] = WordEncoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         end = int(end_id).to_bytes(encoder.width, "little")
         writer = path = first = None
         for batch in batches:
-            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for name, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
                 if writer is None:
                     fs, at = filesystem(folder)
                     path, first = new_file(fs, at, "shard", ".ids"), name
                     writer = ShardWriter(fs.open_output_stream(path, compression=None), encoder.width)
-                writer.add(name, encoder.encode(raw) + end)
+                writer.add(name, ids + end)
         if writer is not None:
             about = writer.close()
             yield from as_batches([(path.rsplit("/", 1)[1], first, len(writer.ends), about["n_ids"])], schema)
