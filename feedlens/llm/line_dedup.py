@@ -104,3 +104,41 @@ def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: st
         F.coalesce(F.when(F.col("lines").isNotNull(), F.size("lines")), F.lit(0)).cast("long").alias("n_lines"),
         F.when(none, F.lit(0)).otherwise(gone).cast("long").alias("removed_lines"),
         F.when(none, F.lit(0)).otherwise(F.size("removed")).cast("long").alias("removed_chunks"))
+
+
+def repeated_windows(rows: DataFrame) -> DataFrame:
+    """``rid, later``: the places (from 1) of the windows of two lines that stand earlier in the corpus, from ``rid, id, lines``."""
+    n = F.size("lines")
+    window = lambda i: F.concat_ws("\n", F.element_at("lines", i), F.element_at("lines", i + 1))
+    keys = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.when(
+        _has_word(window(i)), F.substring(F.unhex(F.sha2(window(i), 256)), 1, 16)))
+    every = rows.where(n >= 2).select("rid", "id", F.posexplode(keys).alias("i", "key")).where("key is not null")
+    # copies collapse in each map task
+    first = written(every.groupBy("key").agg(F.min(F.struct("id", "rid", "i")).alias("first"), F.count("*").alias("n"))
+                    .where("n > 1").select("key", F.col("first.rid").alias("r1"), F.col("first.i").alias("i1")), "first-windows")
+    later = every.select("rid", "i", "key").join(first.hint("merge"), "key").where("rid <> r1 or i <> i1")
+    return later.groupBy("rid").agg(F.collect_set(F.col("i") + 1).alias("later"))
+
+
+def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: ``doc_id, text`` without its repeated passages, ``n_lines, removed_lines, removed_passages``.
+
+    A passage is a run of two lines or more.  Every window of two adjacent
+    lines is compared, so no choice of boundaries can miss one: a line goes if
+    a window that holds it stands earlier, and each line's first place in a
+    repeated window stays.  Windows without a word are not compared; windows
+    are equal if 128 bits of their SHA-256 are.  Lines repeated alone stay.
+    """
+    rows = written(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),
+                               F.split(F.col(text_col), "\n").alias("lines")), "passage-lines")
+    d = rows.join(written(repeated_windows(rows), "later-windows").hint("merge"), "rid", "left")
+    none = F.col("later").isNull()
+    gone = F.array_union("later", F.transform("later", lambda i: i + 1))
+    d = d.withColumn("gone", F.when(none, F.array().cast("array<int>")).otherwise(gone))
+    kept = F.filter("lines", lambda x, i: ~F.array_contains("gone", i + 1))
+    return d.select(
+        F.col("id").alias("doc_id"),
+        F.when(none, F.array_join("lines", "\n")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        F.coalesce(F.when(F.col("lines").isNotNull(), F.size("lines")), F.lit(0)).cast("long").alias("n_lines"),
+        F.size("gone").cast("long").alias("removed_lines"),
+        F.size(F.filter("gone", lambda i: ~F.array_contains("gone", i - 1))).cast("long").alias("removed_passages"))

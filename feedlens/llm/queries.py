@@ -147,6 +147,24 @@ def op7(spark, sf):
         "doc_id", "n_lines", "removed_lines", "removed_chunks", F.sha2("text", 256).alias("text_sha256"))
 
 
+@register("op7_line_passages", r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(text, chr(10)) AS ls FROM documents),
+k AS (SELECT rid, doc_id, i, ls[i] || chr(10) || ls[i + 1] AS win
+      FROM (SELECT *, unnest(range(1, len(ls))) AS i FROM d WHERE ls IS NOT NULL)),
+r AS (SELECT *, regexp_matches(win, '[^\x20\x09-\x0D]') AND row_number() OVER (
+        PARTITION BY win ORDER BY doc_id NULLS FIRST, rid, i) > 1 AS later FROM k),
+g AS (SELECT rid, list(i) AS gone FROM (SELECT rid, i FROM r WHERE later UNION SELECT rid, i + 1 FROM r WHERE later) GROUP BY rid)
+SELECT doc_id, coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS removed_lines,
+       coalesce(len(list_filter(gone, lambda i: NOT list_contains(gone, i - 1))), 0)::BIGINT AS removed_passages,
+       sha256(CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_transform(list_filter(range(1, len(ls) + 1),
+           lambda i: NOT list_contains(gone, i)), lambda i: ls[i]), chr(10)) END) AS text_sha256
+FROM (SELECT d.*, array_to_string(ls, chr(10)) AS text FROM d) LEFT JOIN g USING (rid)""")
+def op7_passages(spark, sf):
+    from .line_dedup import remove_repeated_passages
+    return remove_repeated_passages(table(spark, sf, "documents")).select(
+        "doc_id", "n_lines", "removed_lines", "removed_passages", F.sha2("text", 256).alias("text_sha256"))
+
+
 @register("op8_language_id")
 def op8(spark, sf):
     from . import language_id
