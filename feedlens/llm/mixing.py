@@ -138,3 +138,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     p = plan(docs, id_col, text_col, source_col, row=True, **options)
     return (p.select("row", "id", F.explode("positions").alias("position"))
             .orderBy("position", "id").select("row.*"))
+
+
+def dealt(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options):
+    """``(documents, order)``, both written but for the last join.
+
+    ``order`` has ``rid, id, size, position`` of every copy taken, range-sorted
+    by training position.  ``documents`` has one row per document: ``id, size,
+    skey, source_size, target`` and ``taken``, the words of its copies found in
+    ``order``.  Texts don't move; ``mix`` moves them.
+    """
+    p = written(plan(docs, id_col, text_col, source_col, **options).drop("taken")
+                .withColumn("rid", F.monotonically_increasing_id()), "mix-plan")
+    order = written(p.select("rid", "id", "size", F.explode("positions").alias("position")).orderBy("position", "id"), "mix-order")
+    copies = order.groupBy("rid").agg(F.sum(F.when(F.col("position").isNotNull(), F.col("size"))).alias("words"))
+    rows = p.join(copies.hint("merge"), "rid", "left")
+    return rows.select("id", "size", "skey", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken")), order

@@ -79,8 +79,8 @@ SELECT doc_id, size, source_size, target,
        (CASE WHEN size = 0 THEN 0 ELSE size * ((middle <= target)::INT + (middle + source_size <= target)::INT) END)::BIGINT AS taken
 FROM c""")
 def op3(spark, sf):
-    from .mixing import plan
-    return plan(table(spark, sf, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    from .mixing import dealt
+    return dealt(table(spark, sf, "documents"))[0].select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 @register("op4_byte_bpe")
