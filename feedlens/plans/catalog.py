@@ -777,7 +777,7 @@ def q_model_roundtrip(spark, sf):
 @register("density_cluster")
 def q_density_cluster(spark, sf):
     """Hierarchical density clusters (leaf selection) of the hashed document vectors."""
-    return CL.density_cluster(_hashed(spark, sf), HASH_DIM, 5, 3, max_eps=1.2, n_levels=6)
+    return CL.density_cluster_exact(_hashed(spark, sf), HASH_DIM, 5, 3)
 
 
 @register("membership_strength",
@@ -1003,4 +1003,4 @@ def q_weekly_counts_stream(spark, sf):
 @register("density_cluster_eom")
 def q_density_cluster_eom(spark, sf):
     """Hierarchical density clusters with excess-of-mass selection."""
-    return CL.density_cluster(_hashed(spark, sf), HASH_DIM, 5, 3, max_eps=1.2, n_levels=6, method="eom")
+    return CL.density_cluster_exact(_hashed(spark, sf), HASH_DIM, 5, 3, method="eom")
