@@ -190,10 +190,25 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # texts are cut at them here, what is left may only look so in lower case
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._memo: dict[bytes, bytes] = {}
         self._old: dict[bytes, bytes] = {}
+        # with a space before them: no word has one
+        self._special = {b" " + t.content.encode(): int(i).to_bytes(self.width, "little")
+                         for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self._cut = re.compile(b"(" + b"|".join(re.escape(t[1:]) for t in sorted(self._special, reverse=True)) + b")")
+
+    def _words(self, raw: bytes) -> list[bytes]:
+        """The words of a text in lower case, and its special tokens, which are told by case."""
+        if not self._special:
+            return _TAIL.sub(b" ", raw.lower()).split()
+        parts = self._cut.split(raw)
+        words = _TAIL.sub(b" ", parts[0].lower()).split()
+        for token, after in zip(parts[1::2], parts[2::2]):
+            words.append(b" " + token)
+            words += _TAIL.sub(b" ", after.lower()).split()
+        return words
 
     def _learn(self, words: list[bytes]) -> None:
         texts = [w.decode("utf-8") for w in words]
@@ -209,9 +224,10 @@ class WordEncoder:
 
     def encode(self, raws: list[bytes | None]) -> list[bytes]:
         """Ids of each text, ``width`` bytes each."""
-        texts = [_TAIL.sub(b" ", (raw or b"").lower()).split() for raw in raws]
+        texts = [self._words(raw or b"") for raw in raws]
         if len(self._memo) > MAX_MEMO:  # what is used again moves from the old memo to the new
             self._old, self._memo = self._memo, {}
+        self._memo.update(self._special)
         new = set().union(*texts) - self._memo.keys()
         known = new & self._old.keys()
         self._memo.update((w, self._old[w]) for w in known)
