@@ -186,6 +186,84 @@ def op10(spark, sf):
     return stored(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+#: Unsigned crc32 of a short decimal text in SQL, bit by bit.
+def _crc32_sql(text: str) -> str:
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split({text}, ''), "
+            "lambda ch: list_concat([ascii(ch)::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1])))), "
+            "lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)")
+
+
+@register("op11_prefix_trie", f"""
+WITH t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, c - c % 100 AS base, {_crc32_sql('c::VARCHAR')} % 6 AS h,
+             list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, sha256(octet_length(encode(role)) || ':' || role || text)) AS ts
+      FROM t GROUP BY c),
+r AS (SELECT o.c, list_concat(coalesce(b.ts, [])[1:o.h], o.ts[o.h + 1:]) AS p FROM o LEFT JOIN o AS b ON b.c = o.base),
+x AS (SELECT c, len(p) AS l, p, unnest(range(0, len(p) + 1)) AS d FROM r),
+n AS (SELECT p[1:d] AS pre, d, min(c) AS conv_id, count(*) AS n_convs,
+             coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE l = d), '') AS ends
+      FROM x GROUP BY ALL),
+k AS (SELECT pre[1:d - 1] AS up, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(pre[d].text) END AS own
+      FROM n LEFT JOIN k ON n.pre = k.up),
+s AS (SELECT pre[1:a] AS pre, sum((n_children = 0)::INT) AS n_leaves, sum(own) AS saved_tokens
+      FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM m) GROUP BY ALL)
+SELECT m.conv_id, m.d::BIGINT AS depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, s.n_leaves::BIGINT AS n_leaves,
+       s.saved_tokens::BIGINT AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN s ON m.pre = s.pre LEFT JOIN n AS u ON m.d > 0 AND u.pre = m.pre[1:m.d - 1] AND u.d = m.d - 1""")
+def op11(spark, sf):
+    from .prefix_trie import prefix_trie
+    return prefix_trie(table(spark, sf, "conversations")).drop("node")
+
+
+@register("op12_minimum_bin_slack")
+def op12(spark, sf):
+    from .packing import packed
+    return packed(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(
+        f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR END"
+        for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_TREE = """
+  SELECT g, level + 1, idx // 8, sha256(string_agg(digest, '' ORDER BY idx)), (min(n) + 7) // 8
+  FROM {t} WHERE n > 1 GROUP BY g, level, idx // 8"""
+
+
+@register("op13_merkle_manifest", f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce('1' || lang, '0') AS g, {_leaf_sql('text')} AS leaf,
+    CASE WHEN {_crc32_sql('doc_id::VARCHAR')} % 3 = 0 THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+  FROM documents),
+p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY g) AS n FROM d),
+low(g, level, idx, digest, n) AS (SELECT g, 0, idx, leaf, n FROM p UNION ALL {_TREE.format(t='low')}),
+sub AS MATERIALIZED (SELECT g, digest, max(level) OVER (PARTITION BY g) AS top, row_number() OVER (ORDER BY g) - 1 AS place, count(*) OVER () AS n
+    FROM low WHERE n = 1),
+high(g, level, idx, digest, n) AS (SELECT '', 0, place, digest, n FROM sub UNION ALL {_TREE.format(t='high')}),
+root AS (SELECT digest FROM high WHERE n = 1),
+steps AS MATERIALIZED (
+  SELECT a.rid, b.level AS step, (a.idx >> (3 * b.level)) % 8 AS slot, list(b.digest ORDER BY b.idx) AS run
+  FROM p a JOIN low b ON a.g = b.g AND b.n > 1 AND b.idx // 8 = a.idx >> (3 * b.level + 3) GROUP BY a.rid, a.idx, b.level
+  UNION ALL
+  SELECT a.rid, s.top + b.level, (s.place >> (3 * b.level)) % 8, list(b.digest ORDER BY b.idx)
+  FROM p a JOIN sub s ON a.g = s.g JOIN high b ON b.n > 1 AND b.idx // 8 = s.place >> (3 * b.level + 3) GROUP BY a.rid, s.top, s.place, b.level),
+proofs AS (SELECT rid, sha256(coalesce(string_agg(array_to_string(list_concat(run[1:slot], run[slot + 2:]), ''), '' ORDER BY step), '')) AS proof
+  FROM steps GROUP BY rid),
+fold(rid, step, cur) AS (SELECT rid, 0, coalesce(changed, leaf) FROM p UNION ALL
+  SELECT f.rid, f.step + 1, sha256(array_to_string(s.run[1:s.slot], '') || f.cur || array_to_string(s.run[s.slot + 2:], ''))
+  FROM fold f JOIN steps s ON f.rid = s.rid AND f.step = s.step),
+done AS (SELECT rid, arg_max(cur, step) AS cur FROM fold GROUP BY rid)
+SELECT p.doc_id, p.leaf, sub.digest AS subroot, root.digest AS root, coalesce(proofs.proof, sha256('')) AS proof_sha256,
+       done.cur AS folded_root, done.cur = root.digest AS verified
+FROM p JOIN sub ON p.g = sub.g JOIN done USING (rid) LEFT JOIN proofs USING (rid), root""")
+def op13(spark, sf):
+    from .merkle import verified
+    return verified(table(spark, sf, "documents"))
+
+
 def add_pipeline() -> None:
     """Registers ``pipeline`` if its file lies at the repository's top."""
     if importlib.util.find_spec("corpus_pipeline") is not None:
