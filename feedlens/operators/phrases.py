@@ -2,63 +2,130 @@
 
 ``learn_phrases`` scores adjacent token pairs with
 ``(n_ab - delta) * N / (n_a * n_b)`` (Mikolov et al. 2013): two counting
-aggregates and two joins.  ``segment_words`` rewrites each document greedily
-left to right: inside a run of consecutive lexicon pairs the merges start at
-every second position (gaps-and-islands window per document), so no
-sequential per-row code is needed.  Applying both again on segmented text
-yields longer phrases.
+aggregates and two joins.  ``learn_lexicon`` repeats it on text that is already
+segmented, so that units of up to ``max_len`` tokens form.  ``segment_words``
+takes, from left to right, the longest unit of the lexicon that begins at each
+token; punctuation marks are tokens of their own and stay.
+
+The n-grams of a document meet the lexicon in a join, which holds a lexicon of
+any size; only the choice among a document's overlapping matches is a loop, in
+Arrow batches, over the matches of one text.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WORD_TOKEN_ANY, word_tokens
+from ..session import cut_lineage
 
+#: A run of word characters, or one mark that is neither that nor white space.
+UNIT_TOKEN = r"(?U)\w+|[^\w\s]"
+MAX_LEN = 4
+PASSES = 2
 
-def _pairs(df: DataFrame, col: str, id_col: str) -> DataFrame:
-    toks = word_tokens(col, WORD_TOKEN_ANY)
-    idx = F.sequence(F.lit(0), F.size("__t") - 2)
-    return (df.select(id_col, toks.alias("__t"))
-              .filter(F.size("__t") >= 2)
-              .select(id_col, F.explode(F.transform(idx, lambda i: F.struct(i.alias("pos"), F.col("__t")[i].alias("a"),
-                                                                               F.col("__t")[i + 1].alias("b")))).alias("p"))
-              .select(id_col, "p.pos", "p.a", "p.b"))
 
+def _pairs(tokens: DataFrame) -> DataFrame:
+    """(a, b) of adjacent tokens, from ``t``."""
+    idx = F.sequence(F.lit(0), F.size("t") - 2)
+    return (tokens.filter(F.size("t") >= 2)
+                  .select(F.explode(F.transform(idx, lambda i: F.struct(F.col("t")[i].alias("a"), F.col("t")[i + 1].alias("b")))).alias("p"))
+                  .select("p.a", "p.b"))
 
-def learn_phrases(df: DataFrame, min_count: int = 5, delta: float = 5.0, threshold: float = 10.0,
-                  col: str = "clean", id_col: str = "doc_id") -> DataFrame:
-    """(a, b, phrase, n_ab, score) for pairs with ``n_ab >= min_count`` and ``score > threshold``."""
-    uni = (df.select(F.explode(word_tokens(col, WORD_TOKEN_ANY)).alias("w"))
-             .groupBy("w").agg(F.count(F.lit(1)).alias("n")))
+
+def _scored(tokens: DataFrame, min_count: int, delta: float, threshold: float, word=None) -> DataFrame:
+    """(a, b, n_ab, score) of the pairs of ``t`` that pass, counting only tokens for which ``word`` holds."""
+    uni = tokens.select(F.explode("t").alias("w"))
+    pairs = _pairs(tokens)
+    if word is not None:
+        uni, pairs = uni.where(word(F.col("w"))), pairs.where(word(F.col("a")) & word(F.col("b")))
+    uni = cut_lineage(uni.groupBy("w").agg(F.count(F.lit(1)).alias("n")))
     total = uni.agg(F.sum("n")).scalar()
-    bi = _pairs(df, col, id_col).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_ab")).filter(F.col("n_ab") >= min_count)
+    bi = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_ab")).filter(F.col("n_ab") >= min_count)
     j = (bi.join(uni.select(F.col("w").alias("a"), F.col("n").alias("n_a")), "a")
            .join(uni.select(F.col("w").alias("b"), F.col("n").alias("n_b")), "b"))
     score = (F.col("n_ab") - F.lit(delta)) * total / (F.col("n_a") * F.col("n_b"))
-    return (j.select("a", "b", F.concat_ws("_", "a", "b").alias("phrase"), "n_ab", score.alias("score"))
-             .filter(F.col("score") > threshold))
-
-
-def segment_words(df: DataFrame, lexicon: DataFrame, col: str = "clean", id_col: str = "doc_id",
-                  out: str | None = None) -> DataFrame:
-    """Rewrite ``col`` as word tokens joined by spaces, lexicon pairs joined by "_"."""
-    out = out or col
-    toks = (df.select(id_col, F.posexplode(word_tokens(col, WORD_TOKEN_ANY)).alias("pos", "tok")))
-    flags = (_pairs(df, col, id_col).join(lexicon.select("a", "b").distinct().withColumn("__hit", F.lit(True)),
-                                          ["a", "b"], "left")
-                                    .select(id_col, "pos", F.coalesce("__hit", F.lit(False)).alias("hit")))
-    runs = flags.filter("hit").withColumn(
-        "__run", F.col("pos") - F.row_number().over(Window.partitionBy(id_col).orderBy("pos")))
-    starts = (runs.withColumn("__first", F.min("pos").over(Window.partitionBy(id_col, "__run")))
-                  .filter(((F.col("pos") - F.col("__first")) % 2) == 0).select(id_col, "pos", F.lit(True).alias("start")))
-    nxt = Window.partitionBy(id_col).orderBy("pos")
-    t = (toks.join(starts, [id_col, "pos"], "left")
-             .withColumn("start", F.coalesce("start", F.lit(False)))
-             .withColumn("__prev_start", F.coalesce(F.lag("start").over(nxt), F.lit(False)))
-             .withColumn("__next_tok", F.lead("tok").over(nxt))
-             .filter(~F.col("__prev_start"))
-             .select(id_col, "pos", F.when(F.col("start"), F.concat_ws("_", "tok", "__next_tok")).otherwise(F.col("tok")).alias("unit")))
-    rebuilt = (t.groupBy(id_col).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "unit"))),
-                                                              lambda s: s["unit"]), " ").alias("__seg")))
-    return (df.join(rebuilt, id_col, "left").withColumn(out, F.coalesce("__seg", F.lit(""))).drop("__seg"))
+    return j.select("a", "b", "n_ab", score.alias("score")).filter(F.col("score") > threshold)
+
+
+def learn_phrases(df: DataFrame, min_count: int = 5, delta: float = 5.0, threshold: float = 10.0,
+                  col: str = "clean", id_col: str = "doc_id") -> DataFrame:
+    """(a, b, phrase, n_ab, score) for pairs with ``n_ab >= min_count`` and ``score > threshold``; punctuation is passed over."""
+    tokens = cut_lineage(df.select(word_tokens(col, WORD_TOKEN_ANY).alias("t")))  # read by both counts
+    return _scored(tokens, min_count, delta, threshold).select("a", "b", F.concat_ws("_", "a", "b").alias("phrase"), "n_ab", "score")
+
+
+def _tokens(df: DataFrame, col: str) -> DataFrame:
+    """Written: the columns of ``df``, ``__rid`` and ``__t``, its tokens with marks."""
+    text = F.coalesce(F.col(col), F.lit(""))
+    return cut_lineage(df.withColumns({"__rid": F.monotonically_increasing_id(), "__t": F.regexp_extract_all(text, F.lit(UNIT_TOKEN), 0)}))
+
+
+def _matches(tokens: DataFrame, lexicon: DataFrame, max_len: int) -> DataFrame:
+    """``__rid, __m``: begin and length of every unit of ``lexicon(phrase)`` in the tokens, upper or lower case."""
+    n = F.size("__t")
+    at = lambda i, k: F.struct(i.alias("i"), k.alias("k"), F.lower(F.array_join(F.slice("__t", i + 1, k), " ")).alias("phrase"))
+    grams = F.flatten(F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.transform(
+        F.sequence(F.lit(2), F.least(F.lit(max_len), n - i)), lambda k: at(i, k))))
+    every = tokens.where(n >= 2).select("__rid", F.explode(grams).alias("g")).select("__rid", "g.i", "g.k", "g.phrase")
+    hit = every.join(lexicon.select("phrase").distinct(), "phrase", "left_semi")
+    return hit.groupBy("__rid").agg(F.collect_list(F.struct("i", "k")).alias("__m"))  # of one text
+
+
+def _units(tokens: DataFrame, lexicon: DataFrame, max_len: int, glue: str) -> DataFrame:
+    """``tokens`` with ``__u``: its units, the longest match first from left to right."""
+    d = tokens.join(_matches(tokens, lexicon, max_len), "__rid", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            t, m = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("__t", "__m"))
+            units = []
+            for toks, found in zip(t, m):
+                out, at = [], 0
+                for i, k in sorted(((x["i"], x["k"]) for x in found or []), key=lambda x: (x[0], -x[1])):
+                    if i >= at:
+                        out += toks[at:i]
+                        out.append(glue.join(toks[i: i + k]))
+                        at = i + k
+                units.append(out + toks[at:])
+            keep = [c for c in batch.schema.names if c not in ("__t", "__m")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(units, pa.list_(pa.string()))],
+                                             names=[*keep, "__u"])
+
+    kept = d.drop("__t", "__m")
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "__u array<string>"])
+    return d.mapInArrow(run, schema)
+
+
+def learn_lexicon(df: DataFrame, max_len: int = MAX_LEN, passes: int = PASSES, min_count: int = 5, delta: float = 5.0,
+                  threshold: float = 10.0, col: str = "clean") -> DataFrame:
+    """(phrase, n_tokens): units of 2 to ``max_len`` lower-case tokens joined by spaces, for ``segment_words``.
+
+    Each pass segments with the units found before and scores pairs of units
+    that stand side by side with no mark between, so ``passes`` 2 reaches four
+    tokens.
+    """
+    base = _tokens(df.select(F.lower(F.col(col)).alias("clean")), "clean").drop("clean")
+    word = lambda w: w.rlike(r"(?U)^\w")
+    lex = None
+    for _ in range(passes):
+        now = base.select(F.col("__t").alias("t")) if lex is None else cut_lineage(_units(base, lex, max_len, " ").select(F.col("__u").alias("t")))
+        new = _scored(now, min_count, delta, threshold, word).select(F.concat_ws(" ", "a", "b").alias("phrase"))
+        new = new.select("phrase", F.size(F.split("phrase", " ")).alias("n_tokens")).where(F.col("n_tokens") <= max_len)
+        lex = cut_lineage(new if lex is None else lex.unionByName(new).distinct())
+    return lex
+
+
+def segment_words(df: DataFrame, lexicon: DataFrame, col: str = "clean", id_col: str = "doc_id", out: str | None = None,
+                  max_len: int = MAX_LEN) -> DataFrame:
+    """``df`` with ``out`` (``col`` unless named): its tokens joined by spaces, units of the lexicon by "_".
+
+    ``lexicon`` has ``phrase`` (tokens joined by spaces), or ``a, b`` from
+    ``learn_phrases``.  A null text counts as empty.
+    """
+    phrase = F.concat_ws(" ", "a", "b") if {"a", "b"} <= set(lexicon.columns) else F.col("phrase")
+    done = _units(_tokens(df, col), lexicon.select(F.lower(phrase).alias("phrase")), max_len, "_")
+    return done.withColumn(out or col, F.array_join("__u", " ")).drop("__rid", "__u")

@@ -410,6 +410,7 @@ def q_localize_report(spark, sf):
 
 # ---------------------------------------------------------------- vectors, neighbours, clusters
 from ..operators import cluster as CL  # noqa: E402
+from ..operators import lists as LS  # noqa: E402
 from ..operators import embed as EM  # noqa: E402
 from ..operators import neighbors as NB  # noqa: E402
 from ..operators import reduce as RD  # noqa: E402
@@ -774,10 +775,64 @@ def q_model_roundtrip(spark, sf):
 
 
 # ---------------------------------------------------------------- hierarchy, strength, silhouette
-@register("density_cluster")
+#: The condensed tree in SQL.  In the order in which Prim's algorithm reaches the points, the components below
+#: any weight are runs; a run is cut at its largest weights, and runs of 5 points or more are clusters.
+TREE_SQL = (
+    HV_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + ",\n"
+    "nm AS MATERIALIZED (SELECT doc_id, v, row_number() OVER (ORDER BY doc_id) AS k FROM dv @where@),\n"
+    "ds AS MATERIALIZED (SELECT a.k AS i, b.k AS j, sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS d "
+    "FROM nm a, nm b WHERE a.k <> b.k),\n"
+    "co AS MATERIALIZED (SELECT i, (list(d ORDER BY d))[3] AS core FROM ds GROUP BY i),\n"
+    "mr AS MATERIALIZED (SELECT i, list(w ORDER BY j) AS r FROM (SELECT i, j, round(greatest(d, c1.core, c2.core), 9) AS w FROM ds "
+    "JOIN co c1 USING (i) JOIN co c2 ON c2.i = ds.j UNION ALL SELECT k, k, 1e308 FROM nm) GROUP BY i),\n"
+    "prim(step, nxt, ord, ws, best) AS (SELECT 1, list_position(r, list_min(r)), [1::BIGINT], [0.0::DOUBLE], r FROM mr WHERE i = 1 UNION ALL "
+    "SELECT step + 1, list_position(nb, list_min(nb)), o, wl, nb FROM (SELECT p.step, list_append(p.ord, p.nxt) AS o, list_append(p.ws, list_min(p.best)) AS wl, "
+    "list_transform(p.best, lambda x, j: CASE WHEN x = 1e308 OR j = p.nxt THEN 1e308 ELSE least(x, m.r[j]) END) AS nb "
+    "FROM prim p JOIN mr m ON m.i = p.nxt WHERE p.step < (SELECT count(*) FROM nm))),\n"
+    "pr AS MATERIALIZED (SELECT ord, ws FROM prim WHERE step = (SELECT count(*) FROM nm)),\n"
+    "run(c, level, l, r) AS (SELECT '1', 0, 1, len(ord) FROM pr WHERE len(ord) >= 5 UNION ALL "
+    "SELECT CASE WHEN n_big = 1 THEN c ELSE c || '/' || s[1] END, level + (n_big > 1)::INT, s[1], s[2] FROM ("
+    "SELECT c, level, unnest(big) AS s, len(big) AS n_big FROM (SELECT c, level, list_filter(sg, lambda x: x[2] - x[1] >= 4) AS big FROM ("
+    "SELECT run.c, run.level, list_zip(list_concat([l], cut), list_concat(list_transform(cut, lambda x: x - 1), [r])) AS sg FROM ("
+    "SELECT run.*, list_filter(range(l + 1, r + 1), lambda x: ws[x] = list_max(ws[l + 1:r])) AS cut FROM run, pr) run)))),\n"
+    "cuts AS MATERIALIZED (SELECT c, level, l, r, list_max(ws[l + 1:r]) AS w, list_filter(range(l + 1, r + 1), lambda x: ws[x] = list_max(ws[l + 1:r])) AS cut FROM run, pr),\n"
+    "sg AS MATERIALIZED (SELECT c, level, w, l, r, unnest(list_zip(list_concat([l], cut), list_concat(list_transform(cut, lambda x: x - 1), [r]))) AS s FROM cuts),\n"
+    "spl AS (SELECT c, max(w) FILTER (WHERE n > 1) AS split FROM (SELECT c, l, r, any_value(w) AS w, count(*) FILTER (WHERE s[2] - s[1] >= 4) AS n FROM sg GROUP BY c, l, r) GROUP BY c),\n"
+    "lv AS (SELECT c, level, w, unnest(range(s[1], s[2] + 1)) AS at FROM sg WHERE s[2] - s[1] < 4),\n"
+    "lf AS (SELECT c, level, nm.doc_id, 1 / greatest(w, 1e-300) AS lam FROM lv JOIN spl USING (c) CROSS JOIN pr JOIN nm ON nm.k = pr.ord[lv.at] WHERE split IS NULL),\n"
+    "lc AS (SELECT *, min(doc_id) OVER (PARTITION BY c) AS cluster, max(lam) OVER (PARTITION BY c) AS most FROM lf)\n")
+
+
+@register("density_cluster", TREE_SQL.replace("@where@", "") +
+          "SELECT nm.doc_id, coalesce(lc.cluster, -1)::BIGINT AS cluster, lc.level::INTEGER AS level FROM nm LEFT JOIN lc USING (doc_id)")
 def q_density_cluster(spark, sf):
     """Hierarchical density clusters (leaf selection) of the hashed document vectors."""
-    return CL.density_cluster_exact(_hashed(spark, sf), HASH_DIM, 5, 3)
+    return CL.density_cluster_tree(_hashed(spark, sf), 5, 3).drop("strength")
+
+
+@register("membership_strength_tree", TREE_SQL.replace("@where@", "") +
+          "SELECT nm.doc_id, coalesce(lc.cluster, -1)::BIGINT AS cluster, round(coalesce(lc.lam / lc.most, 0.0), 6) AS strength FROM nm LEFT JOIN lc USING (doc_id)")
+def q_membership_strength_tree(spark, sf):
+    """Strength of each document in its cluster of the hierarchy."""
+    return CL.density_cluster_tree(_hashed(spark, sf), 5, 3).drop("level").withColumn("strength", r6("strength"))
+
+
+@register("assign_by_tree", TREE_SQL.replace("@where@", "WHERE doc_id % 10 <> 0") + ",\n"
+          "nw AS (SELECT doc_id AS src, v FROM dv WHERE doc_id % 10 = 0),\n"
+          "nn AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY round(d, 12), doc_id) AS rank FROM (SELECT nw.src, nm.doc_id, nm.k, "
+          "sqrt(list_sum(list_transform(list_zip(nw.v, nm.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS d FROM nw, nm)),\n"
+          "rc AS (SELECT src, nn.doc_id, greatest(d, core, max(d) FILTER (WHERE rank <= 3) OVER (PARTITION BY src)) AS reach FROM nn JOIN co ON co.i = nn.k WHERE rank <= 6),\n"
+          "ft AS (SELECT src, doc_id, reach FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY round(reach, 12), doc_id) AS f FROM rc) WHERE f = 1),\n"
+          "bt AS (SELECT lc.c, any_value(cluster) AS cluster, any_value(most) AS most, coalesce(max(1 / up.w), 0) AS birth FROM lc "
+          "LEFT JOIN (SELECT c, w, s[1] AS b FROM sg JOIN spl USING (c) WHERE s[2] - s[1] >= 4 AND w = split) up ON lc.c = up.c || '/' || up.b GROUP BY lc.c),\n"
+          "jn AS (SELECT src, bt.cluster, least(1 / greatest(reach, 1e-300), bt.most) / bt.most AS strength FROM ft JOIN lc USING (doc_id) JOIN bt USING (c) "
+          "WHERE 1 / greatest(reach, 1e-300) >= birth - 1e-9)\n"
+          "SELECT nw.src AS doc_id, coalesce(cluster, -1)::BIGINT AS cluster, round(coalesce(strength, 0.0), 6) AS strength FROM nw LEFT JOIN jn USING (src)")
+def q_assign_by_tree(spark, sf):
+    """Every tenth document as a new one, against the hierarchy of the others."""
+    vecs = cut_lineage(_hashed(spark, sf))
+    tree = CL.density_tree(vecs.where("doc_id % 10 <> 0"), 5, 3)
+    return CL.assign_by_tree(tree, vecs.where("doc_id % 10 = 0")).withColumn("strength", r6("strength"))
 
 
 @register("membership_strength",
@@ -922,25 +977,10 @@ def q_embed_random_index(spark, sf):
     return EM.vector_long(vecs).withColumn("value", r6("value"))
 
 
-_KNN_DIRECTIONS, _KNN_BLOCK = 8, 256
-
-
-@register("knn_blocks",
-          f"WITH {O.EMB},\n"
-          f"sg AS (SELECT j.i AS j, d.i AS d, CASE WHEN (({O.md5_int("'direction:' || j.i::VARCHAR || ':' || d.i::VARCHAR")} >> 16) & 1) = 1 "
-          f"THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS s FROM range({_KNN_DIRECTIONS}) j(i), range(64) d(i)),\n"
-          "sv AS (SELECT j, list(s ORDER BY d) AS s FROM sg GROUP BY j),\n"
-          "al AS (SELECT e.id, e.v, j, row_number() OVER (PARTITION BY j ORDER BY "
-          "round(list_sum(list_transform(list_zip(e.v, sv.s), lambda z: z[1] * z[2])), 9), e.id) - 1 AS idx FROM ev e, sv),\n"
-          f"bl AS (SELECT id, v, j, sh.s AS sh, (idx + sh.s) // {_KNN_BLOCK} AS part FROM al, (VALUES (0), ({_KNN_BLOCK // 2})) sh(s)),\n"
-          "pq AS (SELECT DISTINCT a.id AS src, b.id AS dst FROM bl a JOIN bl b USING (j, sh, part) WHERE a.id <> b.id),\n"
-          "pd AS (SELECT src, dst, sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS dist "
-          "FROM pq JOIN ev a ON a.id = src JOIN ev b ON b.id = dst),\n"
-          "rk AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rank FROM pd)\n"
-          "SELECT src, dst, rank::INTEGER AS rank, round(dist, 6) AS dist FROM rk WHERE rank <= 4")
-def q_knn_blocks(spark, sf):
-    """Approximate neighbours in linear work: blocks along random directions."""
-    return NB.knn_blocks(_embeddings(spark, sf), 4, 64, _KNN_DIRECTIONS, _KNN_BLOCK).withColumn("dist", r6("dist"))
+@register("knn_lists", f"WITH {O.EMB_PAIRS} SELECT src, dst, rank::INTEGER AS rank, round(dist, 6) AS dist FROM ek WHERE rank <= 4")
+def q_knn_lists(spark, sf):
+    """Neighbours by inverted lists, every list probed that can hold one."""
+    return LS.knn_lists(_embeddings(spark, sf), 4, exact=True, id_col="doc_id").withColumn("dist", r6("dist"))
 
 
 PHRASES_SQL = (
@@ -960,12 +1000,50 @@ def q_learn_phrases(spark, sf):
     return PH.learn_phrases(FX.prepared(spark, sf), 5, 5.0, 10.0).withColumn("score", r6("score"))
 
 
-@register("segment_words")
+_UNIT_WORD = r"[\p{L}\p{M}\p{N}_]"
+
+
+def _scored_sql(units: str, p: str) -> str:
+    """The pairs of side-by-side units that make a phrase, as ``{p}lex``."""
+    return (f"{p}uni AS (SELECT w, count(*) AS n FROM (SELECT unnest(t) AS w FROM {units}) WHERE regexp_matches(w, '^{_UNIT_WORD}') GROUP BY w),\n"
+            f"{p}bp AS (SELECT p.a, p.b FROM (SELECT unnest(list_transform(range(0, len(t) - 1), lambda i: {{'a': t[i + 1], 'b': t[i + 2]}})) AS p "
+            f"FROM {units} WHERE len(t) >= 2) WHERE regexp_matches(p.a, '^{_UNIT_WORD}') AND regexp_matches(p.b, '^{_UNIT_WORD}')),\n"
+            f"{p}lex AS MATERIALIZED (SELECT a || ' ' || b AS phrase FROM (SELECT a, b, count(*) AS n_ab FROM {p}bp GROUP BY a, b HAVING count(*) >= 5) "
+            f"JOIN {p}uni ua ON ua.w = a JOIN {p}uni ub ON ub.w = b, (SELECT sum(n) AS nn FROM {p}uni) "
+            "WHERE (n_ab - 5.0::DOUBLE) * nn / (ua.n * ub.n) > 10.0 AND len(string_split(a || ' ' || b, ' ')) <= 4)")
+
+
+def _units_sql(lex: str, p: str, glue: str) -> str:
+    """The units of every document by longest match, as ``{p}un(doc_id, t)``."""
+    return (f"{p}hit AS (SELECT g.doc_id, i, max(k) AS k FROM (SELECT doc_id, i, k, array_to_string(t[i + 1:i + k], ' ') AS phrase FROM "
+            f"(SELECT *, unnest(range(0, len(t))) AS i FROM tk), range(2, 5) r(k) WHERE i + k <= len(t)) g WHERE phrase IN (SELECT phrase FROM {lex}) GROUP BY g.doc_id, i),\n"
+            f"{p}got AS (SELECT doc_id, unnest(list_reduce(list({{'i': i, 'next': i + k, 'got': [[i, k]]}} ORDER BY i), lambda a, b: CASE WHEN b.i >= a.next "
+            f"THEN {{'i': b.i, 'next': b.next, 'got': list_concat(a.got, b.got)}} ELSE a END).got) AS x FROM {p}hit GROUP BY doc_id),\n"
+            f"{p}of AS (SELECT doc_id, x[1] AS first, unnest(range(x[1], x[1] + x[2])) AS i FROM {p}got),\n"
+            f"{p}un AS MATERIALIZED (SELECT doc_id, list(u ORDER BY first) AS t FROM (SELECT w.doc_id, coalesce(o.first, w.i) AS first, string_agg(tok, '{glue}' ORDER BY w.i) AS u "
+            f"FROM (SELECT doc_id, unnest(t) AS tok, unnest(range(0, len(t))) AS i FROM tk) w LEFT JOIN {p}of o ON o.doc_id = w.doc_id AND o.i = w.i "
+            "GROUP BY w.doc_id, coalesce(o.first, w.i)) GROUP BY doc_id)")
+
+
+SEGMENT_SQL = (
+    f"WITH {O.PREPARED},\n"
+    f"tk AS MATERIALIZED (SELECT doc_id, regexp_extract_all(clean, '{_UNIT_WORD}+|[^\\p{{L}}\\p{{M}}\\p{{N}}_\\s]') AS t FROM pre),\n"
+    + _scored_sql("tk", "p1") + ",\n" + _units_sql("p1lex", "p1", " ") + ",\n" + _scored_sql("p1un", "p2") + ",\n"
+    "lx AS (SELECT phrase FROM p1lex UNION SELECT phrase FROM p2lex)")
+
+
+@register("learn_lexicon", SEGMENT_SQL + " SELECT phrase, len(string_split(phrase, ' '))::INTEGER AS n_tokens FROM lx")
+def q_learn_lexicon(spark, sf):
+    """Units of two to four tokens, learned in two passes."""
+    return PH.learn_lexicon(FX.prepared(spark, sf))
+
+
+@register("segment_words", SEGMENT_SQL + ",\n" + _units_sql("lx", "p3", "_") +
+          " SELECT pre.doc_id, coalesce(array_to_string(p3un.t, ' '), '') AS clean FROM pre LEFT JOIN p3un ON pre.doc_id = p3un.doc_id")
 def q_segment_words(spark, sf):
-    """Documents rewritten with the learned phrases joined by "_"."""
-    pre = FX.prepared(spark, sf)
-    lex = cut_lineage(PH.learn_phrases(pre, 5, 5.0, 10.0))
-    return PH.segment_words(pre, lex).select("doc_id", "clean")
+    """Documents as tokens, units of up to four of them joined by "_", punctuation kept."""
+    pre = cut_lineage(FX.prepared(spark, sf))
+    return PH.segment_words(pre, PH.learn_lexicon(pre)).select("doc_id", "clean")
 
 
 @register("fuzzy_graph")
@@ -974,6 +1052,34 @@ def q_fuzzy_graph(spark, sf):
     return NB.fuzzy_graph(NB.knn(_embeddings(spark, sf), 4, 64, metric="cosine"))
 
 
+def _event_stream(spark, sf, tz):
+    """The events as a stream of doc_id and ts."""
+    ev_schema = _table(spark, sf, "events").schema
+    # wall-clock (NTZ) -> the instant of that wall-clock in UTC, so 7-day windows align to Mondays
+    return (spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet").parquet(sf.rstrip("/"))
+                 .select(_event_doc(spark, sf).alias("doc_id"), F.to_utc_timestamp(F.col("ts").cast("timestamp"), tz).alias("ts")))
+
+
+@register("negative_spikes_stream",
+          TREND_SQL + ", sm AS (SELECT DISTINCT topic FROM ft WHERE topic % 4 IN (0, 1) AND topic <> -1)\n"
+          "SELECT topic, period::DATE::VARCHAR AS period, count, round(tm, 6) AS trailing_mean, "
+          "(tm IS NOT NULL AND count >= 1.5 * tm) AS spike FROM (SELECT *, avg(count) OVER (PARTITION BY topic ORDER BY period "
+          "ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS tm FROM tr WHERE topic IN (SELECT topic FROM sm)) "
+          "WHERE period + INTERVAL 7 DAY <= (SELECT max(ts) FROM events) - INTERVAL 14 DAY")
+def q_negative_spikes_stream(spark, sf):
+    """Negative spikes of the weeks that the watermark has passed, found as they close."""
+    from ..streaming import negative_spikes_stream
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    topics = cut_lineage(FX.fixture_topics(spark, sf))
+    joined = _event_stream(spark, sf, tz).join(topics, "doc_id")
+    some = topics.select("topic").distinct().filter(F.col("topic") != TP.NOISE)
+    summ = cut_lineage(S.parse_replies(some.select("topic", FX.canned_reply_topic("topic").alias("response"))))
+    out = scratch_path(spark, "spikes")
+    negative_spikes_stream(joined, summ, out, scratch_path(spark, "spikes-state"), scratch_path(spark, "spikes-ckpt"), 1.5, 2).awaitTermination()
+    period = F.to_date(F.from_utc_timestamp("period", tz)).cast("string")
+    return spark.read.parquet(out).select("topic", period.alias("period"), "count", r6("trailing_mean").alias("trailing_mean"), "spike")
+
+
 @register("weekly_counts_stream",
           TREND_SQL + "SELECT topic, period::DATE::VARCHAR AS period, count FROM per "
           "WHERE period + INTERVAL 7 DAY <= (SELECT max(ts) FROM events) - INTERVAL 14 DAY")
@@ -982,12 +1088,8 @@ def q_weekly_counts_stream(spark, sf):
     the static topic table, 7-day windows aligned to Mondays, event-time watermark.
     Append mode: a week is written once, when the watermark has passed it."""
     from ..streaming import weekly_counts_stream
-    ev_schema = _table(spark, sf, "events").schema
     tz = spark.conf.get("spark.sql.session.timeZone")
-    # wall-clock (NTZ) -> the instant of that wall-clock in UTC, so 7-day windows align to Mondays
-    stream = (spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet").parquet(sf.rstrip("/"))
-                   .select(_event_doc(spark, sf).alias("doc_id"), F.to_utc_timestamp(F.col("ts").cast("timestamp"), tz).alias("ts")))
-    joined = stream.join(FX.fixture_topics(spark, sf), "doc_id")
+    joined = _event_stream(spark, sf, tz).join(FX.fixture_topics(spark, sf), "doc_id")
     out = scratch_path(spark, "weekly")
     counts = weekly_counts_stream(joined, "ts", "topic", "14 days")
 
@@ -1003,4 +1105,4 @@ def q_weekly_counts_stream(spark, sf):
 @register("density_cluster_eom")
 def q_density_cluster_eom(spark, sf):
     """Hierarchical density clusters with excess-of-mass selection."""
-    return CL.density_cluster_exact(_hashed(spark, sf), HASH_DIM, 5, 3, method="eom")
+    return CL.density_cluster_tree(_hashed(spark, sf), 5, 3, method="eom").drop("strength")

@@ -91,11 +91,36 @@ def scratch_scope(spark: SparkSession):
     try:
         yield
     finally:
-        sc = spark.sparkContext
-        for path in _SCRATCH[first:]:
-            place = sc._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
-        del _SCRATCH[first:]
+        drop_scratch(spark, _SCRATCH[first:])
+
+
+def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Remove tables that were written under ``scratch_path`` and are read no more."""
+    sc = spark.sparkContext
+    for path in paths:
+        place = sc._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
+        if path in _SCRATCH:
+            _SCRATCH.remove(path)
+
+
+class ScratchOfSteps:
+    """Scratch tables of the last of a row of steps, each of whose results is stored before the next begins.
+
+    ``with steps.next(spark): ...`` removes what the step before left.
+    """
+
+    def __init__(self) -> None:
+        self._left: list[str] = []
+
+    @contextmanager
+    def next(self, spark: SparkSession):
+        drop_scratch(spark, self._left)
+        first = len(_SCRATCH)
+        try:
+            yield
+        finally:
+            self._left = _SCRATCH[first:]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def test_hierarchy_leaves_are_disjoint_and_large(spark):
         for i in range(25):
             pts.append((len(pts), [x + rnd.gauss(0, 0.08), y + rnd.gauss(0, 0.08)]))
     df = spark.createDataFrame(pts, "doc_id long, vec array<double>")
-    out = CL.density_cluster(df, 2, min_cluster_size=5, min_samples=3, max_eps=10.0, n_levels=16).collect()
+    out = CL.density_cluster_tree(df, 5, 3).collect()
     labels = {r.doc_id: r.cluster for r in out}
     clusters = {}
     for i, c in labels.items():
@@ -155,7 +155,7 @@ def test_hierarchy_eom_prefers_stable_parent(spark):
         for i in range(25):
             pts.append((len(pts), [x + rnd.gauss(0, 0.08), y + rnd.gauss(0, 0.08)]))
     df = spark.createDataFrame(pts, "doc_id long, vec array<double>")
-    out = CL.density_cluster(df, 2, 5, 3, max_eps=10.0, n_levels=16, method="eom").collect()
+    out = CL.density_cluster_tree(df, 5, 3, method="eom").collect()
     clusters = {}
     for r in out:
         if r.cluster != -1:

@@ -24,7 +24,7 @@ def test_hierarchy_has_a_row_per_point_for_any_id(spark, first):
 
     def run(start):
         df = spark.createDataFrame([(start + i, p) for i, p in enumerate(points)], "doc_id long, vec array<double>")
-        got = CL.density_cluster(df, 2, 5, 3, max_eps=2.0, n_levels=4).collect()
+        got = CL.density_cluster_tree(df, 5, 3).collect()
         assert len(got) == len(points)
         return sorted((r.doc_id - start, r.cluster - start if r.cluster != -1 else None) for r in got)
     assert run(first) == run(0)
@@ -37,23 +37,6 @@ def test_unfinished_rounds_raise(spark):
     assert {r.component for r in CL.connected_components(spark.range(0, 41), path).collect()} == {0}
 
 
-def test_block_neighbours_recall(spark):
-    rng = random.Random(1)
-    rows = []
-    for i in range(1200):  # clustered vectors, as embeddings are
-        c = random.Random(i % 60)
-        rows.append((i, [c.gauss(0, 1) + rng.gauss(0, 0.15) for _ in range(16)]))
-    df = spark.createDataFrame(rows, "doc_id long, vec array<double>")
-    got = {}
-    for r in NB.knn_blocks(df, 4, 16, directions=8, block=128).collect():
-        got.setdefault(r.src, set()).add(r.dst)
-    hits = 0
-    for i, v in rows[::10]:
-        near = sorted((math.dist(v, w), j) for j, w in rows if j != i)[:4]
-        hits += len(got[i] & {j for _, j in near})
-    assert hits / (4 * len(rows[::10])) >= 0.9
-
-
 def test_sources_by_suffix(spark, tmp_path):
     df = spark.createDataFrame([(i, f"text {i}") for i in range(7)], "doc_id long, text string")
     SK.write_feedback_csv(df, str(tmp_path / "a.csv"))
@@ -93,9 +76,9 @@ def test_workers_find_the_package_from_any_folder(tmp_path):
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     code = (f"import sys; sys.path.insert(0, {top!r})\n"
             "from feedlens.session import get_spark\n"
-            "from feedlens.operators.neighbors import knn_blocks\n"
+            "from feedlens.operators.lists import knn_lists\n"
             "s = get_spark('local[2]', partitions=2)\n"
             "d = s.createDataFrame([(i, [float(i), 1.0]) for i in range(9)], 'doc_id long, vec array<double>')\n"
-            "assert knn_blocks(d, 1, 2, 1, 4).count() == 9\n")
+            "assert knn_lists(d, 1).count() == 9\n")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=300)
