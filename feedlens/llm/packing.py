@@ -150,7 +150,7 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     sent = spark.sparkContext.broadcast({c: p[c].to_numpy(np.int64) for c in p})
     earlier = Window.partitionBy("length").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)
     before = by_lot.select("lot", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    ranked = cut.join(before, ["lot", "length"]).withColumn("rank", F.col("before") + F.col("turn")).drop("before")
+    ranked = cut.join(before.hint("merge"), ["lot", "length"]).withColumn("rank", F.col("before") + F.col("turn")).drop("before")
     at = ranked.columns.index
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,6 +24,8 @@ import bisect
 import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +38,8 @@ from .common import as_batches, bounded_batches, written
 from .files import filesystem, new_file, one_task_each
 
 END_ID = 1
-MAX_MEMO = 300_000
+MEMO_BYTES = 128 << 20  # of words, their ids and the table, in each of two generations
+_ENTRY = 150            # bytes that an entry takes besides
 _EVERY = 256
 _ONES = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
@@ -174,7 +177,15 @@ class ShardReader:
 
 
 #: Between a letter or digit and closing punctuation a match of the vocabulary's pattern always ends.
-_TAIL = re.compile(rb"(?<=[a-z0-9])(?=[.,;:!?]+(?:\s|\Z))")
+#: Stated from the punctuation, which is rare, so that the search skips from one to the next.
+_TAIL = re.compile(rb"[.,;:!?](?<=[a-z0-9].)[.,;:!?]*(?=\s|\Z)")
+
+
+#: Letters below this have no other normal form, and are small if they say so.
+_LATIN = "\u0250"
+#: What byte-level vocabularies write for a byte: itself if it is printable, else the next of the characters from U+0100.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {**{b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}, **{b: b for b in _PRINTABLE}}
 
 
 class WordEncoder:
@@ -192,8 +203,14 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # texts are cut at them here, what is left may only look so in lower case
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self._code = {2: "H", 4: "I"}[self.width]
+        self._merges = self.tokenizer.model.tokenize
+        probe = "straßeéo"  # whether the vocabulary's rules are those that the short way relies on
+        self._plain = sys.byteorder == "little" and [t.id for t in self._merges(probe.encode().decode("latin-1").translate(_BYTES))] == (
+            self.tokenizer.encode(probe, add_special_tokens=False).ids)
         self._memo: dict[bytes, bytes] = {}
         self._old: dict[bytes, bytes] = {}
+        self._held = 0
         # with a space before them: no word has one
         self._special = {b" " + t.content.encode(): int(i).to_bytes(self.width, "little")
                          for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
@@ -201,16 +218,30 @@ class WordEncoder:
 
     def _words(self, raw: bytes) -> list[bytes]:
         """The words of a text in lower case, and its special tokens, which are told by case."""
-        if not self._special:
-            return _TAIL.sub(b" ", raw.lower()).split()
+        if not any(t[1:] in raw for t in self._special):
+            return _TAIL.sub(rb" \g<0>", raw.lower()).split()
         parts = self._cut.split(raw)
-        words = _TAIL.sub(b" ", parts[0].lower()).split()
+        words = _TAIL.sub(rb" \g<0>", parts[0].lower()).split()
         for token, after in zip(parts[1::2], parts[2::2]):
             words.append(b" " + token)
-            words += _TAIL.sub(b" ", after.lower()).split()
+            words += _TAIL.sub(rb" \g<0>", after.lower()).split()
         return words
 
     def _learn(self, words: list[bytes]) -> None:
+        """Ids of new words; a word of plain small letters is one match of the pattern and goes to the merges alone."""
+        other = []
+        for w in words:
+            text = w.decode("utf-8")
+            if self._plain and text.isalpha() and text.islower() and max(text) < _LATIN:
+                ids = array(self._code, [t.id for t in self._merges(w.decode("latin-1").translate(_BYTES))]).tobytes()
+                self._memo[w] = ids
+                self._held += len(w) + len(ids) + _ENTRY
+            else:
+                other.append(w)
+        if other:
+            self._learn_others(other)
+
+    def _learn_others(self, words: list[bytes]) -> None:
         texts = [w.decode("utf-8") for w in words]
         begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
         made = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
@@ -221,20 +252,26 @@ class WordEncoder:
         for w, end in zip(words, ends.tolist()):
             self._memo[w] = ids[begin:end]
             begin = end
+        self._held += sum(map(len, words)) + len(ids) + _ENTRY * len(words)
 
     def encode(self, raws: list[bytes | None]) -> list[bytes]:
         """Ids of each text, ``width`` bytes each."""
-        texts = [self._words(raw or b"") for raw in raws]
-        if len(self._memo) > MAX_MEMO:  # what is used again moves from the old memo to the new
-            self._old, self._memo = self._memo, {}
+        if self._held > MEMO_BYTES:  # what is used again moves from the old memo to the new
+            self._old, self._memo, self._held = self._memo, {}, 0
         self._memo.update(self._special)
-        new = set().union(*texts) - self._memo.keys()
+        texts = [self._words(raw or b"") for raw in raws]
+        out = [list(map(self._memo.get, words)) for words in texts]
+        short = [i for i, ids in enumerate(out) if None in ids]
+        new = {w for i in short for w, ids in zip(texts[i], out[i]) if ids is None}
         known = new & self._old.keys()
         self._memo.update((w, self._old[w]) for w in known)
+        self._held += sum(len(w) + len(self._old[w]) + _ENTRY for w in known)
         rest = sorted(new - known)
         for at in range(0, len(rest), 2000):
             self._learn(rest[at: at + 2000])
-        return [b"".join(map(self._memo.__getitem__, words)) for words in texts]
+        for i in short:
+            out[i] = map(self._memo.__getitem__, texts[i])
+        return [b"".join(ids) for ids in out]
 
 
 _encoders: dict[str, WordEncoder] = {}
