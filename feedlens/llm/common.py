@@ -2,13 +2,14 @@
 from __future__ import annotations
 
 import os
+import weakref
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, table  # noqa: F401  (table is re-exported for the queries)
+from ..session import drop_scratch, scratch_path, table  # noqa: F401  (table is re-exported for the queries)
 
 #: A word: a run of characters other than ASCII white space.  ``bytes.split()``
 #: without arguments cuts UTF-8 text at exactly these characters.
@@ -34,7 +35,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[id(back)] = (weakref.ref(back), path)
+    return back
+
+
+_paths: dict[int, tuple] = {}
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Remove the files of tables that came from ``written`` and that nothing reads any more."""
+    for t in tables:
+        ref, path = _paths.pop(id(t), (None, None))
+        if ref is not None and ref() is t:
+            drop_scratch(t.sparkSession, [path])
 
 
 def text_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:

@@ -9,22 +9,26 @@ only those are posted, and values that occur once are skipped.  Collisions are
 counted for pairs that meet in a list; pairs at or above the match threshold
 are confirmed on their full shingle sets.
 
-A list is not expanded into all its pairs.  Rounds first compare every member
-with one hub of its list; classes that are linked by then are one component,
-and a pair inside a component can't change the result.  When hubs stop helping,
-what is left are pairs between different components in one list.  Lists of up
-to SHORT members are joined with themselves.  Longer ones are dealt out in
-blocks of members outside the list's largest component against blocks of all
-its members; a task counts the collisions of a pair of blocks, confirms on full
-sets, and only links leave it.  So no link between components is lost, up to
-the chance that a pair with similarity 0.75 agrees in fewer than MATCHES places
-(2e-7).
+A list is not expanded into all its pairs.  HUB_ROUNDS times every member of a
+list meets HUBS of its members; classes that are linked by then are one
+component, a pair inside a component can't change the result, and lists that
+lie in one component are closed, as are those in which hubs met everybody.  What is left are pairs between different
+components in one list.  Those are dealt out in blocks of members outside the
+list's largest component against blocks of all its members.  Blocks hold
+signatures; only for members that agree with somebody do texts travel to the
+block, where full sets are compared, and only links leave it.  So no link
+between components is lost, up to the chance that a pair with similarity 0.75
+agrees in fewer than MATCHES places (2e-7, were the coordinates independent).
+
+Sets are compared by 64-bit hashes of their shingles; two shingles of a pair of
+texts of a million words share one with a chance of 1e-7.
 
 Defined results: documents without words have an empty set, link with nothing
 and are kept; a document with fewer than five words has its whole sequence as
 its one shingle; rows repeating an id are one document if their sets are equal;
-a null id can't name a component, so its row links with nothing, has a null
-component and is kept; an empty table gives an empty result.
+rows without an id take part like others, are told apart by their texts, name a
+component (as null) only if none of it has an id, and one text of them is kept
+then; an empty table gives an empty result.
 """
 from __future__ import annotations
 
@@ -35,15 +39,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, text_bytes, written
+from .common import bounded_batches, discard, text_bytes, written
 
 WORDS = 5
 SIMILARITY = (75, 100)
 COORDINATES, MATCHES = 48, 20
-SHORT, BLOCK = 64, 256
+HUB_ROUNDS, HUBS = 2, 4
+BLOCK = 256
 _SEED = 20240229
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(_SEED)
@@ -74,72 +79,89 @@ def shingle_set(raw: bytes | None, k: int = WORDS) -> np.ndarray:
     return np.unique(s)
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def signature(s: np.ndarray) -> np.ndarray:
-    """The minimum of each of COORDINATES random linear maps of the set, its high 32 bits as int32."""
+    """The minimum of each of COORDINATES random linear maps of the set, as int64.
+
+    A minimum of n hashes lies near 2^64 / n, so it is mixed once more, with its
+    coordinate: all 64 bits then tell values apart, also those of two coordinates.
+    """
     least = None
     for at in range(0, len(s), 1024):
         part = (s[None, at: at + 1024] * _FACTORS[:, None] + _SHIFTS[:, None]).min(axis=1)
         least = part if least is None else np.minimum(least, part)
-    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return _mixed(least ^ _SHIFTS).view(np.int64)
 
 
 def class_key(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
+def nameless(id_col, text_col):
+    """What tells rows without an id apart: null for rows that have one."""
+    return F.when(id_col.isNull(), F.md5(F.coalesce(text_col, F.lit("")).cast("binary")))
+
+
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Written: ``id, n, cls, sig`` per row; ``cls`` names the shingle set, null for an empty one or a null id."""
+    """Written: ``id, mark, n, cls, sig`` per row; ``cls`` names the shingle set, null for an empty one."""
     bounded_batches(docs.sparkSession)
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    src = docs.select(F.col(id_col).alias("id"), nameless(F.col(id_col), F.col(text_col)).alias("mark"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
             n, cls, sig = [], [], []
-            for i, raw in enumerate(text_bytes(batch, "text")):
+            for raw in text_bytes(batch, "text"):
                 s = shingle_set(raw)
-                named = len(s) > 0 and ids[i].is_valid
                 n.append(len(s))
-                cls.append(class_key(s) if named else None)
-                sig.append(signature(s) if named else None)
+                cls.append(class_key(s) if len(s) else None)
+                sig.append(signature(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.list_(pa.int32()))],
-                names=["id", "n", "cls", "sig"])
+                [*batch.columns[:2], pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.list_(pa.int64()))],
+                names=["id", "mark", "n", "cls", "sig"])
 
     kind = src.schema["id"].dataType.simpleString()
-    return written(src.mapInArrow(run, f"id {kind}, n bigint, cls binary, sig array<int>"), "signatures")
+    return written(src.mapInArrow(run, f"id {kind}, mark string, n bigint, cls binary, sig array<bigint>"), "signatures")
 
 
 def prefix_postings(classes: DataFrame) -> DataFrame:
-    """``coord, value, cls``: each class under its rarest shared coordinate values, values that occur once skipped."""
-    every = classes.select("cls", F.posexplode("sig").alias("coord", "value"))
-    shared = written(every.groupBy("coord", "value").agg(F.count("*").alias("df")).where("df > 1"), "coordinate-counts")
-    own = every.join(shared, ["coord", "value"]).groupBy("cls").agg(
+    """``coord, value, num``: each class under its rarest shared coordinate values, values that occur once skipped."""
+    every = classes.select("num", F.posexplode("sig").alias("coord", "value"))
+    shared = written(every.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "coordinate-counts")
+    own = every.join(shared, "value").groupBy("num").agg(
         F.sort_array(F.collect_list(F.struct("df", "coord", "value"))).alias("all"))  # at most COORDINATES a class
     # the coordinates that nothing else has come first in the prefix
     room = F.lit(COORDINATES - MATCHES + 1) - (F.lit(COORDINATES) - F.size("all"))
-    kept = own.where(room > 0).select("cls", F.explode(F.slice("all", 1, room)).alias("p"))
-    return kept.select(F.col("p.coord").alias("coord"), F.col("p.value").alias("value"), "cls")
+    kept = own.where(room > 0).select("num", F.explode(F.slice("all", 1, room)).alias("p"))
+    post = written(kept.select(F.col("p.coord").alias("coord"), F.col("p.value").alias("value"), "num"), "prefixes")
+    # near copies share most of their lists: of lists with the same members one is enough; members are told by two sums of hashes
+    sets = post.groupBy("value").agg(F.count("*").alias("m"), F.sum(F.xxhash64("num").cast("decimal(20,0)")).alias("s1"),
+                                     F.sum(F.xxhash64(F.lit(1), "num").cast("decimal(20,0)")).alias("s2")).where("m > 1")
+    one = sets.groupBy("m", "s1", "s2").agg(F.min("value").alias("value")).select("value")
+    return post.join(one, "value", "left_semi")
 
 
-def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose signatures agree often enough and whose full sets reach the similarity.
 
-    ``texts`` has ``cls, sig, text`` once per class.  Collisions are counted
-    before any text moves.
+    ``nodes`` has ``num, sig`` and ``texts`` has ``num, text`` once per class.
+    Collisions are counted before any text moves.
     """
-    sig = texts.select("cls", "sig")
-    near = (pairs.join(sig.withColumnsRenamed({"cls": "a", "sig": "sa"}), "a")
-            .join(sig.withColumnsRenamed({"cls": "b", "sig": "sb"}), "b"))
+    sig = nodes.select("num", "sig")
+    near = (pairs.join(sig.withColumnsRenamed({"num": "a", "sig": "sa"}), "a")
+            .join(sig.withColumnsRenamed({"num": "b", "sig": "sb"}), "b"))
     agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
     near = near.where(agree >= MATCHES).select("a", "b")
-    full = texts.select("cls", "text")
-    both = (near.join(full.withColumnsRenamed({"cls": "a", "text": "ta"}), "a")
-            .join(full.withColumnsRenamed({"cls": "b", "text": "tb"}), "b"))
+    both = (near.join(texts.withColumnsRenamed({"num": "a", "text": "ta"}), "a")
+            .join(texts.withColumnsRenamed({"num": "b", "text": "tb"}), "b"))
     num, den = SIMILARITY
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[bytes, np.ndarray] = {}
+        memo: dict[int, np.ndarray] = {}
         for batch in batches:
             hit = []
             for a, b, ta, tb in zip(*(batch.column(i).to_pylist() for i in range(2)),
@@ -157,7 +179,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 hit.append(den * common >= num * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
+    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint")
 
 
 def fewer_links(links: DataFrame) -> DataFrame:
@@ -171,53 +193,51 @@ def fewer_links(links: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``cls, comp`` for every node of ``links`` (``a, b``): comp is the smallest node reachable.
+    """Written: ``num, comp`` for every node of ``links`` (``a, b``): comp is the smallest node reachable.
 
     Each round a node takes the smallest label among its neighbours and then
     its label's own label, so paths halve; a written table ends each round.
     """
     both = written(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct(), "links")
     label = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp"))
-                    .withColumnRenamed("a", "cls"), "labels")
+                    .withColumnRenamed("a", "num"), "labels")
     while True:
-        heard = (both.join(label.withColumnRenamed("cls", "b"), "b").groupBy("a").agg(F.min("comp").alias("heard"))
-                 .withColumnRenamed("a", "cls"))
-        best = label.join(heard, "cls").select("cls", F.col("comp").alias("old"), F.least("comp", "heard").alias("comp"))
-        best = written(best, "labels")
-        jump = best.select(F.col("cls").alias("comp"), F.col("comp").alias("far"))
-        label = written(best.join(jump, "comp").select("cls", F.least("comp", "far").alias("comp"), "old"), "labels")
-        if label.where("comp <> old").isEmpty():
-            return label.select("cls", "comp")
-        label = label.select("cls", "comp")
-
-
-def long_list_links(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between different components of long lists, found block by block.
-
-    ``members`` has ``coord, value, cls, comp`` and per list ``all`` (members),
-    ``giant`` (its largest component) and ``outside`` (members not in it);
-    ``texts`` has ``cls, sig, text, posted, n``.  A pair is looked at in the
-    first list that it shares only.
+        heard = (both.join(label.withColumnRenamed("num", "b"), "b").groupBy("a").agg(F.min("comp").alias("heard"))
+                 .withColumnRenamed("a", "num"))
+        best = written(label.join(heard, "num").select("num", F.col("comp").alias("old"), F.least("comp", "heard").alias("comp")), "labels")
+        jump = best.select(F.col("num").alias("comp"), F.col("comp").alias("far"))
+        new = written(best.join(jump, "comp").select("num", F.least("comp", "far").alias("comp"), "old"), "labels")
+        discard(best, label)
+        label = new
+        if new.where("comp <> old").isEmpty():
+            discard(both)
+            return new
+
+
+def block_links(members: DataFrame, lists: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between different components of a list, found block by block.
+
+    ``members`` has ``value, coord, num, comp``; ``lists`` has per open list
+    ``all`` (members), ``giant`` (its largest component) and ``outside``
+    (members not in it); ``nodes`` has ``num, n, sig, posted``.  A pair is
+    looked at in the first list that it shares only.  First signatures meet;
+    texts follow the members that agree with another one of the block.
     """
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    turn = F.xxhash64("cls")
-    keys = ["coord", "value", "lb", "rb"]
-    m = members.withColumns({"lbs": blocks("outside"), "rbs": blocks("all")})
+    turn = F.xxhash64("num")
+    keys = ["value", "lb", "rb"]
+    m = members.join(lists, "value").withColumns({"lbs": blocks("outside"), "rbs": blocks("all")})
     left = m.where("comp <> giant").select(
-        "coord", "value", "cls", "comp", F.pmod(turn, "lbs").cast("int").alias("lb"),
+        "coord", "value", "num", "comp", F.pmod(turn, "lbs").cast("int").alias("lb"),
         F.explode(F.sequence(F.lit(0), F.col("rbs") - 1)).alias("rb"), F.lit(True).alias("outer"), F.lit(True).alias("is_left"))
     right = m.select(
-        "coord", "value", "cls", "comp", F.explode(F.sequence(F.lit(0), F.col("lbs") - 1)).alias("lb"),
+        "coord", "value", "num", "comp", F.explode(F.sequence(F.lit(0), F.col("lbs") - 1)).alias("lb"),
         F.pmod(turn, "rbs").cast("int").alias("rb"), (F.col("comp") != F.col("giant")).alias("outer"), F.lit(False).alias("is_left"))
-    rows = left.select(*right.columns).union(right).join(texts, "cls")
+    rows = left.select(*right.columns).union(right).join(nodes.select("num", "n", "sig", "posted"), "num")
     num, den = SIMILARITY
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf[pdf["is_left"]].reset_index(drop=True), pdf[~pdf["is_left"]].reset_index(drop=True)
-        none = pd.DataFrame({"a": [], "b": []})
-        if not len(a) or not len(b):
-            return none
-        here = int(pdf["coord"].iloc[0])
+    def wanted(a: pd.DataFrame, b: pd.DataFrame, here: int) -> np.ndarray:
+        """Which pairs of the two sides must be compared on their sets in this list."""
         sa, sb = np.stack(a["sig"].to_numpy()), np.stack(b["sig"].to_numpy())
         pa_, pb = a["posted"].to_numpy(), b["posted"].to_numpy()
         agree, earlier = np.zeros((len(a), len(b)), np.int16), np.zeros((len(a), len(b)), bool)
@@ -227,19 +247,33 @@ def long_list_links(members: DataFrame, texts: DataFrame) -> DataFrame:
             if k < here:
                 earlier |= same & ((pa_ >> k) & 1).astype(bool)[:, None] & ((pb >> k) & 1).astype(bool)[None, :]
         na, nb = a["n"].to_numpy()[:, None], b["n"].to_numpy()[None, :]
-        ca, cb = a["cls"].to_numpy(), b["cls"].to_numpy()
         want = (agree >= MATCHES) & ~earlier & (den * np.minimum(na, nb) >= num * np.maximum(na, nb))
         want &= a["comp"].to_numpy()[:, None] != b["comp"].to_numpy()[None, :]
-        want &= ~b["outer"].to_numpy()[None, :] | (ca[:, None] < cb[None, :])  # two outsiders meet twice
-        i, j = np.flatnonzero(want.any(axis=1)), np.flatnonzero(want.any(axis=0))
-        if not len(i):
-            return none
-        common = shared_counts([shingle_set(a["text"][x].encode()) for x in i], [shingle_set(b["text"][x].encode()) for x in j])
-        hit = want[np.ix_(i, j)] & (den * common >= num * (na[i] + nb[:, j] - common))
-        x, y = np.nonzero(hit)
-        return pd.DataFrame({"a": ca[i[x]], "b": cb[j[y]]})
+        # two outsiders meet twice
+        return want & (~b["outer"].to_numpy()[None, :] | (a["num"].to_numpy()[:, None] < b["num"].to_numpy()[None, :]))
+
+    def sides(pdf: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        return pdf[pdf["is_left"]].reset_index(drop=True), pdf[~pdf["is_left"]].reset_index(drop=True)
 
-    return rows.groupBy(*keys).applyInPandas(compare, "a binary, b binary")
+    def screen(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = sides(pdf)
+        if not len(a) or not len(b):
+            return pdf.iloc[:0]
+        want = wanted(a, b, int(pdf["coord"].iloc[0]))
+        return pd.concat([a[want.any(axis=1)], b[want.any(axis=0)]])
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = sides(pdf)
+        if not len(a) or not len(b):
+            return pd.DataFrame({"a": [], "b": []})
+        want = wanted(a, b, int(pdf["coord"].iloc[0]))
+        na, nb = a["n"].to_numpy()[:, None], b["n"].to_numpy()[None, :]
+        common = shared_counts([shingle_set(t.encode()) for t in a["text"]], [shingle_set(t.encode()) for t in b["text"]])
+        x, y = np.nonzero(want & (den * common >= num * (na + nb - common)))
+        return pd.DataFrame({"a": a["num"].to_numpy()[x], "b": b["num"].to_numpy()[y]})
+
+    near = written(rows.groupBy(*keys).applyInPandas(screen, rows.schema), "block-members")
+    return near.join(texts, "num").groupBy(*keys).applyInPandas(compare, "a bigint, b bigint")
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -262,97 +296,99 @@ def table_of(sets: list[np.ndarray], shingles: np.ndarray) -> np.ndarray:
 
 
 def links(classes: DataFrame, texts_of) -> DataFrame | None:
-    """``cls, comp`` of the linked classes, or None if nothing is linked."""
+    """``num, comp`` of the linked classes, or None if nothing is linked."""
     post = written(prefix_postings(classes), "postings")
     if post.isEmpty():
         return None
-    posted = written(post.groupBy("cls").agg(F.sum(F.expr("shiftleft(1L, coord)")).alias("posted")), "posted")
-    texts = written(texts_of(posted), "posted-texts")
-    post = written(post.join(texts.select("cls", "n"), "cls"), "postings")
-    found, comp, left, turn = None, None, None, 0
-    lists = ["coord", "value"]
+    posted = post.groupBy("num").agg(F.sum(F.expr("shiftleft(1L, coord)")).alias("posted"))
+    nodes = written(classes.join(posted, "num"), "posted-classes")
+    texts = written(texts_of(nodes), "posted-texts")
+    nodes_n = nodes.select("num", "n")
+    found = comp = members = None
     num, den = SIMILARITY
-    while True:
-        labelled = post.withColumn("comp", F.col("cls")) if comp is None else post.join(comp, "cls", "left").withColumn(
-            "comp", F.coalesce("comp", "cls"))
-        parts = labelled.groupBy(*lists, "comp").agg(F.count("*").alias("m"))
-        # pairs between different components: what is left to compare
-        sizes = parts.groupBy(*lists).agg(
-            F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("same"), F.count("*").alias("comps"),
-            F.max_by("comp", "m").alias("giant"), F.max("m").alias("largest")).where("comps > 1")
-        open_lists = written(sizes.select(*lists, "all", "giant", (F.col("all") - F.col("largest")).alias("outside"),
-                                          ((F.col("all") * F.col("all") - F.col("same")) / 2).alias("cross")), "open-lists")
-        cross, n_open = open_lists.agg(F.coalesce(F.sum("cross"), F.lit(0.0)), F.count("*")).first()
-        if not n_open:
-            return comp
-        members = written(labelled.join(open_lists, lists), "members")
-        last = cross <= 4 * members.count() or (left is not None and 2 * cross > left and turn > 1)
-        if last:
-            short = members.where(F.col("all") <= SHORT).select(*lists, "cls", "comp", "n")
-            other = short.withColumnsRenamed({"cls": "b", "comp": "comp_b", "n": "nb"})
-            pairs = short.withColumnRenamed("cls", "a").join(other, lists).where(
-                (F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b"))
-                & (den * F.least("n", "nb") >= num * F.greatest("n", "nb")))
-            new = confirm(pairs.select("a", "b").distinct(), texts).union(
-                long_list_links(members.where(F.col("all") > SHORT), texts))
-        else:  # one hub a list, another one each round; members that are in its component already don't meet it
-            order = F.xxhash64(F.lit(turn), "cls")
-            first = written(members.groupBy(*lists).agg(F.min(order).alias("first")), "hubs")
-            hubs = written(members.select(*lists, "cls", "comp", "n", order.alias("first")).join(first, [*lists, "first"]).select(
-                *lists, F.col("cls").alias("hub"), F.col("comp").alias("comp_h"), F.col("n").alias("nb")), "hubs")
-            pairs = members.select(*lists, "cls", "comp", "n").join(hubs, lists).where(
-                (F.col("comp") != F.col("comp_h")) & (den * F.least("n", "nb") >= num * F.greatest("n", "nb")))
-            new = confirm(pairs.select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct(), texts)
+    for turn in range(HUB_ROUNDS + 1):
+        labelled = post.withColumn("comp", F.col("num")) if comp is None else post.join(comp.select("num", "comp"), "num", "left").withColumn(
+            "comp", F.coalesce("comp", "num"))
+        labelled = written(labelled, "labelled")
+        discard(members)
+        parts = labelled.groupBy("value", "comp").agg(F.count("*").alias("m"))
+        # lists with pairs between different components: what is left to compare
+        lists = written(parts.groupBy("value").agg(
+            F.sum("m").alias("all"), F.count("*").alias("comps"), F.max_by("comp", "m").alias("giant"), F.max("m").alias("largest"))
+            .where("comps > 1").where(F.lit(turn == 0) | (F.col("all") > HUBS + 1)).select("value", "all", "giant", (F.col("all") - F.col("largest")).alias("outside")), "open-lists")
+        members = written(labelled.join(lists.select("value"), "value", "left_semi"), "members")
+        discard(labelled, post)
+        if members.isEmpty():
+            break
+        if turn < HUB_ROUNDS:  # members that are in a hub's component already don't meet it
+            first = Window.partitionBy("value").orderBy(F.xxhash64(F.lit(turn), "num"), "num")
+            hubs = members.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= HUBS).select(
+                "value", F.col("num").alias("b"), F.col("comp").alias("comp_b"))
+            hubs = written(hubs.join(nodes_n.withColumnsRenamed({"num": "b", "n": "nb"}), "b"), "hubs")
+            pairs = members.join(hubs, "value").where("comp <> comp_b").select(
+                F.col("num").alias("a"), "b", "nb").distinct().join(nodes_n.withColumnRenamed("num", "a"), "a").where(
+                den * F.least("n", "nb") >= num * F.greatest("n", "nb"))
+            new = confirm(written(pairs.select("a", "b"), "hub-pairs"), nodes, texts)
+        else:
+            new = block_links(members, lists, nodes, texts)
         new = fewer_links(written(new, "confirmed"))
         found = new if found is None else found.union(new)
         if not found.isEmpty():
             comp = components(found)
             # what stands for the links from now on: each node with its component
-            found = written(comp.where("cls <> comp").select(F.col("cls").alias("a"), F.col("comp").alias("b")), "links")
-        if last:
-            return comp
-        left, turn = cross, turn + 1
+            found = comp.where("num <> comp").select(F.col("num").alias("a"), F.col("comp").alias("b"))
+        post = members.select("coord", "value", "num")
+    discard(texts)
+    return comp
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id, n_shingles, component_id, kept``; see the module for defined results."""
+    return _components(docs, id_col, text_col).drop("mark")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     sigs = signatures(docs, id_col, text_col)
     classes = written(sigs.where("cls is not null").groupBy("cls").agg(
-        F.min("id").alias("rep"), F.first("sig").alias("sig"), F.first("n").alias("n")), "classes")
+        F.min("id").alias("rep"), F.min("mark").alias("rep_mark"), F.first("sig").alias("sig"), F.first("n").alias("n"))
+        .withColumn("num", F.monotonically_increasing_id()), "classes")
 
     def texts_of(wanted: DataFrame) -> DataFrame:
-        # one text a class: rows of the representative's id whose set is the class's
-        reps = classes.join(wanted, "cls")
-        rows = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).join(reps, "rep")
+        # one text a class: rows of the representative whose set is the class's
+        reps = wanted.select("num", "cls", F.col("rep").alias("id"), F.when(F.col("rep").isNull(), F.col("rep_mark")).alias("mark"))
+        rows = docs.select(F.col(id_col).alias("id"), nameless(F.col(id_col), F.col(text_col)).alias("mark"), F.col(text_col).alias("text"))
+        same_row = rows["id"].eqNullSafe(reps["id"]) & rows["mark"].eqNullSafe(reps["mark"])
 
         def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ok = [class_key(shingle_set(raw)) == c for raw, c in zip(
-                    text_bytes(batch, "text"), batch.column(batch.schema.get_field_index("cls")).to_pylist())]
-                yield batch.filter(pa.array(ok, pa.bool_()))
+                ok = [class_key(shingle_set(raw)) == c for raw, c in zip(text_bytes(batch, "text"), batch.column(2).to_pylist())]
+                yield batch.filter(pa.array(ok, pa.bool_())).select(["num", "text"])
 
-        rows = rows.select("cls", "sig", "text", "posted", "n")
-        return rows.mapInArrow(same, rows.schema).dropDuplicates(["cls"])
+        met = rows.join(reps, same_row).select("num", "text", "cls")
+        return met.mapInArrow(same, "num bigint, text string").dropDuplicates(["num"])
 
     comp = links(classes, texts_of)
-    names = classes.select("cls", "rep")
+    names = classes.select("cls", "rep", "rep_mark", "num")
     if comp is not None:
-        names = names.join(comp, "cls", "left")
-        low = names.where("comp is not null").groupBy("comp").agg(F.min("rep").alias("low"))
-        names = names.join(low, "comp", "left").select("cls", F.coalesce("low", "rep").alias("rep"))
-    names = written(names, "component-names")  # a table of its own, so that AQE can split a hot class's rows
-    out = sigs.select("id", "n", "cls").join(names, "cls", "left")
-    component = F.coalesce("rep", "id")
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+        names = names.join(comp.select("num", "comp"), "num", "left")
+        low = names.where("comp is not null").groupBy("comp").agg(F.min("rep").alias("low"), F.min("rep_mark").alias("low_mark"))
+        names = names.join(low, "comp", "left").select("cls", F.when(F.col("comp").isNull(), F.col("rep")).otherwise(F.col("low")).alias("rep"),
+                                                       F.when(F.col("comp").isNull(), F.col("rep_mark")).otherwise(F.col("low_mark")).alias("rep_mark"))
+    names = written(names.select("cls", "rep", "rep_mark"), "component-names")  # a table of its own, so that AQE can split a hot class's rows
+    out = sigs.select("id", "mark", "n", "cls").join(names, "cls", "left")
+    component = F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("rep"))
+    kept = F.when(F.col("cls").isNull(), True).when(F.col("rep").isNull(), F.col("mark") == F.col("rep_mark")).otherwise(
+        F.coalesce(F.col("id") == F.col("rep"), F.lit(False)))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"), "mark")
 
 
 def keep_first_of_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns.
 
-    Rows that share an id share its fate: they stay if one of them is kept, so
-    that no group loses its document.
+    Rows that share an id (without one: a text) share its fate: they stay if
+    one of them is kept, so that no group loses its document.
     """
-    drop = near_dedup(docs, id_col, text_col).groupBy("doc_id").agg(F.max("kept").alias("any")).where(
-        "not any").select(F.col("doc_id").alias("__near_dropped"))
-    return docs.join(drop, F.col(id_col) == F.col("__near_dropped"), "left_anti")
+    drop = _components(docs, id_col, text_col).groupBy("doc_id", "mark").agg(F.max("kept").alias("any")).where(
+        "not any").select(F.col("doc_id").alias("__near_id"), F.col("mark").alias("__near_mark"))
+    same = F.col(id_col).eqNullSafe(F.col("__near_id")) & nameless(F.col(id_col), F.col(text_col)).eqNullSafe(F.col("__near_mark"))
+    return docs.join(drop, same, "left_anti")

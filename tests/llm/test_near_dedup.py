@@ -1,4 +1,5 @@
 """Near-dedup against all pairs compared directly."""
+import hashlib
 import random
 
 import pytest
@@ -22,16 +23,19 @@ def brute(rows):
     for i in range(len(rows)):
         for j in range(i):
             a, b = sets[i], sets[j]
-            if a and b and rows[i][0] is not None and rows[j][0] is not None and 100 * len(a & b) >= 75 * len(a | b):
+            if a and b and 100 * len(a & b) >= 75 * len(a | b):
                 parent[find(i)] = find(j)
-    low = {}
-    for i, (d, _) in enumerate(rows):
+    mark = lambda t: hashlib.md5((t or "").encode()).hexdigest()
+    low, low_mark = {}, {}
+    for i, (d, t) in enumerate(rows):
         if d is not None:
             low[find(i)] = min(low.get(find(i), d), d)
+        else:
+            low_mark[find(i)] = min(low_mark.get(find(i), mark(t)), mark(t))
     out = []
-    for i, (d, _) in enumerate(rows):
-        c = None if d is None else low[find(i)]
-        out.append((d, len(sets[i]), c, d == c if d is not None else True))
+    for i, (d, t) in enumerate(rows):
+        c = low.get(find(i)) if sets[i] else d
+        out.append((d, len(sets[i]), c, not sets[i] or (d == c if c is not None else mark(t) == low_mark[find(i)])))
     return sorted(out, key=repr)
 
 
@@ -61,9 +65,9 @@ def test_matches_all_pairs_with_chains_and_edges(spark):
     assert run(spark, rows) == brute(rows)
 
 
-@pytest.mark.parametrize("short, block", [(64, 256), (4, 16)])
-def test_hub_rounds_then_the_rest_equal_all_pairs(spark, monkeypatch, short, block):
-    monkeypatch.setattr(N, "SHORT", short)
+@pytest.mark.parametrize("rounds, block", [(2, 256), (1, 16), (0, 32)])
+def test_hub_rounds_then_the_rest_equal_all_pairs(spark, monkeypatch, rounds, block):
+    monkeypatch.setattr(N, "HUB_ROUNDS", rounds)
     monkeypatch.setattr(N, "BLOCK", block)
     rng = random.Random(5)
     words = [f"q{i}" for i in range(3000)]
@@ -77,6 +81,25 @@ def test_hub_rounds_then_the_rest_equal_all_pairs(spark, monkeypatch, short, blo
     assert run(spark, rows) == brute(rows)
 
 
+def test_rows_without_an_id_take_part(spark):
+    base = [f"n{i}" for i in range(40)]
+    near = lambda k: " ".join(base[:k] + ["other"] + base[k:])
+    rows = [(None, near(0)), (None, near(40)), (None, near(40)), (None, "z1 z2 z3"), (None, None), (5, "lone " * 9)]
+    assert run(spark, rows) == brute(rows)
+    rows += [(8, " ".join(base)), (9, near(39))]
+    assert run(spark, rows) == brute(rows)
+    df = spark.createDataFrame([(*r, "k") for r in rows[:4]], "doc_id long, text string, kept string")
+    assert len({r.text for r in N.keep_first_of_group(df).collect()}) == 2
+
+
+def test_values_of_a_signature_use_all_bits():
+    import numpy as np
+    rng = np.random.default_rng(2)
+    sigs = np.stack([N.signature(np.unique(rng.integers(0, 2**63, 3000, dtype=np.uint64))) for _ in range(400)])
+    assert len(np.unique(sigs)) == sigs.size  # no accidental matches, in one coordinate or between two
+    assert abs(float((sigs < 0).mean()) - 0.5) < 0.02
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 
