@@ -3,7 +3,8 @@
 The pieces are those of a fixed public vocabulary.  Each language has a
 probability for every piece; the probability of a word is the sum over all its
 segmentations into pieces, found by a forward algorithm, and that of a text the
-product over its words, its runs of letters (pieces don't cross them).  The probabilities
+product over its words, its runs of letters with their marks (pieces don't cross
+them).  The probabilities
 are expected piece counts over all segmentations of every training word (one
 forward-backward pass from pieces that all are alike), smoothed.
 
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +38,16 @@ CELLS = 1_000_000    # of the forward table that is worked on at once
 MARK = "▁"      # begins a word in the vocabulary
 
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_ASCII_LETTERS = re.compile("[a-z]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, lower-cased; digits, punctuation and white space say nothing about the language."""
-    return _LETTERS.findall(text.lower()) if text else []
+    """Runs of letters with their marks, lower-cased; digits, punctuation and white space say nothing about the language."""
+    if not text:
+        return []
+    low = text.lower()
+    return (_ASCII_LETTERS if low.isascii() else _LETTERS).findall(low)
 
 
 def vocabulary(path: str) -> dict[str, int]:

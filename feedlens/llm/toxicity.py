@@ -4,11 +4,12 @@ Features are the distinct character n-grams of a lower-cased text, hashed.
 Each is scaled by its naive Bayes log-count ratio between toxic and other
 training texts; a logistic regression on the scaled features gives the score.
 The ratios are counted over every labelled training text.  The regression is
-fitted on at most FIT_ROWS of them (those with the smallest md5 of their id),
+fitted on at most FIT_ROWS of them (those with the smallest md5 of id and text),
 in one task; its size doesn't depend on the corpus.
 
 Defined results: a null or empty text has no features and gets the score of the
-bias alone; rows with a null label or no labelled text aren't learned from;
+bias alone; rows with a null label or no labelled text aren't learned from; an
+id's repeated labels count once, and an id with both labels isn't learned from;
 without labels of both kinds every score is the share of toxic labels (0 for
 none); an empty table gives an empty result; repeated rows score alike;
 n-grams cover whole texts of any length; other columns may have any name.
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_batches, bounded_batches, text_bytes
+from .common import as_batches, bounded_batches, text_bytes, written
 
 NGRAMS = (3, 4, 5)
 BITS = 18
@@ -116,8 +117,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Learn from every row of ``docs`` that ``labels`` marks 0 or 1: ``{"weights": ..., "bias": ...}``."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    marked = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marked, "id")
+    y = F.col(label_col).cast("int")
+    marked = (labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.min(y).alias("y"), F.max(y).alias("most"))
+              .where("y = most").select("id", "y"))
+    # the one time that texts move, by the same join at every size
+    rows = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marked.hint("merge"), "id").select(
+        "y", "text", F.md5(F.concat_ws(":", F.col("id").cast("string"), F.xxhash64("text")).cast("binary")).alias("turn")), "toxicity-rows")
     counts, table = label_counts(rows.select("y", "text"))
     if not counts.all():
         share = counts[1] / max(1, counts.sum())
@@ -125,14 +130,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     r = log_count_ratios(counts, table)
     prior = float(counts[1] / counts.sum())
     sent = spark.sparkContext.broadcast(r)  # 2^BITS numbers
-    sample = rows.select("y", "text", F.md5(F.col("id").cast("string").cast("binary")).alias("turn")).orderBy("turn", "text").limit(fit_rows)
+    # numbers alone decide which texts are learned from; of rows alike in id and text any will do
+    last = rows.select("turn").orderBy("turn").limit(fit_rows).agg(F.max("turn")).first()[0]
+    sample = rows.where(F.col("turn") <= last).coalesce(1).sortWithinPartitions("turn", "y").limit(fit_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [x for batch in batches for x in zip(batch.column(0).to_pylist(), text_bytes(batch, "text"))]
         made = pa.schema([("model", pa.binary())])
         yield from as_batches([(pickle.dumps(fit(texts, sent.value, prior)),)], made)
 
-    weights, bias = pickle.loads(bytes(sample.select("y", "text").coalesce(1).mapInArrow(run, "model binary").first()[0]))
+    weights, bias = pickle.loads(bytes(sample.select("y", "text").mapInArrow(run, "model binary").first()[0]))
     return {"weights": weights, "bias": bias}
 
 

@@ -125,9 +125,57 @@ def test_toxicity_table(spark):
     assert all(0 <= r.score <= 1 for r in T.score(asked, empty).collect())
 
 
+def test_counts_ratios_and_fit_equal_brute_force(spark):
+    rng = random.Random(8)
+    words = ["river", "stone", "idiot", "walk", "scum", "über"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 9)))) for i in range(80)]
+    y = {i: int("idiot" in t or rng.random() < 0.1) for i, t in rows}
+    # repeated labels count once; ids with both labels aren't learned from
+    labels = [(i, v) for i, v in y.items()] + [(0, y[0]), (0, y[0]), (1, 1 - y[1])]
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    learned = [(t, y[i]) for i, t in rows if i != 1]
+    seen = np.zeros(1 << T.BITS, bool)
+    want, n = np.zeros((2, 1 << T.BITS), int), np.zeros(2, int)
+    for t, v in learned:
+        n[v] += 1
+        want[v, sorted(set(T.features(t.encode(), seen).tolist()))] += 1
+    df = spark.createDataFrame([(v, t) for t, v in learned], "y int, text string")
+    got_n, got = T.label_counts(df)
+    assert (got_n == n).all() and (got == want).all()
+    r = T.log_count_ratios(n, want)
+    for f in np.flatnonzero(r)[:200]:
+        p, q = (want[1, f] + 1) / (n[1] + 2), (want[0, f] + 1) / (n[0] + 2)
+        assert math.isclose(r[f], math.log(p / q)) and want[:, f].sum() >= T.LEAST_TEXTS
+    # at the fit's end the objective's gradient is small against its beginning
+    weights, bias = T.fit([(v, t.encode()) for t, v in learned], r, n[1] / n.sum())
+
+    def gradient(w, b):
+        g, gb = T.PENALTY * 10 / len(learned) * w, 0.0
+        for t, v in learned:
+            f = T.features(t.encode(), seen)
+            f = f[r[f] != 0]
+            d = (1 / (1 + math.exp(-((w[f] * r[f]).sum() + b))) - v) / len(learned)
+            g[f] += d * r[f]
+            gb += d
+        return math.sqrt((g ** 2).sum() + gb ** 2)
+    scaled = np.divide(weights, r, out=np.zeros_like(weights), where=r != 0)
+    assert gradient(scaled, bias) < 0.1 * gradient(np.zeros_like(r), math.log(n[1] / n[0]))
+    model = T.train(tox_rows(spark, rows), lab)
+    scores = {d.doc_id: d.score for d in T.score(tox_rows(spark, rows), model).collect()}
+    for i, t in rows:
+        z = weights[T.features(t.encode(), seen)].sum() + bias
+        assert math.isclose(scores[i], 1 / (1 + math.exp(-z)), rel_tol=1e-6, abs_tol=1e-9)
+
+
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.1"])
 def test_toxicity_held_out(spark, sf):
     labels = {r.doc_id: r.toxic for r in table(spark, sf, "labels").collect()}
     rows = [r for r in QUERIES["op2_toxicity"](spark, sf).collect() if r.held_out and r.doc_id in labels]
     right = sum(r.predicted == labels[r.doc_id] for r in rows) / len(rows)
     assert all(0 <= r.score <= 1 for r in rows) and right > 0.93, right
+
+
+def test_words_are_letters_with_their_marks():
+    assert G.words_of("² ½ ① ٣ 12 _ — 💡") == []
+    assert G.words_of("हिन्दी") == ["हिन्दी"]
+    assert G.words_of("It's 2nd ÀB_c e\u0301a") == ["it", "s", "nd", "àb", "c", "e\u0301a"]
