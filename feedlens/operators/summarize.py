@@ -17,6 +17,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -157,9 +158,12 @@ def append_cache(new_entries: DataFrame, path: str) -> None:
 
 
 def read_cache(spark, path: str) -> DataFrame | None:
+    """The stored replies; None before the first is stored.  Lost storage or rights are errors, as paid replies would be asked for again."""
     try:
         return spark.read.schema(CACHE_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - absent cache = empty cache
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

@@ -6,6 +6,8 @@ the same rows (doubles rounded to 6 places on both sides).
 """
 from __future__ import annotations
 
+import re
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -817,6 +819,26 @@ def q_membership_strength_tree(spark, sf):
     return CL.density_cluster_tree(_hashed(spark, sf), 5, 3).drop("level").withColumn("strength", r6("strength"))
 
 
+ANALYZE_TREE_SQL = (
+    TREE_SQL.replace("nm AS MATERIALIZED", _rp_sql("dv", "doc_id", "v", 5, HASH_DIM) + ",\n"
+                     "rv AS (SELECT id AS doc_id, list(value ORDER BY comp) AS v FROM rp GROUP BY id),\nnm AS MATERIALIZED", 1)
+    .replace("FROM dv @where@", "FROM rv") + ",\n"
+    "raw AS (SELECT nm.doc_id, coalesce(lc.cluster, -1) AS topic FROM nm LEFT JOIN lc USING (doc_id)),\n"
+    "sz AS (SELECT topic, count(*) AS n, min(doc_id) AS first FROM raw WHERE topic <> -1 GROUP BY topic),\n"
+    "mp AS (SELECT topic, (row_number() OVER (ORDER BY n DESC, first) - 1)::INTEGER AS new FROM sz),\n"
+    "tf AS (SELECT doc_id, coalesce(new, -1)::INTEGER AS topic FROM raw LEFT JOIN mp USING (topic)),\n"
+    + O.ctfidf_ctes("", "tf") + ",\n"
+    "cnt AS (SELECT topic, count(*)::BIGINT AS count FROM pt0 GROUP BY topic),\n"
+    "names AS (" + O.words_joined("tw", 4, "_", "w") + ")\n")
+
+
+@register("analyze_tree", ANALYZE_TREE_SQL + "SELECT topic, count, concat_ws('_', topic::VARCHAR, w) AS name FROM cnt LEFT JOIN names USING (topic)")
+def q_analyze_tree(spark, sf):
+    """End to end in the order reduce, hierarchy, keywords: topics with their size and name."""
+    from .analyze import Options, analyze
+    return analyze(FX.documents(spark, sf), Options(summarize=False, reduce_dim=5, clustering="leaf")).info
+
+
 @register("assign_by_tree", TREE_SQL.replace("@where@", "WHERE doc_id % 10 <> 0") + ",\n"
           "nw AS (SELECT doc_id AS src, v FROM dv WHERE doc_id % 10 = 0),\n"
           "nn AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY round(d, 12), doc_id) AS rank FROM (SELECT nw.src, nm.doc_id, nm.k, "
@@ -915,16 +937,6 @@ def q_embed_word2vec(spark, sf):
     return EM.vector_long(doc_vecs)
 
 
-@register("mmr_keywords")
-def q_mmr_keywords(spark, sf):
-    """MMR (diversity 0.1) over the top-30 c-TF-IDF words in the space of random indexing."""
-    docs, _, scores, _, _, rep = _topic_parts(spark, sf)
-    doc_vecs, word_vecs = EM.random_index(docs.select("doc_id", "clean"), 32, 5)
-    cands = TP.top_words(scores, 30).filter(F.col("topic") != TP.NOISE)
-    tv = KW.topic_vectors(rep, cut_lineage(doc_vecs), 32, 5)
-    return KW.mmr_keywords(cands, tv, cut_lineage(word_vecs), 0.1, 10)
-
-
 def bigram_encoder(dim: int = 64):
     """A user encoder for ``embed_texts``: character bigrams by code point, L2-normalised (NumPy)."""
     def make():
@@ -977,6 +989,37 @@ def q_embed_random_index(spark, sf):
     return EM.vector_long(vecs).withColumn("value", r6("value"))
 
 
+MMR_SQL = (
+    REP_DOCS_SQL.rstrip("\n").replace("WITH ", "WITH RECURSIVE ", 1) + ",\n"
+    + re.sub(r"\b(wt|kn|dt|mk|wv|dn|dm)\b", r"ri_\1", RANDOM_INDEX_SQL.split(O.PREPARED + ",\n", 1)[1]).rstrip("\n") + ",\n"
+    "tvl AS (SELECT r.topic, g.i AS dim, sum(coalesce(ri_dm.v, 0.0)) / count(*) AS v FROM rk r CROSS JOIN range(32) g(i) "
+    "LEFT JOIN ri_dm ON ri_dm.doc_id = r.doc_id AND ri_dm.bucket = g.i WHERE r.rank <= 5 GROUP BY r.topic, g.i),\n"
+    "tvu AS (SELECT topic, list(v / nr ORDER BY dim) AS t FROM (SELECT *, sqrt(sum(v * v) OVER (PARTITION BY topic)) AS nr FROM tvl) WHERE nr > 0 GROUP BY topic),\n"
+    "wvl AS (SELECT w.word, g.i AS dim, coalesce(ri_wv.v, 0.0) AS v FROM (SELECT DISTINCT word FROM ri_wv) w CROSS JOIN range(32) g(i) "
+    "LEFT JOIN ri_wv ON ri_wv.word = w.word AND ri_wv.bucket = g.i),\n"
+    "wvu AS (SELECT word, list(CASE WHEN nr > 0 THEN v / nr ELSE 0.0 END ORDER BY dim) AS u FROM (SELECT *, sqrt(sum(v * v) OVER (PARTITION BY word)) AS nr FROM wvl) GROUP BY word),\n"
+    "cw AS MATERIALIZED (SELECT topic, word, u, t, row_number() OVER (PARTITION BY topic ORDER BY word) AS k FROM tw JOIN wvu USING (word) JOIN tvu USING (topic) "
+    "WHERE rank <= 30 AND topic <> -1),\n"
+    "rl AS (SELECT topic, list(list_sum(list_transform(list_zip(u, t), lambda z: z[1] * z[2])) ORDER BY k) AS rel, list(word ORDER BY k) AS words FROM cw GROUP BY topic),\n"
+    "sm AS MATERIALIZED (SELECT a.topic, a.k, list(list_sum(list_transform(list_zip(a.u, b.u), lambda z: z[1] * z[2])) ORDER BY b.k) AS s FROM cw a JOIN cw b USING (topic) GROUP BY a.topic, a.k),\n"
+    "mmr(topic, rank, pick, got, red, rel, words) AS (SELECT rl.topic, 1, list_position(rel, list_max(rel)), [list_position(rel, list_max(rel))], s, rel, words "
+    "FROM rl JOIN sm ON sm.topic = rl.topic AND sm.k = list_position(rel, list_max(rel)) UNION ALL "
+    "SELECT n.topic, rank + 1, n.p, list_append(got, n.p), list_transform(red, lambda x, i: greatest(x, sm.s[i])), rel, words FROM ("
+    "SELECT q.*, list_position(sc, list_max(sc)) AS p FROM (SELECT m.*, list_transform(rel, lambda x, i: CASE WHEN list_contains(got, i) THEN -1e308 "
+    "ELSE 0.9::DOUBLE * x - 0.1::DOUBLE * red[i] END) AS sc FROM mmr m WHERE rank < least(10, len(rel))) q) n JOIN sm ON sm.topic = n.topic AND sm.k = n.p)\n"
+    "SELECT topic::INTEGER AS topic, rank::INTEGER AS rank, words[pick] AS word FROM mmr")
+
+
+@register("mmr_keywords", MMR_SQL)
+def q_mmr_keywords(spark, sf):
+    """MMR (diversity 0.1) over the top-30 c-TF-IDF words in the space of random indexing."""
+    docs, _, scores, _, _, rep = _topic_parts(spark, sf)
+    doc_vecs, word_vecs = EM.random_index(docs.select("doc_id", "clean"), 32, 5)
+    cands = TP.top_words(scores, 30).filter(F.col("topic") != TP.NOISE)
+    tv = KW.topic_vectors(rep, cut_lineage(doc_vecs), 32, 5)
+    return KW.mmr_keywords(cands, tv, cut_lineage(word_vecs), 0.1, 10)
+
+
 @register("knn_lists", f"WITH {O.EMB_PAIRS} SELECT src, dst, rank::INTEGER AS rank, round(dist, 6) AS dist FROM ek WHERE rank <= 4")
 def q_knn_lists(spark, sf):
     """Neighbours by inverted lists, every list probed that can hold one."""

@@ -43,13 +43,16 @@ def to_feedback(df: DataFrame, text_column: str, id_column: str | None = None) -
 
 
 def read_feedback_csv(spark: SparkSession, path: str, text_column: str, id_column: str | None = None,
-                      na_values=PANDAS_NA_VALUES) -> DataFrame:
+                      na_values=PANDAS_NA_VALUES, multi_line: bool = True) -> DataFrame:
     """CSV with a header row and quoted multi-line cells, all columns as strings.
 
+    A file with line breaks inside cells is read by one task; ``multi_line=False``
+    says that there are none, and files of any size are split over tasks.
+
     pandas-style missing markers become "" (pandas reads them as NaN, then the
     projection turns NaN into "").
     """
-    raw = (spark.read.option("header", True).option("multiLine", True)
+    raw = (spark.read.option("header", True).option("multiLine", multi_line)
            .option("quote", '"').option("escape", '"').option("inferSchema", False)
            .option("mode", "PERMISSIVE").csv(path))
     return to_feedback(na_to_null(raw, text_column, na_values), text_column, id_column)
