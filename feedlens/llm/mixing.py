@@ -11,8 +11,7 @@ that holds most rows is spread over all buckets, and only bucket totals are
 summed per source.
 
 Defined results: a null text has size 0 and is never taken; the null source is
-a source of its own, last in order; repeated rows are separate documents, tied
-ones share size and source, so results don't depend on their order; an empty
+a source of its own, last in order; repeated rows are separate documents; an empty
 table gives an empty mix; other columns of the input may have any name.
 """
 from __future__ import annotations
@@ -32,20 +31,19 @@ BUCKET_DIGITS = 3     # 16^3 buckets per source; a bucket's rows are sorted in o
 SCHEDULES = (((0.0, 1.25), (1.0, 0.75)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5)))
 
 
-def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, row: bool) -> DataFrame:
-    """``id, size, skey, order_key, bucket`` (and ``row`` with all columns).
+def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """``id, size, skey, order_key, content, bucket`` (and ``extra`` columns).
 
     ``skey`` is the source behind a mark that sorts the null source last, so
     keys are never null and compare by code point.
     """
     source = F.col(source_col).cast("string")
-    cols = [F.col(id_col).alias("id"), word_count(F.col(text_col)).alias("size"),
-            F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source)).alias("skey")]
-    if row:
-        cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    key = F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary"))
-    return (docs.select(*cols).withColumn("order_key", key)
-            .withColumn("bucket", F.substring("order_key", 1, BUCKET_DIGITS)))
+    key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
+    return docs.select(
+        F.col(id_col).alias("id"), word_count(F.col(text_col)).alias("size"),
+        F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source)).alias("skey"),
+        key.alias("order_key"), F.xxhash64(text_col).alias("content"),
+        F.substring(key, 1, BUCKET_DIGITS).alias("bucket"), *extra)
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST_PASSES) -> DataFrame:
@@ -95,14 +93,14 @@ def invert_schedule(u, knots) -> F.Column:
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          weights=WEIGHTS, share: float = SHARE, most: int = MOST_PASSES, schedules=SCHEDULES,
-         row: bool = False) -> DataFrame:
-    """One row per document: ``id, size, skey, source_size, target, taken, positions`` (and ``row``).
+         extra: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: ``id, size, skey, source_size, target, taken, positions`` (and ``extra`` columns).
 
     Pass p reads a source again from its start; a copy is taken when its middle
     lies before the source's target.  ``positions`` holds the training position
     (in words of the whole mix) of every copy taken.
     """
-    src = written(sized(docs, id_col, text_col, source_col, row), "mix-sized")
+    src = written(sized(docs, id_col, text_col, source_col, extra), "mix-sized")
     totals = written(src.groupBy("skey", "bucket").agg(F.sum("size").alias("bucket_size")), "mix-buckets")
     goal = written(targets(totals.groupBy("skey").agg(F.sum("bucket_size").alias("source_size")), weights, share, most),
                    "mix-targets")
@@ -111,7 +109,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     begins = totals.withColumn("offset", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0))).drop("bucket_size")
     offsets = written(begins.join(goal, "skey"), "mix-offsets")
     mix_size = F.lit(float(share)) * goal.agg(F.sum("source_size")).scalar()
-    own = Window.partitionBy("skey", "bucket").orderBy("order_key", "id", "size").rowsBetween(
+    own = Window.partitionBy("skey", "bucket").orderBy("order_key", "id", "size", "content").rowsBetween(
         Window.unboundedPreceding, -1)
     d = src.withColumn("inner", F.coalesce(F.sum("size").over(own), F.lit(0))).join(offsets, ["skey", "bucket"])
     begin = F.col("offset") + F.col("inner")
@@ -130,14 +128,21 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     d = d.withColumn("mix_size", mix_size)
     cols = ["id", "size", "skey", "source_size", "target", (F.size("middles") * F.col("size")).cast("long").alias("taken"),
             F.transform("middles", position).alias("positions")]
-    return d.select(*cols, *(["row"] if row else []))
+    return d.select(*cols, *extra)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The mixed corpus: the rows of ``docs``, once per copy taken, range-sorted by training position."""
-    p = plan(docs, id_col, text_col, source_col, row=True, **options)
-    return (p.select("row", "id", F.explode("positions").alias("position"))
-            .orderBy("position", "id").select("row.*"))
+    """The mixed corpus: the rows of ``docs``, once per copy taken, range-sorted by training position.
+
+    Numbers alone go through the plan; whole rows move twice, to their
+    positions and to their place in the order.
+    """
+    rows = written(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                               F.monotonically_increasing_id().alias("rid")), "mix-rows")
+    slim = rows.select("rid", *[F.col("row").getField(c).alias(k) for c, k in ((id_col, "id"), (text_col, "text"), (source_col, "source"))])
+    p = plan(slim, "id", "text", "source", extra=("rid",), **options)
+    copies = written(p.select("rid", "id", F.explode("positions").alias("position")), "mix-positions")
+    return rows.join(copies.hint("merge"), "rid").orderBy("position", "id").select("row.*")
 
 
 def dealt(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options):
@@ -145,12 +150,15 @@ def dealt(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
     ``order`` has ``rid, id, size, position`` of every copy taken, range-sorted
     by training position.  ``documents`` has one row per document: ``id, size,
-    skey, source_size, target`` and ``taken``, the words of its copies found in
-    ``order``.  Texts don't move; ``mix`` moves them.
+    skey, source_size, target`` and from its copies found in ``order``
+    ``taken``, their words, and ``first_position, last_position``.  Texts don't
+    move; ``mix`` moves them.
     """
     p = written(plan(docs, id_col, text_col, source_col, **options).drop("taken")
                 .withColumn("rid", F.monotonically_increasing_id()), "mix-plan")
     order = written(p.select("rid", "id", "size", F.explode("positions").alias("position")).orderBy("position", "id"), "mix-order")
-    copies = order.groupBy("rid").agg(F.sum(F.when(F.col("position").isNotNull(), F.col("size"))).alias("words"))
+    copies = order.groupBy("rid").agg(F.sum("size").alias("words"), F.min("position").alias("first_position"),
+                                      F.max("position").alias("last_position"))
     rows = p.join(copies.hint("merge"), "rid", "left")
-    return rows.select("id", "size", "skey", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken")), order
+    return rows.select("id", "size", "skey", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"),
+                       "first_position", "last_position"), order
