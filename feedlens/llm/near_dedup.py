@@ -9,8 +9,8 @@ only those are posted, and values that occur once are skipped.  Collisions are
 counted for pairs that meet in a list; pairs at or above the match threshold
 are confirmed on their full shingle sets.
 
-A list is not expanded into all its pairs.  HUB_ROUNDS times every member of a
-list meets HUBS of its members; classes that are linked by then are one
+A list is not expanded into all its pairs.  In each of the hub rounds every
+member of a list meets some of its members (HUBS); classes that are linked by then are one
 component, a pair inside a component can't change the result, and lists that
 lie in one component are closed, as are those in which hubs met everybody.  What is left are pairs between different
 components in one list.  Those are dealt out in blocks of members outside the
@@ -47,7 +47,7 @@ from .common import bounded_batches, discard, text_bytes, written
 WORDS = 5
 SIMILARITY = (75, 100)
 COORDINATES, MATCHES = 48, 20
-HUB_ROUNDS, HUBS = 2, 4
+HUBS = (4, 16)   # of a list, in each hub round: in the later ones most members have left
 BLOCK = 256
 _SEED = 20240229
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -306,7 +306,7 @@ def links(classes: DataFrame, texts_of) -> DataFrame | None:
     nodes_n = nodes.select("num", "n")
     found = comp = members = None
     num, den = SIMILARITY
-    for turn in range(HUB_ROUNDS + 1):
+    for turn in range(len(HUBS) + 1):
         labelled = post.withColumn("comp", F.col("num")) if comp is None else post.join(comp.select("num", "comp"), "num", "left").withColumn(
             "comp", F.coalesce("comp", "num"))
         labelled = written(labelled, "labelled")
@@ -315,14 +315,14 @@ def links(classes: DataFrame, texts_of) -> DataFrame | None:
         # lists with pairs between different components: what is left to compare
         lists = written(parts.groupBy("value").agg(
             F.sum("m").alias("all"), F.count("*").alias("comps"), F.max_by("comp", "m").alias("giant"), F.max("m").alias("largest"))
-            .where("comps > 1").where(F.lit(turn == 0) | (F.col("all") > HUBS + 1)).select("value", "all", "giant", (F.col("all") - F.col("largest")).alias("outside")), "open-lists")
+            .where("comps > 1").where(F.col("all") > (0 if not turn else HUBS[turn - 1] + 1)).select("value", "all", "giant", (F.col("all") - F.col("largest")).alias("outside")), "open-lists")
         members = written(labelled.join(lists.select("value"), "value", "left_semi"), "members")
         discard(labelled, post)
         if members.isEmpty():
             break
-        if turn < HUB_ROUNDS:  # members that are in a hub's component already don't meet it
+        if turn < len(HUBS):  # members that are in a hub's component already don't meet it
             first = Window.partitionBy("value").orderBy(F.xxhash64(F.lit(turn), "num"), "num")
-            hubs = members.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= HUBS).select(
+            hubs = members.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= HUBS[turn]).select(
                 "value", F.col("num").alias("b"), F.col("comp").alias("comp_b"))
             hubs = written(hubs.join(nodes_n.withColumnsRenamed({"num": "b", "n": "nb"}), "b"), "hubs")
             pairs = members.join(hubs, "value").where("comp <> comp_b").select(
