@@ -24,6 +24,7 @@ import base64
 import hashlib
 import re
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,8 +37,9 @@ from pyspark.sql import types as T
 from .common import bounded_batches, text_bytes
 
 NEVER = 1 << 60        # a rank beyond all
-MAX_STATES = 150_000   # then the transducer starts over; a bound on memory, not on results
-MAX_MEMO = 150_000     # units of text, and matches in them, of a memo; there are two of each
+MAX_STATES = 250_000       # then the transducer starts over; a bound on memory, not on results
+MEMO_BYTES = 20 << 20      # of units of text, and of matches in them, with their ids; there are two generations of each
+_ENTRY = 150               # bytes that an entry takes besides
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -70,12 +72,12 @@ class Transducer:
         self._start_over()
 
     def _start_over(self) -> None:
-        self._states: dict[tuple, int] = {}
-        self._trees: list[tuple] = []
-        self._moves: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self._states: dict[bytes, int] = {}
+        self._trees: list[bytes] = []   # parent, last token, trie node (-1: dead) of every boundary
+        self._moves: dict[int, int | tuple[int, tuple[int, ...]]] = {}   # a bare state emits nothing
         self._ends: dict[int, tuple[int, ...]] = {}
         self._pair_ok.clear()
-        self._first = self._state(((-1, -1, 0),))
+        self._first = self._state([-1, -1, 0])
 
     def merge(self, b: bytes) -> list[int]:
         """Greedy merging by rank, the definition; for short byte strings."""
@@ -135,51 +137,61 @@ class Transducer:
             self._pair_ok[key] = ok
         return ok
 
-    def _state(self, tree: tuple) -> int:
-        n = self._states.get(tree)
+    def _state(self, tree: list[int]) -> int:
+        key = array("i", tree).tobytes()
+        n = self._states.get(key)
         if n is None:
-            n = self._states[tree] = len(self._trees)
-            self._trees.append(tree)
+            n = self._states[key] = len(self._trees)
+            self._trees.append(key)
         return n
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Next state and what is emitted.  A tree is (parent, last token, trie node or -1 if dead) by boundary."""
-        tree = self._trees[state]
-        grown, new = [], None
-        for i, (parent, token, node) in enumerate(tree):
-            at = self._next[node].get(byte, -1) if node >= 0 else -1
-            grown.append((parent, token, at))
-            if at >= 0 and new is None and self._token[at] >= 0 and self._fits(token, self._token[at]):
-                new = (i, self._token[at], 0)
-        grown.append(new)
+    def _move(self, state: int, byte: int) -> int | tuple[int, tuple[int, ...]]:
+        """Next state, and what is emitted if anything is."""
+        flat = array("i", self._trees[state])
+        parent, token, nodes = flat[0::3], flat[1::3], flat[2::3]
+        trie, made = self._next, self._token
+        grown, new = [], False
+        for i, node in enumerate(nodes):
+            at = trie[node].get(byte, -1) if node >= 0 else -1
+            grown.append(at)
+            if at >= 0 and not new and made[at] >= 0 and self._fits(token[i], made[at]):
+                new, last = True, made[at]
+                parent.append(i)
+                token.append(last)
+        grown.append(0)
         # drop dead boundaries that nothing hangs on, then emit while one chain is left
-        used = [node >= 0 for _, _, node in grown]
-        for i in range(len(grown) - 1, 0, -1):
+        n = len(grown)
+        used, hang = [at >= 0 for at in grown], [0] * n
+        for i in range(n - 1, 0, -1):
             if used[i]:
-                used[grown[i][0]] = True
+                used[parent[i]] = True
+                hang[parent[i]] += 1
         root, emitted = 0, []
-        while grown[root][2] < 0:
-            children = [i for i in range(root + 1, len(grown)) if used[i] and grown[i][0] == root]
-            if len(children) != 1:
-                break
-            root = children[0]
-            emitted.append(grown[root][1])
-        place, out = {}, []
-        for i in range(root, len(grown)):
-            if i == root or (used[i] and grown[i][0] in place):
-                place[i] = len(out)
-                parent, token, node = grown[i]
-                # a dead root's token is emitted and meets no other
-                out.append((-1, token if node >= 0 else -1, node) if i == root else (place[parent], token, node))
-        return self._state(tuple(out)), tuple(emitted)
+        while grown[root] < 0 and hang[root] == 1:
+            up = root
+            root += 1
+            while not (used[root] and parent[root] == up):
+                root += 1
+            emitted.append(token[root])
+        place = [-1] * n
+        place[root] = 0
+        # a dead root's token is emitted and meets no other
+        out, size = [-1, token[root] if grown[root] >= 0 else -1, grown[root]], 1
+        for i in range(root + 1, n):
+            if used[i] and place[parent[i]] >= 0:
+                place[i] = size
+                size += 1
+                out += (place[parent[i]], token[i], grown[i])
+        at = self._state(out)
+        return (at, tuple(emitted)) if emitted else at
 
     def _end(self, state: int) -> tuple[int, ...]:
         """What is emitted when the text ends in ``state``: the chain of its last boundary."""
-        tree, out = self._trees[state], []
-        i = len(tree) - 1
+        tree, out = array("i", self._trees[state]), []
+        i = len(tree) // 3 - 1
         while i > 0:
-            out.append(tree[i][1])
-            i = tree[i][0]
+            out.append(tree[3 * i + 1])
+            i = tree[3 * i]
         return tuple(reversed(out))
 
     def encode_piece(self, b: bytes) -> list[int]:
@@ -194,8 +206,10 @@ class Transducer:
             move = moves.get(key)
             if move is None:
                 move = moves[key] = self._move(state, byte)
-            state, emitted = move
-            if emitted:
+            if move.__class__ is int:
+                state = move
+            else:
+                state, emitted = move
                 out.extend(emitted)
         end = self._ends.get(state)
         if end is None:
@@ -208,48 +222,75 @@ class Transducer:
 _UNIT = re.compile(r"(?<=\S) (?=\S)")
 
 
+class Memo:
+    """Ids by text, of bounded size: a full table becomes the old one, and what is used again moves from it to the new."""
+
+    def __init__(self, make):
+        self.make, self.most, self.now, self.old, self.held = make, MEMO_BYTES, {}, {}, 0
+
+    def add(self, key: str) -> bytes:
+        """The ids of ``key``, which the table doesn't have."""
+        made = self.old.get(key)
+        if made is None:
+            made = self.make(key)
+        if self.held > self.most:
+            self.old, self.now, self.held = self.now, {}, 0
+        self.now[key] = made
+        self.held += 4 * len(key) + len(made) + _ENTRY
+        return made
+
+
 class Encoder:
     """Encodes whole texts, cut into units at single spaces and into the pattern's matches in them.
 
-    The ids of units and of matches are remembered: a full memo becomes the old
-    one, and what is used again moves from the old memo to the new.
+    The ids of units (without the space before them) and of matches are
+    remembered.  Most texts hold no white space beside a space, so they are cut
+    at every space; a unit that is new tells whether its text is one of them.
     """
 
     def __init__(self, ranks_path: str, pattern: str):
         self.machine = Transducer(load_ranks(ranks_path))
         self.pattern = regex.compile(pattern)
-        self._units: dict[str, bytes] = {}
-        self._old_units: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
-        self._old_pieces: dict[str, bytes] = {}
+        self._units, self._pieces = Memo(lambda unit: self._matches(" " + unit)), Memo(self._one)
 
-    def _piece(self, piece: str) -> bytes:
-        made = self._old_pieces.get(piece)
-        if made is None:
-            ids = self.machine.encode_piece(piece.encode("utf-8"))
-            made = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self._pieces) >= MAX_MEMO:
-            self._old_pieces, self._pieces = self._pieces, {}
-        self._pieces[piece] = made
-        return made
+    def _one(self, piece: str) -> bytes:
+        ids = self.machine.encode_piece(piece.encode("utf-8"))
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _unit(self, unit: str) -> bytes:
-        made = self._old_units.get(unit)
-        if made is None:
-            made = b"".join([self._pieces.get(x) or self._piece(x) for x in self.pattern.findall(unit)])
-        if len(self._units) >= MAX_MEMO:
-            self._old_units, self._units = self._units, {}
-        self._units[unit] = made
-        return made
+    def _matches(self, text: str) -> bytes:
+        known = self._pieces.now
+        return b"".join([known.get(x) or self._pieces.add(x) for x in self.pattern.findall(text)])
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
+        first, *rest = text.split(" ")
+        ids = list(map(self._units.now.get, rest))
+        if not first or first[-1].isspace():
+            return self._encode_slowly(text)
+        if None in ids:
+            for i, made in enumerate(ids):
+                if made is None:
+                    unit = rest[i]
+                    if not unit or unit[0].isspace():
+                        return self._encode_slowly(text)
+                    if unit[-1].isspace():
+                        if i + 1 < len(rest):
+                            return self._encode_slowly(text)
+                        ids[i] = self._matches(" " + unit)
+                    else:
+                        ids[i] = self._units.now.get(unit) or self._units.add(unit)
+        return self._matches(first) + b"".join(ids)
+
+    def _encode_slowly(self, text: str) -> bytes:
         first, *rest = _UNIT.split(text)
-        out = []
-        for unit in (first, *[" " + x for x in rest]):
-            out.append(self._units.get(unit) or self._unit(unit))
+        out = [self._matches(first)]
+        for unit in rest:
+            if unit[-1].isspace():  # the end of the text; elsewhere it would be no unit
+                out.append(self._matches(" " + unit))
+            else:
+                out.append(self._units.now.get(unit) or self._units.add(unit))
         return b"".join(out)
 
 

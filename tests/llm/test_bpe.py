@@ -39,7 +39,7 @@ def test_encodes_as_the_library(library, encoder):
 
 def test_every_token_and_small_state_table(library, monkeypatch):
     monkeypatch.setattr(B, "MAX_STATES", 50)  # starts over all the time
-    monkeypatch.setattr(B, "MAX_MEMO", 10)
+    monkeypatch.setattr(B, "MEMO_BYTES", 2000)
     e = B.Encoder(PATH, P.PATTERN)
     vocabulary = [b.decode("utf-8", "ignore") for b in list(B.load_ranks(PATH))[::23]]
     for t in vocabulary:
