@@ -1,9 +1,10 @@
 """Quality rules as a short-circuit cascade.
 
 Each rule is measured on a bounded sample: its cost in seconds a document and
-the share it rejects.  Rules run in order of rejection per cost, and a document
-that one rule rejects is not shown to the next.  All rules must pass, so the
-verdict doesn't depend on the order found.
+the share it rejects of what the rules before it leave.  Rules run in the order
+of rejection per cost, the base rules among them, and a document that one rule
+rejects is not shown to the next.  All rules must pass, so the verdict doesn't
+depend on the order found.
 
 Defined results: a null or empty text has no words and fails the base rules;
 repeated rows are judged alike; an empty table gives an empty result (the
@@ -84,37 +85,52 @@ _COUNTS: dict[str, Callable[[Page], object]] = {
     "letters": lambda p: sum(map(str.isalpha, p.text)),
 }
 
-#: name -> rejects(page).  The thresholds leave room for every ordinary prose.
+#: name -> rejects(page).  The first two are the base rules; the other thresholds leave room for every ordinary prose.
 RULES: dict[str, Callable[[Page], bool]] = {
+    "few_words": lambda p: p.n_words < 50,
+    "repeated_windows": lambda p: 100 * p.n_repeat_words > 50 * p.n_words,
     "word_length": lambda p: not 2 * p.n_words <= p.word_chars <= 15 * p.n_words,
-    "symbol_ratio": lambda p: 10 * p.n_symbols > 5 * p.n_words,
+    "symbol_ratio": lambda p: 10 * p.n_symbols > p.n_words,
     "duplicate_lines": lambda p: 10 * p.n_dup_lines > 6 * p.lines[0],
-    "top_word_share": lambda p: 10 * p.top_word > 4 * p.n_words,
+    "top_word_share": lambda p: 10 * p.top_word > 2 * p.n_words,
     "letter_share": lambda p: 10 * p.letters < 5 * p.word_chars,
 }
 
 
-def base_failed(p: Page) -> bool:
-    return p.n_words < 50 or 100 * p.n_repeat_words > 50 * p.n_words
+BASE = ("few_words", "repeated_windows")
 
 
 def order_rules(texts: list[bytes | None], rules: dict[str, Callable[[Page], bool]]) -> list[str]:
-    """Names of ``rules`` by rejection per cost, most first, estimated on ``texts``.
+    """Names of ``rules`` by rejection per cost, each among what those before it leave of ``texts``.
 
     A rule that rejected nothing keeps a chance of one half document, so cheap rules still go first.
     """
-    def gain(name: str) -> float:
-        pages = [Page(t) for t in texts]
-        began = time.perf_counter()
-        rejected = sum(bool(p.n_words and rules[name](p)) for p in pages)
-        cost = max(time.perf_counter() - began, 1e-9)
-        return (rejected + 0.5) / cost
-    return sorted(rules, key=gain, reverse=True) if texts else list(rules)
+    order, rest, left = [], list(rules), texts
+    while rest and left:
+        best = None
+        for name in rest:
+            pages = [Page(t) for t in left]
+            began = time.perf_counter()
+            rejects = [rules[name](p) for p in pages]
+            gain = (sum(rejects) + 0.5) / max(time.perf_counter() - began, 1e-9)
+            if best is None or gain > best[0]:
+                best = gain, name, rejects
+        order.append(best[1])
+        rest.remove(best[1])
+        left = [t for t, gone in zip(left, best[2]) if not gone]
+    return order + rest
 
 
 def sample_texts(docs: DataFrame, text_col: str, rows: int = SAMPLE_ROWS) -> list[bytes | None]:
-    """At most ``rows`` texts for the estimate; verdicts don't depend on which."""
-    return [r[0] for r in docs.select(F.col(text_col).cast("binary")).limit(rows).collect()]
+    """About ``rows`` texts (at most twice as many) drawn from the whole table, for the estimate; verdicts don't depend on which.
+
+    Every row has the same chance, wherever it is stored; texts beyond a
+    megabyte are left out, as their cost would drown the others'.
+    """
+    n = docs.count()
+    short = docs.select(F.col(text_col).cast("binary").alias("raw")).where("raw is null or octet_length(raw) <= 1048576")
+    drawn = short if n <= rows else short.sample(fraction=rows / n, seed=17)
+    return [r[0] for r in drawn.limit(2 * rows).collect()]
 
 
 def quality_cascade(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -123,6 +139,7 @@ def quality_cascade(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bounded_batches(docs.sparkSession)
     rules = rules or RULES
     cascade = [rules[name] for name in order_rules(sample_texts(docs, text_col), rules)]
+    base = [rules[name] for name in BASE if name in rules]
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     extra = pa.schema([(c, pa.int64()) for c in names] + [("base_failed", pa.bool_()), ("kept", pa.bool_())])
@@ -132,8 +149,8 @@ def quality_cascade(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             rows = []
             for raw in text_bytes(batch, "text"):
                 p = Page(raw)
-                failed = base_failed(p)
-                rows.append((*(getattr(p, c) for c in names), failed, not failed and not any(r(p) for r in cascade)))
+                kept = not any(r(p) for r in cascade)
+                rows.append((*(getattr(p, c) for c in names), not kept and any(r(p) for r in base), kept))
             for made in as_batches(rows, extra):
                 yield pa.RecordBatch.from_arrays([batch.column(0), *made.columns], names=["doc_id", *extra.names])
 
@@ -153,7 +170,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", rules: dict[str, Callable
             keep = []
             for raw in text_bytes(batch, text_col):
                 p = Page(raw)
-                keep.append(not base_failed(p) and not any(r(p) for r in cascade))
+                keep.append(not any(r(p) for r in cascade))
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -57,6 +57,14 @@ def op2(spark, sf):
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def _time_sql(u: str) -> str:
+    """Training time (0..1) at which a source's weight schedule has spent the share ``u`` of its integral."""
+    late = f"({u} - 0.375)"
+    return (f"CASE WHEN {u} IS NULL THEN NULL ELSE CASE place % 3 WHEN 0 THEN least(1, 2 * {u} / (1.25 + sqrt(greatest(1.5625 - {u}, 0)))) "
+            f"WHEN 1 THEN least(1, {u}) ELSE CASE WHEN {u} < 0.375 THEN least(0.5, 2 * {u} / (0.5 + sqrt(0.25 + 2 * {u}))) "
+            f"ELSE least(1, 0.5 + 2 * {late} / (1 + sqrt(1 + 2 * {late}))) END END END")
+
+
 @register("op3_curriculum_mix", f"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
                   md5(coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
@@ -69,18 +77,24 @@ f AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()::DOUBLE
         / (sum(weight) OVER (ORDER BY cap::DOUBLE / weight, source NULLS LAST
                              ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM w),
 l AS (SELECT max(level) FILTER (WHERE weight * level < cap) AS level FROM f),
-t AS (SELECT source, source_size, CASE WHEN weight * f.level >= cap THEN cap::DOUBLE ELSE weight * l.level END AS target
+t AS (SELECT source, source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place, CASE WHEN weight * f.level >= cap THEN cap::DOUBLE ELSE weight * l.level END AS target
       FROM f, l),
-c AS (SELECT d.doc_id, d.size, t.source_size, t.target,
+z AS (SELECT 1.5::DOUBLE * sum(source_size)::DOUBLE AS words FROM t),
+c AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.place,
              coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size
                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + d.size / 2.0 AS middle
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+k AS (SELECT *, CASE WHEN size > 0 AND middle <= target THEN middle / target END AS u1,
+             CASE WHEN size > 0 AND middle + source_size <= target THEN (middle + source_size) / target END AS u2 FROM c)
 SELECT doc_id, size, source_size, target,
-       (CASE WHEN size = 0 THEN 0 ELSE size * ((middle <= target)::INT + (middle + source_size <= target)::INT) END)::BIGINT AS taken
-FROM c""")
+       (CASE WHEN size = 0 THEN 0 ELSE size * ((middle <= target)::INT + (middle + source_size <= target)::INT) END)::BIGINT AS taken,
+       round({_time_sql("u1")} * words, 2) AS first_position, round({_time_sql("coalesce(u2, u1)")} * words, 2) AS last_position
+FROM k, z""")
 def op3(spark, sf):
     from .mixing import dealt
-    return dealt(table(spark, sf, "documents"))[0].select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    return dealt(table(spark, sf, "documents"))[0].select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", F.round("first_position", 2).alias("first_position"),
+        F.round("last_position", 2).alias("last_position"))
 
 
 @register("op4_byte_bpe")
@@ -118,8 +132,8 @@ b AS (SELECT s.*, len(ls) AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT
       FROM s LEFT JOIN cov USING (rid) LEFT JOIN top USING (rid)),
 v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND 2 * n_words <= word_chars AND word_chars <= 15 * n_words AND 10 * n_symbols <= 5 * n_words
-       AND 10 * n_dup_lines <= 6 * n_lines AND 10 * top_word <= 4 * n_words AND 10 * letters >= 5 * word_chars AS kept
+       NOT base_failed AND 2 * n_words <= word_chars AND word_chars <= 15 * n_words AND 10 * n_symbols <= n_words
+       AND 10 * n_dup_lines <= 6 * n_lines AND 10 * top_word <= 2 * n_words AND 10 * letters >= 5 * word_chars AS kept
 FROM v""")
 def op6(spark, sf):
     from .quality import quality_cascade

@@ -51,7 +51,7 @@ def test_verdict_does_not_depend_on_the_order(spark):
     rs = rows()
     for order in (list(Q.RULES), list(Q.RULES)[::-1]):
         pages = {d: Q.Page((t or "").encode()) for d, t in rs}
-        kept = {d for d, p in pages.items() if not Q.base_failed(p) and not any(Q.RULES[n](p) for n in order)}
+        kept = {d for d, p in pages.items() if not any(Q.RULES[n](p) for n in order)}
         assert {r.doc_id for r in Q.quality_cascade(frame(spark, rs)).collect() if r.kept} == kept
     stay = Q.keep_good(frame(spark, rs))
     assert {r.doc_id for r in stay.collect()} == kept and stay.columns == ["doc_id", "text", "n_words", "kept", "size"]
@@ -67,6 +67,26 @@ def test_rules_run_by_rejection_per_cost():
     assert Q.order_rules([], {"b": slow, "a": slow}) == ["b", "a"]
 
 
+def test_later_rules_are_measured_on_what_is_left():
+    # "same" rejects just what "first" rejects, at a little more cost: behind it, it is the worst of all
+    texts = [b"a"] * 90 + [b"b"] * 10
+    rules = {"first": lambda p: p.raw == b"a", "same": lambda p: sum(range(50)) and p.raw == b"a", "other": lambda p: sum(range(200)) and p.raw == b"b"}
+    assert Q.order_rules(texts, rules) == ["first", "other", "same"]
+
+
+def test_sample_is_drawn_from_the_whole_table(spark):
+    df = spark.range(0, 40_000, 1, 8).selectExpr("id", "cast(id as string) AS text")
+    got = [int(t) for t in Q.sample_texts(df, "text")]
+    assert 250 < len(got) < 600 and min(got) < 4000 and max(got) > 36_000
+    assert len(Q.sample_texts(df.limit(7), "text")) == 7
+
+
+def test_all_rows_rejected(spark):
+    rs = [(1, None), (2, "few words"), (3, "same " * 200)]
+    assert Q.keep_good(frame(spark, rs)).collect() == []
+    assert not any(r.kept for r in Q.quality_cascade(frame(spark, rs)).collect())
+
+
 def test_empty_quality(spark):
     assert Q.quality_cascade(frame(spark, [])).count() == 0 and Q.keep_good(frame(spark, [])).count() == 0
 
