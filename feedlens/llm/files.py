@@ -7,13 +7,18 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
 
+#: Names that Hadoop gives to stores which Arrow knows by another.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a folder or file; a path without scheme is local to a one-machine session."""
     if uri.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
     if "://" not in uri:
         return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
+    scheme, rest = uri.split("://", 1)
+    return pafs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{rest}")
 
 
 def new_file(fs: pafs.FileSystem, folder: str, stem: str, suffix: str) -> str:

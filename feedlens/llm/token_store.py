@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -254,24 +255,61 @@ class WordEncoder:
             begin = end
         self._held += sum(map(len, words)) + len(ids) + _ENTRY * len(words)
 
-    def encode(self, raws: list[bytes | None]) -> list[bytes]:
-        """Ids of each text, ``width`` bytes each."""
+    def _known(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words."""
         if self._held > MEMO_BYTES:  # what is used again moves from the old memo to the new
             self._old, self._memo, self._held = self._memo, {}, 0
         self._memo.update(self._special)
-        texts = [self._words(raw or b"") for raw in raws]
-        out = [list(map(self._memo.get, words)) for words in texts]
-        short = [i for i, ids in enumerate(out) if None in ids]
-        new = {w for i in short for w, ids in zip(texts[i], out[i]) if ids is None}
-        known = new & self._old.keys()
-        self._memo.update((w, self._old[w]) for w in known)
-        self._held += sum(len(w) + len(self._old[w]) + _ENTRY for w in known)
-        rest = sorted(new - known)
+        new = [w for w in words if w not in self._memo]
+        rest = []
+        for w in new:
+            ids = self._old.get(w)
+            if ids is None:
+                rest.append(w)
+            else:
+                self._memo[w] = ids
+                self._held += len(w) + len(ids) + _ENTRY
         for at in range(0, len(rest), 2000):
             self._learn(rest[at: at + 2000])
-        for i in short:
-            out[i] = map(self._memo.__getitem__, texts[i])
-        return [b"".join(ids) for ids in out]
+        return [self._memo[w] for w in words]
+
+    def _is_special(self, raw: bytes) -> bool:
+        return any(t[1:] in raw for t in self._special)
+
+    def encode(self, raws: list[bytes | None]) -> list[bytes]:
+        """Ids of each text, ``width`` bytes each.
+
+        A batch is cut into words and its distinct words are numbered in Arrow;
+        their ids are gathered by those numbers in NumPy.
+        """
+        out: list[bytes] = [b""] * len(raws)
+        plain = [i for i, raw in enumerate(raws) if raw and not self._is_special(raw)]
+        for i in set(range(len(raws))) - set(plain):
+            if raws[i]:
+                words = self._words(raws[i])
+                distinct = list(dict.fromkeys(words))
+                ids = dict(zip(distinct, self._known(distinct)))
+                out[i] = b"".join([ids[w] for w in words])
+        if not plain:
+            return out
+        texts = pa.array([_TAIL.sub(rb" \g<0>", raws[i].lower()) for i in plain], pa.large_binary()).cast(pa.large_string())
+        cut = pc.ascii_split_whitespace(texts)
+        numbered = cut.flatten().dictionary_encode()
+        distinct = numbered.dictionary.cast(pa.large_binary()).to_pylist()
+        made = self._known([w for w in distinct if w])
+        if len(made) < len(distinct):  # white space at an end leaves an empty word
+            made.insert(distinct.index(b""), b"")
+        size = np.fromiter(map(len, made), np.int64, len(made)) // self.width
+        first = np.cumsum(size) - size
+        pool = np.frombuffer(b"".join(made), f"<u{self.width}")
+        code = numbered.indices.to_numpy()
+        n = size[code]
+        end = np.cumsum(n)
+        ids = pool[np.repeat(first[code] - (end - n), n) + np.arange(int(end[-1]) if len(end) else 0)].tobytes()
+        bounds = np.concatenate(([0], end))[np.asarray(cut.offsets) - cut.offsets[0].as_py()] * self.width
+        for i, begin, stop in zip(plain, bounds[:-1].tolist(), bounds[1:].tolist()):
+            out[i] = ids[begin:stop]
+        return out
 
 
 _encoders: dict[str, WordEncoder] = {}
