@@ -47,7 +47,7 @@ from .common import bounded_batches, discard, text_bytes, written
 WORDS = 5
 SIMILARITY = (75, 100)
 COORDINATES, MATCHES = 48, 20
-HUBS = (4, 16)   # of a list, in each hub round: in the later ones most members have left
+HUBS = (2, 16)   # of a list, in each hub round: in the later ones most members have left
 BLOCK = 256
 _SEED = 20240229
 _MIX = np.uint64(0x9E3779B97F4A7C15)

@@ -65,9 +65,9 @@ def test_matches_all_pairs_with_chains_and_edges(spark):
     assert run(spark, rows) == brute(rows)
 
 
-@pytest.mark.parametrize("rounds, block", [(2, 256), (1, 16), (0, 32)])
-def test_hub_rounds_then_the_rest_equal_all_pairs(spark, monkeypatch, rounds, block):
-    monkeypatch.setattr(N, "HUB_ROUNDS", rounds)
+@pytest.mark.parametrize("hubs, block", [((2, 16), 256), ((1,), 16)])
+def test_hub_rounds_then_the_rest_equal_all_pairs(spark, monkeypatch, hubs, block):
+    monkeypatch.setattr(N, "HUBS", hubs)
     monkeypatch.setattr(N, "BLOCK", block)
     rng = random.Random(5)
     words = [f"q{i}" for i in range(3000)]
