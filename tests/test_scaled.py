@@ -83,3 +83,45 @@ def test_workbooks_hold_a_bounded_number_of_characters(spark, tmp_path):
     assert len([n for n in os.listdir(f"{tmp_path}/wb") if n.endswith(".xlsx")]) == 4
     back = WB.read_feedback_workbooks(spark, f"{tmp_path}/wb/*.xlsx", "text", id_column="doc_id")
     assert back.where(F.length("text") == 1_000_000).count() == 30
+
+
+def test_density_clusters_over_many_blocks_against_brute_force(spark):
+    from feedlens.operators import cluster as CL
+    rng = random.Random(9)
+    pts = [(round(rng.uniform(0, 60), 3), round(rng.uniform(0, 60), 3)) for _ in range(500)]
+    pts += [(10.0, 10.0)] * 5000 + [(100 + 0.5 * i, 0.0) for i in range(40)]
+    eps, size = 1.5, 4
+    uniq = sorted(set(pts))
+    n = Counter(pts)
+    near = {p: [q for q in uniq if math.dist(p, q) <= eps] for p in uniq}
+    core = {p for p in uniq if sum(n[q] for q in near[p]) - 1 >= 3}
+    ids = {}
+    for i, p in enumerate(pts):
+        ids.setdefault(p, []).append(i)
+    want, seen = {i: -1 for i in range(len(pts))}, set()
+    for p in sorted(core):
+        if p in seen:
+            continue
+        todo, part = [p], {p}
+        while todo:
+            for q in near[todo.pop()]:
+                if q in core and q not in part:
+                    part.add(q)
+                    todo.append(q)
+        seen |= part
+        members = [i for q in part for i in ids[q]]
+        if len(members) >= size:
+            want.update(dict.fromkeys(members, min(members)))
+    df = spark.createDataFrame([(i, list(p)) for i, p in enumerate(pts)], "doc_id long, vec array<double>")
+    assert {r.doc_id: r.cluster for r in CL.density_cluster_at(df, eps, 2, 3, size).collect()} == want
+
+
+def test_pairs_of_blocks_are_not_shuffled(spark):
+    from feedlens.operators import neighbors as NB
+    df = spark.range(0, 9000).select(F.col("id").alias("doc_id"), F.array(F.lit(1.0), F.col("id") / 9000.0).alias("vec"))
+    p = NB._prepare(df, "doc_id", "vec", "euclidean", 2, 2, 7)
+    near = NB.nearest(p, 2, 2)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "FlatMapCoGroups" not in plan
+    got = {(r.src, r.rank): r.dst for r in near.collect()}
+    assert len(got) == 18000 and got[500, 1] in (499, 501) and got[0, 1] == 1 and got[0, 2] == 2
