@@ -14,7 +14,8 @@ member of a list meets some of its members (HUBS); classes that are linked by th
 component, a pair inside a component can't change the result, and lists that
 lie in one component are closed, as are those in which hubs met everybody.  What is left are pairs between different
 components in one list.  Those are dealt out in blocks of members outside the
-list's largest component against blocks of all its members.  Blocks hold
+list's largest component against blocks of all its members, a bounded number
+of blocks a list until a block is as large as a task can hold.  Blocks hold
 signatures; only for members that agree with somebody do texts travel to the
 block, where full sets are compared, and only links leave it.  So no link
 between components is lost, up to the chance that a pair with similarity 0.75
@@ -48,7 +49,10 @@ WORDS = 5
 SIMILARITY = (75, 100)
 COORDINATES, MATCHES = 48, 20
 HUBS = (2, 16)   # of a list, in each hub round: in the later ones most members have left
-BLOCK = 256
+BLOCK = 256      # members compared at a time in a task
+SHARES = 8       # blocks on each side of a list, while blocks hold
+MOST_BLOCK = 8192        # members and
+MOST_WORDS = 4_000_000   # words at most
 _SEED = 20240229
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(_SEED)
@@ -222,8 +226,16 @@ def block_links(members: DataFrame, lists: DataFrame, nodes: DataFrame, texts: D
     (members not in it); ``nodes`` has ``num, n, sig, posted``.  A pair is
     looked at in the first list that it shares only.  First signatures meet;
     texts follow the members that agree with another one of the block.
+
+    A list has SHARES blocks a side, so a member moves that often however large
+    its list is, until blocks reach MOST_BLOCK members or MOST_WORDS words;
+    a list of few members has blocks of BLOCK * 4.
     """
-    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    # near copies have about as many words each
+    fit = members.join(nodes.select("num", "n"), "num").groupBy("value").agg(F.floor(F.lit(MOST_WORDS) / F.avg("n")).alias("fit"))
+    size = F.greatest(F.lit(BLOCK), F.least(F.lit(MOST_BLOCK), "fit", F.greatest(F.lit(4 * BLOCK), F.ceil(F.col("all") / SHARES))))
+    lists = lists.join(fit, "value").withColumn("size", size).drop("fit")
+    blocks = lambda c: F.ceil(F.col(c) / F.col("size")).cast("int")
     turn = F.xxhash64("num")
     keys = ["value", "lb", "rb"]
     m = members.join(lists, "value").withColumns({"lbs": blocks("outside"), "rbs": blocks("all")})
@@ -259,18 +271,33 @@ def block_links(members: DataFrame, lists: DataFrame, nodes: DataFrame, texts: D
         a, b = sides(pdf)
         if not len(a) or not len(b):
             return pdf.iloc[:0]
-        want = wanted(a, b, int(pdf["coord"].iloc[0]))
-        return pd.concat([a[want.any(axis=1)], b[want.any(axis=0)]])
+        here, used_a, used_b = int(pdf["coord"].iloc[0]), [], np.zeros(len(b), bool)
+        for at in range(0, len(a), BLOCK):
+            want = wanted(a[at: at + BLOCK], b, here)
+            used_a.append(want.any(axis=1))
+            used_b |= want.any(axis=0)
+        return pd.concat([a[np.concatenate(used_a)], b[used_b]])
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = sides(pdf)
         if not len(a) or not len(b):
             return pd.DataFrame({"a": [], "b": []})
-        want = wanted(a, b, int(pdf["coord"].iloc[0]))
-        na, nb = a["n"].to_numpy()[:, None], b["n"].to_numpy()[None, :]
-        common = shared_counts([shingle_set(t.encode()) for t in a["text"]], [shingle_set(t.encode()) for t in b["text"]])
-        x, y = np.nonzero(want & (den * common >= num * (na + nb - common)))
-        return pd.DataFrame({"a": a["num"].to_numpy()[x], "b": b["num"].to_numpy()[y]})
+        here, found = int(pdf["coord"].iloc[0]), []
+        sets = [[shingle_set(t.encode()) for t in side["text"]] for side in (a, b)]
+        n, name = [side["n"].to_numpy() for side in (a, b)], [side["num"].to_numpy() for side in (a, b)]
+        for at in range(0, len(a), BLOCK):
+            every = wanted(a[at: at + BLOCK], b, here)
+            for to in range(0, len(b), BLOCK):
+                want = every[:, to: to + BLOCK]
+                i, j = np.flatnonzero(want.any(axis=1)), np.flatnonzero(want.any(axis=0))
+                if not len(i):
+                    continue
+                want, i, j = want[np.ix_(i, j)], i + at, j + to
+                common = shared_counts([sets[0][x] for x in i], [sets[1][y] for y in j])
+                x, y = np.nonzero(want & (den * common >= num * (n[0][i, None] + n[1][None, j] - common)))
+                found.append((name[0][i[x]], name[1][j[y]]))
+        x, y = (np.concatenate(z) for z in zip(*found)) if found else ([], [])
+        return pd.DataFrame({"a": x, "b": y})
 
     near = written(rows.groupBy(*keys).applyInPandas(screen, rows.schema), "block-members")
     return near.join(texts, "num").groupBy(*keys).applyInPandas(compare, "a bigint, b bigint")
