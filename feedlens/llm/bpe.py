@@ -203,8 +203,9 @@ class Transducer:
         state, out, moves = self._first, [], self._moves
         for byte in b:
             key = state << 8 | byte
-            move = moves.get(key)
-            if move is None:
+            try:
+                move = moves[key]
+            except KeyError:
                 move = moves[key] = self._move(state, byte)
             if move.__class__ is int:
                 state = move
