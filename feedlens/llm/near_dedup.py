@@ -10,7 +10,7 @@ counted for pairs that meet in a list; pairs at or above the match threshold
 are confirmed on their full shingle sets.
 
 A list is not expanded into all its pairs.  In each of the hub rounds every
-member of a list meets some of its members (HUBS); classes that are linked by then are one
+member of a list meets some of its members (``hub_pairs``); classes that are linked by then are one
 component, a pair inside a component can't change the result, and lists that
 lie in one component are closed, as are those in which hubs met everybody.  What is left are pairs between different
 components in one list.  Those are dealt out in blocks of members outside the
@@ -49,6 +49,8 @@ WORDS = 5
 SIMILARITY = (75, 100)
 COORDINATES, MATCHES = 48, 20
 HUBS = (2, 16)   # of a list, in each hub round: in the later ones most members have left
+HUBS_OF_LARGE = 4        # of a list of more members than hubs can meet all of
+MEETS = 8                # hubs of large lists that a member meets in a round
 BLOCK = 256      # members compared at a time in a task
 SHARES = 8       # blocks on each side of a list, while blocks hold
 MOST_BLOCK = 8192        # members and
@@ -133,7 +135,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def prefix_postings(classes: DataFrame) -> DataFrame:
-    """``coord, value, num``: each class under its rarest shared coordinate values, values that occur once skipped."""
+    """``coord, value, num, n``: each class under its rarest shared coordinate values, values that occur once skipped."""
     every = classes.select("num", F.posexplode("sig").alias("coord", "value"))
     shared = written(every.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "coordinate-counts")
     own = every.join(shared, "value").groupBy("num").agg(
@@ -146,7 +148,7 @@ def prefix_postings(classes: DataFrame) -> DataFrame:
     sets = post.groupBy("value").agg(F.count("*").alias("m"), F.sum(F.xxhash64("num").cast("decimal(20,0)")).alias("s1"),
                                      F.sum(F.xxhash64(F.lit(1), "num").cast("decimal(20,0)")).alias("s2")).where("m > 1")
     one = sets.groupBy("m", "s1", "s2").agg(F.min("value").alias("value")).select("value")
-    return post.join(one, "value", "left_semi")
+    return post.join(one, "value", "left_semi").join(classes.select("num", "n"), "num").select("coord", "value", "num", "n")
 
 
 def confirm(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -218,10 +220,30 @@ def components(links: DataFrame) -> DataFrame:
             return new
 
 
+def hub_pairs(members: DataFrame, lists: DataFrame, turn: int) -> DataFrame:
+    """Pairs ``a, b`` of members and hubs ``b`` of their lists, from different components.
+
+    The hubs of a list of at most HUBS + 1 members meet all of them, and the
+    list is done.  In a larger one they only look for links ahead of the
+    blocks, where every pair that is still open is met, so a member meets
+    those MEETS of them that it shares most lists with.
+    """
+    num, den = SIMILARITY
+    first = Window.partitionBy("value").orderBy(F.xxhash64(F.lit(turn), "num"), "num")
+    hubs = members.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= HUBS[turn]).join(
+        lists.select("value", (F.col("all") > HUBS[turn] + 1).alias("large")), "value").where(
+        ~F.col("large") | (F.col("rank") <= HUBS_OF_LARGE)).select(
+        "value", "large", F.col("num").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("comp_b"))
+    met = (members.join(written(hubs, "hubs"), "value").where("comp <> comp_b").where(den * F.least("n", "nb") >= num * F.greatest("n", "nb"))
+           .groupBy(F.col("num").alias("a"), "b").agg(F.count("*").alias("shared"), F.min("large").alias("large")))
+    best = Window.partitionBy("a", "large").orderBy(F.desc("shared"), "b")
+    return met.withColumn("rank", F.row_number().over(best)).where(~F.col("large") | (F.col("rank") <= MEETS)).select("a", "b")
+
+
 def block_links(members: DataFrame, lists: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between different components of a list, found block by block.
 
-    ``members`` has ``value, coord, num, comp``; ``lists`` has per open list
+    ``members`` has ``value, coord, num, n, comp``; ``lists`` has per open list
     ``all`` (members), ``giant`` (its largest component) and ``outside``
     (members not in it); ``nodes`` has ``num, n, sig, posted``.  A pair is
     looked at in the first list that it shares only.  First signatures meet;
@@ -232,7 +254,7 @@ def block_links(members: DataFrame, lists: DataFrame, nodes: DataFrame, texts: D
     a list of few members has blocks of BLOCK * 4.
     """
     # near copies have about as many words each
-    fit = members.join(nodes.select("num", "n"), "num").groupBy("value").agg(F.floor(F.lit(MOST_WORDS) / F.avg("n")).alias("fit"))
+    fit = members.groupBy("value").agg(F.floor(F.lit(MOST_WORDS) / F.avg("n")).alias("fit"))
     size = F.greatest(F.lit(BLOCK), F.least(F.lit(MOST_BLOCK), "fit", F.greatest(F.lit(4 * BLOCK), F.ceil(F.col("all") / SHARES))))
     lists = lists.join(fit, "value").withColumn("size", size).drop("fit")
     blocks = lambda c: F.ceil(F.col(c) / F.col("size")).cast("int")
@@ -330,9 +352,7 @@ def links(classes: DataFrame, texts_of) -> DataFrame | None:
     posted = post.groupBy("num").agg(F.sum(F.expr("shiftleft(1L, coord)")).alias("posted"))
     nodes = written(classes.join(posted, "num"), "posted-classes")
     texts = written(texts_of(nodes), "posted-texts")
-    nodes_n = nodes.select("num", "n")
     found = comp = members = None
-    num, den = SIMILARITY
     for turn in range(len(HUBS) + 1):
         labelled = post.withColumn("comp", F.col("num")) if comp is None else post.join(comp.select("num", "comp"), "num", "left").withColumn(
             "comp", F.coalesce("comp", "num"))
@@ -347,15 +367,8 @@ def links(classes: DataFrame, texts_of) -> DataFrame | None:
         discard(labelled, post)
         if members.isEmpty():
             break
-        if turn < len(HUBS):  # members that are in a hub's component already don't meet it
-            first = Window.partitionBy("value").orderBy(F.xxhash64(F.lit(turn), "num"), "num")
-            hubs = members.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= HUBS[turn]).select(
-                "value", F.col("num").alias("b"), F.col("comp").alias("comp_b"))
-            hubs = written(hubs.join(nodes_n.withColumnsRenamed({"num": "b", "n": "nb"}), "b"), "hubs")
-            pairs = members.join(hubs, "value").where("comp <> comp_b").select(
-                F.col("num").alias("a"), "b", "nb").distinct().join(nodes_n.withColumnRenamed("num", "a"), "a").where(
-                den * F.least("n", "nb") >= num * F.greatest("n", "nb"))
-            new = confirm(written(pairs.select("a", "b"), "hub-pairs"), nodes, texts)
+        if turn < len(HUBS):
+            new = confirm(written(hub_pairs(members, lists, turn), "hub-pairs"), nodes, texts)
         else:
             new = block_links(members, lists, nodes, texts)
         new = fewer_links(written(new, "confirmed"))
@@ -364,7 +377,7 @@ def links(classes: DataFrame, texts_of) -> DataFrame | None:
             comp = components(found)
             # what stands for the links from now on: each node with its component
             found = comp.where("num <> comp").select(F.col("num").alias("a"), F.col("comp").alias("b"))
-        post = members.select("coord", "value", "num")
+        post = members.select("coord", "value", "num", "n")
     discard(texts)
     return comp
 

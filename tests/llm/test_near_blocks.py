@@ -1,6 +1,8 @@
 """Members of a large list move a bounded number of times."""
 import random
 
+from pyspark.sql import functions as F
+
 from feedlens.llm import near_dedup as N
 
 from .test_near_dedup import brute, run
@@ -43,3 +45,30 @@ def test_long_texts_make_smaller_blocks(spark, monkeypatch):
     monkeypatch.setattr(N, "MOST_WORDS", 400, raising=False)
     rows = near_copies(80, 60)
     assert run(spark, rows) == brute(rows)
+
+
+def test_members_of_a_large_list_meet_few_hubs(spark, monkeypatch):
+    made, written = [], N.written
+
+    def seen(df, name):
+        out = written(df, name)
+        if name == "hub-pairs":
+            made.append(out.count())
+        return out
+    monkeypatch.setattr(N, "written", seen)
+    monkeypatch.setattr(N, "HUBS", (16,))
+    monkeypatch.setattr(N, "MEETS", 3, raising=False)
+    rows = near_copies(240, 50)
+    assert run(spark, rows) == brute(rows)
+    classes = len({t for _, t in rows})
+    # beside those of small lists, which are met in full
+    assert made and made[0] <= 20 * classes
+
+
+def test_all_pairs_of_a_small_list_are_met(spark, monkeypatch):
+    monkeypatch.setattr(N, "HUBS", (16,))
+    monkeypatch.setattr(N, "HUBS_OF_LARGE", 1, raising=False)
+    monkeypatch.setattr(N, "MEETS", 1, raising=False)
+    monkeypatch.setattr(N, "block_links", lambda members, lists, nodes, texts: members.select(F.col("num").alias("a"), F.col("num").alias("b")).limit(0))
+    rows = near_copies(17, 60)
+    assert run(spark, rows) == brute(rows)
