@@ -3,13 +3,14 @@
 Merging greedily by rank has two properties that make it a finite-state task.
 A token sequence is the encoding of its bytes exactly if every adjacent pair is
 the encoding of its own bytes; and the encoding of every prefix of a text is a
-chain of such pairs, so it has one last token.  A state is therefore the small
-tree of chains that can still grow: boundaries from which the bytes read since
-are the beginning of some token.  A byte moves every live boundary along the
-vocabulary's trie, adds the one boundary whose last token fits, and drops
-boundaries that died; what all chains have in common is emitted.  Lookahead is
-bounded by the longest token.  States are numbered as they appear and each
-(state, byte) is worked out once, so later text only looks transitions up.
+chain of such pairs, so it has one last token.  A state is therefore the list of
+boundaries that can still grow, from which the bytes read since are the
+beginning of some token, each with its last token.  A byte moves every live
+boundary along the vocabulary's trie, adds the one boundary whose last token
+fits, and drops boundaries that died.  A state is made when it first appears
+and each (state, byte) is worked out once, so later text only looks moves up.
+What a state's last token is says where the chain goes on, so the tokens of a
+match are read off the states it passed, from its end.
 
 The pattern's matches are encoded separately.  A match that is a token itself
 is that token, as the public rank-file library does it.
@@ -24,8 +25,9 @@ import base64
 import hashlib
 import re
 import struct
-from array import array
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
+from operator import getitem
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,10 @@ from .common import bounded_batches, text_bytes
 
 NEVER = 1 << 60        # a rank beyond all
 MAX_STATES = 250_000       # then the transducer starts over; a bound on memory, not on results
-MEMO_BYTES = 20 << 20      # of units of text, and of matches in them, with their ids; there are two generations of each
+MEMO_BYTES = 40 << 20      # of units of text with their ids; there are two generations
 _ENTRY = 150               # bytes that an entry takes besides
+NODE_BITS = 32
+NODE_MASK = (1 << NODE_BITS) - 1
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -47,6 +51,20 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+class State(dict):
+    """The next states by byte, each made when first asked for.
+
+    ``live`` has a number for each boundary: its last token plus one (0 where
+    the match begins), then NODE_BITS for the trie node; the last boundary is
+    the end of what was read, so its token is ``last``.
+    """
+    __slots__ = ("machine", "live", "last")
+
+    def __missing__(self, byte: int) -> State:
+        state = self[byte] = self.machine.move(self, byte)
+        return state
+
+
 class Transducer:
     """Encodes one match of the pattern at a time; see the module."""
 
@@ -69,15 +87,16 @@ class Transducer:
                     self._next[node][c] = at
                 node = at
             self._token[node] = r
+        self._length = {r: len(b) for r, b in self.bytes_of.items()}
+        self._states: dict[tuple[int, ...], State] = {}
         self._start_over()
 
     def _start_over(self) -> None:
-        self._states: dict[bytes, int] = {}
-        self._trees: list[bytes] = []   # parent, last token, trie node (-1: dead) of every boundary
-        self._moves: dict[int, int | tuple[int, tuple[int, ...]]] = {}   # a bare state emits nothing
-        self._ends: dict[int, tuple[int, ...]] = {}
+        for state in self._states.values():
+            state.clear()   # they refer to each other
+        self._states.clear()
         self._pair_ok.clear()
-        self._first = self._state([-1, -1, 0])
+        self._first = self._state((0,))
 
     def merge(self, b: bytes) -> list[int]:
         """Greedy merging by rank, the definition; for short byte strings."""
@@ -137,85 +156,40 @@ class Transducer:
             self._pair_ok[key] = ok
         return ok
 
-    def _state(self, tree: list[int]) -> int:
-        key = array("i", tree).tobytes()
-        n = self._states.get(key)
-        if n is None:
-            n = self._states[key] = len(self._trees)
-            self._trees.append(key)
-        return n
-
-    def _move(self, state: int, byte: int) -> int | tuple[int, tuple[int, ...]]:
-        """Next state, and what is emitted if anything is."""
-        flat = array("i", self._trees[state])
-        parent, token, nodes = flat[0::3], flat[1::3], flat[2::3]
+    def _state(self, live: tuple[int, ...]) -> State:
+        state = self._states.get(live)
+        if state is None:
+            state = self._states[live] = State()
+            state.machine, state.live, state.last = self, live, (live[-1] >> NODE_BITS) - 1
+        return state
+
+    def move(self, state: State, byte: int) -> State:
+        """The state after one more byte."""
         trie, made = self._next, self._token
-        grown, new = [], False
-        for i, node in enumerate(nodes):
-            at = trie[node].get(byte, -1) if node >= 0 else -1
-            grown.append(at)
-            if at >= 0 and not new and made[at] >= 0 and self._fits(token[i], made[at]):
-                new, last = True, made[at]
-                parent.append(i)
-                token.append(last)
-        grown.append(0)
-        # drop dead boundaries that nothing hangs on, then emit while one chain is left
-        n = len(grown)
-        used, hang = [at >= 0 for at in grown], [0] * n
-        for i in range(n - 1, 0, -1):
-            if used[i]:
-                used[parent[i]] = True
-                hang[parent[i]] += 1
-        root, emitted = 0, []
-        while grown[root] < 0 and hang[root] == 1:
-            up = root
-            root += 1
-            while not (used[root] and parent[root] == up):
-                root += 1
-            emitted.append(token[root])
-        place = [-1] * n
-        place[root] = 0
-        # a dead root's token is emitted and meets no other
-        out, size = [-1, token[root] if grown[root] >= 0 else -1, grown[root]], 1
-        for i in range(root + 1, n):
-            if used[i] and place[parent[i]] >= 0:
-                place[i] = size
-                size += 1
-                out += (place[parent[i]], token[i], grown[i])
-        at = self._state(out)
-        return (at, tuple(emitted)) if emitted else at
-
-    def _end(self, state: int) -> tuple[int, ...]:
-        """What is emitted when the text ends in ``state``: the chain of its last boundary."""
-        tree, out = array("i", self._trees[state]), []
-        i = len(tree) // 3 - 1
-        while i > 0:
-            out.append(tree[3 * i + 1])
-            i = tree[3 * i]
-        return tuple(reversed(out))
+        live, last = [], -1
+        for boundary in state.live:
+            at = trie[boundary & NODE_MASK].get(byte)
+            if at is not None:
+                if last < 0 <= made[at] and self._fits((boundary >> NODE_BITS) - 1, made[at]):
+                    last = made[at]
+                if trie[at]:
+                    live.append(boundary & ~NODE_MASK | at)
+        live.append(last + 1 << NODE_BITS)
+        return self._state(tuple(live))
 
     def encode_piece(self, b: bytes) -> list[int]:
         whole = self.ranks.get(b)
         if whole is not None:
             return [whole]
-        if len(self._trees) > MAX_STATES:
+        if len(self._states) > MAX_STATES:
             self._start_over()
-        state, out, moves = self._first, [], self._moves
-        for byte in b:
-            key = state << 8 | byte
-            try:
-                move = moves[key]
-            except KeyError:
-                move = moves[key] = self._move(state, byte)
-            if move.__class__ is int:
-                state = move
-            else:
-                state, emitted = move
-                out.extend(emitted)
-        end = self._ends.get(state)
-        if end is None:
-            end = self._ends[state] = self._end(state)
-        out.extend(end)
+        path, length = list(accumulate(b, getitem, initial=self._first)), self._length
+        out, at = [], len(b)
+        while at:
+            token = path[at].last
+            out.append(token)
+            at -= length[token]
+        out.reverse()
         return out
 
 
@@ -244,23 +218,20 @@ class Memo:
 class Encoder:
     """Encodes whole texts, cut into units at single spaces and into the pattern's matches in them.
 
-    The ids of units (without the space before them) and of matches are
-    remembered.  Most texts hold no white space beside a space, so they are cut
+    The ids of units (without the space before them) are remembered.  Most texts hold no white space beside a space, so they are cut
     at every space; a unit that is new tells whether its text is one of them.
     """
 
     def __init__(self, ranks_path: str, pattern: str):
         self.machine = Transducer(load_ranks(ranks_path))
         self.pattern = regex.compile(pattern)
-        self._units, self._pieces = Memo(lambda unit: self._matches(" " + unit)), Memo(self._one)
-
-    def _one(self, piece: str) -> bytes:
-        ids = self.machine.encode_piece(piece.encode("utf-8"))
-        return struct.pack(f"<{len(ids)}I", *ids)
+        self._units = Memo(lambda unit: self._matches(" " + unit))
 
     def _matches(self, text: str) -> bytes:
-        known = self._pieces.now
-        return b"".join([known.get(x) or self._pieces.add(x) for x in self.pattern.findall(text)])
+        ids = []
+        for x in self.pattern.findall(text):
+            ids += self.machine.encode_piece(x.encode("utf-8"))
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

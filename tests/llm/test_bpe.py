@@ -84,3 +84,13 @@ def test_pairs_that_fit_are_those_that_merging_leaves():
     for k in range(6000):
         a, b = rng.choice(short if k % 2 else some), rng.choice(short if k % 3 else some)
         assert t._fits(a, b) == (t.merge(t.bytes_of[a] + t.bytes_of[b]) == [a, b])
+
+
+def test_states_hold_what_can_still_grow():
+    t = B.Transducer(B.load_ranks(PATH))
+    rng = random.Random(4)
+    parts = "the of and ing tion er on re en ch ly st ha wh ble".split()
+    for _ in range(3000):
+        word = (" " + "".join(rng.choice(parts) for _ in range(5))).encode()
+        assert t.encode_piece(word) == ([t.ranks[word]] if word in t.ranks else t.merge(word))
+    assert len(t._states) < 6700
